@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.operators.keyed import keys_present, lookup_join
+from tillmark.operators.keyed import fits_broadcast, keys_missing, lookup_join
 from tillmark.schema import Reference, Table
 from tillmark.session import materialize
 
@@ -109,31 +109,61 @@ def in_order(batch: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     return arrived.withColumn("_turn", turn).drop("_arrival")
 
 
-def first_turns(batch: DataFrame, key: str) -> DataFrame:
-    """Per repeated key, the turn of its first row; a key that occurs once is not listed."""
-    return (
-        batch.filter(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("_repeated"))
-        .agg(F.min("_turn").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > 1)
-        .drop("_rows")
-    )
+def _key_values(df: DataFrame, columns: Sequence[str], *extra: str) -> DataFrame:
+    """One row ``_column``, ``_value`` per unique column of each row, NULLs left out: all unique
+    columns are then tested in one pass over the table."""
+    pairs = [F.struct(F.lit(c).alias("_column"), F.col(c).cast("string").alias("_value")) for c in columns]
+    return df.select(F.inline(F.array(*pairs)), *extra).filter(F.col("_value").isNotNull())
 
 
-def tag_keys(tagged: DataFrame, batch: DataFrame, table: Table, existing: DataFrame | None,
-             spread: Sequence[str]) -> DataFrame:
+def value_turns(batch: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Per unique column and value of the batch: its rows and the turn of the first of them."""
+    grouped = _key_values(batch, columns, "_turn").groupBy("_column", "_value")
+    return materialize(grouped.agg(F.min("_turn").alias("_first"), F.count(F.lit(1)).alias("_rows")), "turns")
+
+
+def stored_values(existing: DataFrame, columns: Sequence[str], turns: DataFrame) -> DataFrame:
+    """Those values of ``turns`` that the ``existing`` rows hold.
+
+    The values of a small batch are sent to the scan of the stored table, which is then filtered
+    where it is read; a large batch is joined to it on the values.
+    """
+    wanted, held = turns.select("_column", "_value"), _key_values(existing, columns)
+    if fits_broadcast(wanted):
+        found = held.join(F.broadcast(wanted), ["_column", "_value"], "left_semi").distinct()
+    else:
+        found = wanted.join(held, ["_column", "_value"], "left_semi")
+    return materialize(found, "stored")
+
+
+def values_of(clashes: DataFrame, column: str, like: DataFrame) -> DataFrame:
+    """The clashing values of one column, in its own type, as ``_clash``."""
+    value = F.col("_value").cast(like.schema[column].dataType).alias("_clash")
+    rest = [c for c in clashes.columns if c not in ("_column", "_value")]
+    return clashes.filter(F.col("_column") == column).select(value, *rest)
+
+
+def tag_keys(tagged: DataFrame, batch: DataFrame, rules: Sequence[tuple[str, str]], key: str,
+             existing: DataFrame | None, spread: Sequence[str]) -> DataFrame:
     """Add the key rules that a row breaks against stored rows and earlier rows of the batch."""
-    for name, key in key_rules(table):
-        columns = tagged.columns
-        tagged = lookup_join(tagged, first_turns(batch, key), key, "_repeated", "left", spread)
-        broken = F.col("_first").isNotNull() & (F.col("_turn") != F.col("_first"))
-        if key == table.key:
-            broken = broken | F.col(key).isNull()
-        if existing is not None:
-            held = keys_present(existing, key, batch, key).select(F.col(key).alias("_taken"))
-            tagged = lookup_join(tagged, held, key, "_taken", "left", spread)
-            broken = broken | F.col("_taken").isNotNull()
-        tagged = _with_rule(tagged, columns, broken, name)
+    columns = [column for _, column in rules]
+    if not columns:
+        return tagged
+    turns = value_turns(batch, columns)
+    if existing is None:
+        clashes = turns.withColumn("_stored", F.lit(False))
+    else:
+        stored = stored_values(existing, columns, turns).withColumn("_stored", F.lit(True))
+        clashes = turns.join(stored, ["_column", "_value"], "left")
+    clashes = materialize(clashes.filter((F.col("_rows") > 1) | F.col("_stored")), "clashes")
+    small = fits_broadcast(clashes)
+    for name, column in rules:
+        before = tagged.columns
+        tagged = lookup_join(tagged, values_of(clashes, column, batch), column, "_clash", "left", spread, small)
+        broken = F.col("_stored") | (F.col("_turn") != F.col("_first"))
+        if column == key:
+            broken = F.col(column).isNull() | broken
+        tagged = _with_rule(tagged, before, broken, name)
     return tagged
 
 
@@ -143,12 +173,11 @@ def tag_references(tagged: DataFrame, batch: DataFrame, table: Table, parents: M
     for reference in table.references:
         if reference.parent not in parents:
             continue
-        columns = tagged.columns
-        held = keys_present(parents[reference.parent], reference.parent_key, batch, reference.column)
-        held = held.select(F.col(reference.column).alias("_held"))
-        tagged = lookup_join(tagged, held, reference.column, "_held", "left", spread)
-        broken = F.col(reference.column).isNotNull() & F.col("_held").isNull()
-        tagged = _with_rule(tagged, columns, broken, f"reference {reference.column}")
+        before = tagged.columns
+        missing = keys_missing(parents[reference.parent], reference.parent_key, batch, reference.column)
+        missing = missing.select(F.col(reference.column).alias("_missing"))
+        tagged = lookup_join(tagged, missing, reference.column, "_missing", "left", spread)
+        tagged = _with_rule(tagged, before, F.col("_missing").isNotNull(), f"reference {reference.column}")
     return tagged
 
 
@@ -158,17 +187,19 @@ def _with_rule(tagged: DataFrame, columns: Sequence[str], broken: Column, name:
 
 
 def split_valid(batch: DataFrame, table: Table, parents: Mapping[str, DataFrame] | None = None,
-                existing: DataFrame | None = None,
-                order_by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+                existing: DataFrame | None = None, order_by: Sequence[str] = (),
+                numbered: bool = False) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected) rows of a batch; rejected rows name their rules in ``violations``.
 
     Tested are the row rules, the references to the given ``parents``, and keys against the
-    ``existing`` rows and earlier rows of the batch.
+    ``existing`` rows and earlier rows of the batch. ``numbered`` says that the key was just
+    assigned beyond all stored keys, so that it cannot clash.
     """
     batch = in_order(batch, order_by)
     columns = [c for c in batch.columns if c != "_turn"]
+    rules = [(name, key) for name, key in key_rules(table) if not (numbered and key == table.key)]
     tagged = tag_rows(batch, row_rules(table))
-    tagged = tag_keys(tagged, batch, table, existing, columns)
+    tagged = tag_keys(tagged, batch, rules, table.key, existing, columns)
     tagged = tag_references(tagged, batch, table, parents or {}, columns)
     judged = materialize(tagged.select(*columns, VIOLATIONS), "judged")
     return judged.filter(F.size(VIOLATIONS) == 0).drop(VIOLATIONS), judged.filter(F.size(VIOLATIONS) > 0)

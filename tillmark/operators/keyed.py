@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillmark.session import materialize
+
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 0.002  # a key with a larger share of the rows is hot: at most 500 such keys
@@ -136,14 +138,31 @@ def lookup_join_keeping(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key:
     return matched.unionByName(alone, allowMissingColumns=True)
 
 
+def _distinct_values(df: DataFrame, column: str) -> DataFrame:
+    """Distinct values other than NULL, written once: they are counted and then joined."""
+    values = df.select(F.col(column).alias("_wanted")).filter(F.col("_wanted").isNotNull()).distinct()
+    return materialize(values, "keys")
+
+
+def _found(table: DataFrame, table_key: str, wanted: DataFrame, key: str) -> DataFrame:
+    held = table.select(F.col(table_key).alias(key)).filter(F.col(key).isNotNull())
+    if fits_broadcast(wanted):
+        return held.join(F.broadcast(wanted), F.col(key) == F.col("_wanted"), "left_semi").distinct()
+    return held.distinct().join(wanted, F.col(key) == F.col("_wanted"), "left_semi")
+
+
 def keys_present(table: DataFrame, table_key: str, keys: DataFrame, key: str) -> DataFrame:
     """The distinct values of ``keys.key`` that occur in ``table.table_key``.
 
     A small key set is sent to the scan of ``table``, so that the large table is filtered
     where it is read and never shuffled.
     """
-    wanted = keys.select(F.col(key).alias("_wanted")).filter(F.col("_wanted").isNotNull()).distinct()
-    held = table.select(F.col(table_key).alias(key)).filter(F.col(key).isNotNull())
-    if fits_broadcast(wanted):
-        return held.join(F.broadcast(wanted), F.col(key) == F.col("_wanted"), "left_semi").distinct()
-    return held.distinct().join(wanted, F.col(key) == F.col("_wanted"), "left_semi")
+    return materialize(_found(table, table_key, _distinct_values(keys, key), key), "present")
+
+
+def keys_missing(table: DataFrame, table_key: str, keys: DataFrame, key: str) -> DataFrame:
+    """The distinct values of ``keys.key``, NULL aside, that do not occur in ``table.table_key``."""
+    wanted = _distinct_values(keys, key)
+    found = _found(table, table_key, wanted, "_held")
+    missing = wanted.join(found, F.col("_wanted") == F.col("_held"), "left_anti")
+    return materialize(missing.select(F.col("_wanted").alias(key)), "missing")

@@ -23,11 +23,14 @@ from tillmark.operators.constraints import (
     refuse_if_any,
     row_rules,
     split_valid,
+    stored_values,
     tag_references,
     tag_rows,
+    value_turns,
+    values_of,
 )
 from tillmark.operators.guards import audit_rows, guard_stock
-from tillmark.operators.keyed import keys_present, lookup_join
+from tillmark.operators.keyed import fits_broadcast, keys_present, lookup_join
 from tillmark.operators.relational import stale_customers
 from tillmark.schema import TABLES, Table
 from tillmark.session import materialize
@@ -100,8 +103,8 @@ def append_rows(existing: DataFrame, batch: DataFrame, table: Table,
     if mode not in ("fail", "quarantine"):
         raise ValueError(f"unknown mode {mode!r}")
     ready = prepare(existing, batch, table, order_by, as_of)
-    parents = dict(parents or {})
-    accepted, rejected = split_valid(ready, table, parents, existing, order_by)
+    numbered = table.key not in batch.columns
+    accepted, rejected = split_valid(ready, table, parents, existing, order_by, numbered)
     if mode == "fail":
         refuse_if_any(rejected, f"insert into {table.name} refused")
     state = existing.unionByName(accepted, allowMissingColumns=True)
@@ -123,50 +126,50 @@ def insert_ignore(existing: DataFrame, batch: DataFrame, unique: Sequence[str],
     """Insert the rows that collide on no ``unique`` column with a stored row or with an earlier
     inserted row of the batch, as if row after row; NULLs never collide.
 
-    With one column the earliest row of each value is the one. With several, a skipped row
-    no longer blocks others, so rounds are needed: rows that come first for all their values
-    go in, rows that share a value with those are skipped, and the rest plays again. Almost
-    all rows are settled in the first round.
+    Values that occur once are settled at once. Among rows that repeat a value, the first of each
+    value goes in. With several columns a row may be first for one value and not for another,
+    and a skipped row does not block later ones, so the rows whose fate still hangs on another
+    row play again until none is left.
     """
     columns = batch.columns
     waiting = in_order(batch, order_by)
-    for key in unique:
-        taken = keys_present(existing, key, waiting, key).select(F.col(key).alias("_taken"))
-        waiting = lookup_join(waiting, taken, key, "_taken", "left_anti", columns)
-    if len(unique) == 1:
-        row = F.min(F.struct("_turn", *columns)).alias("_row")
-        keyed = F.col(unique[0]).isNotNull()
-        earliest = waiting.filter(keyed).groupBy(F.col(unique[0]).alias("_key")).agg(row)
-        inserted = earliest.select("_row.*").select(*columns).unionByName(waiting.filter(~keyed).select(*columns))
-        return _ignored(existing, inserted, columns)
+    turns = value_turns(waiting, unique)
+    stored = stored_values(existing, unique, turns)
+    if not stored.isEmpty():
+        small = fits_broadcast(stored)
+        for key in unique:
+            waiting = lookup_join(waiting, values_of(stored, key, batch), key, "_clash", "left_anti", columns, small)
+        turns = value_turns(waiting, unique)
     settled: list[DataFrame] = []
-    waiting = materialize(waiting, "waiting")
-    while not waiting.isEmpty():
+    while True:
+        repeated = turns.filter(F.col("_rows") > 1).drop("_rows")
+        keys = [row["_column"] for row in repeated.select("_column").distinct().collect()]  # at most one per column
+        if not keys:
+            settled.append(waiting.select(*columns))
+            break
+        small = fits_broadcast(repeated)
         judged, first = waiting, F.lit(True)
-        for number, key in enumerate(unique):
-            turns = (
-                waiting.filter(F.col(key).isNotNull())
-                .groupBy(F.col(key).alias(f"_value_{number}"))
-                .agg(F.min("_turn").alias(f"_first_{number}"))
-            )
-            judged = lookup_join(judged, turns, key, f"_value_{number}", "left", columns)
-            first = first & (F.col(key).isNull() | (F.col("_turn") == F.col(f"_first_{number}")))
-        judged = materialize(judged.select(*columns, "_turn", first.alias("_goes_in")), "judged")
+        for key in keys:
+            leaders = values_of(repeated, key, batch).withColumnRenamed("_first", "_leader")
+            judged = lookup_join(judged, leaders, key, "_clash", "left", columns, small)
+            first = first & (F.col(f"_leads_{key}") | F.col(f"_leads_{key}").isNull())
+            judged = judged.withColumn(f"_leads_{key}", F.col("_turn") == F.col("_leader")).drop("_clash", "_leader")
+        judged = materialize(judged.withColumn("_goes_in", first), "judged")
         goes_in = judged.filter("_goes_in")
         settled.append(goes_in.select(*columns))
-        waiting = judged.filter("NOT _goes_in").drop("_goes_in")
-        for key in unique:
-            taken = goes_in.filter(F.col(key).isNotNull()).select(F.col(key).alias("_taken"))
+        if len(keys) == 1:
+            break  # whoever is left repeats a value whose first row went in
+        waiting = judged.filter("NOT _goes_in").select(*columns, "_turn")
+        for key in keys:
+            taken = goes_in.filter(F.col(f"_leads_{key}")).select(F.col(key).alias("_taken"))
             waiting = lookup_join(waiting, taken, key, "_taken", "left_anti", columns)
         waiting = materialize(waiting, "waiting")
-    inserted = batch.limit(0)
-    for part in settled:
+        if waiting.isEmpty():
+            break
+        turns = value_turns(waiting, unique)
+    inserted = settled[0]
+    for part in settled[1:]:
         inserted = inserted.unionByName(part)
-    return _ignored(existing, inserted, columns)
-
-
-def _ignored(existing: DataFrame, inserted: DataFrame, columns: Sequence[str]) -> Change:
-    inserted = materialize(inserted.select(*columns), "inserted")
     return Change(existing.unionByName(inserted, allowMissingColumns=True), inserted, inserted.limit(0))
 
 
