@@ -1,0 +1,164 @@
+"""Known results on the small shop."""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+
+from tests.seed import shop
+from tillmark.operators import guards, hierarchy, relational, reports, writes
+from tillmark.operators.constraints import RuleBroken
+
+
+@pytest.fixture(scope="module")
+def t(spark):
+    return shop(spark)
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def money(*values):
+    return [Decimal(v).quantize(Decimal("0.01")) for v in values]
+
+
+def test_top_selling_products(t):
+    assert rows(reports.top_selling_products(t["order_items"], t["products"])) == [
+        (4, "Sofa Set", 8), (2, "Smartphone", 5), (3, "Headphones", 2)]
+
+
+def test_store_revenue(t):
+    found = [(r[0], r[2]) for r in rows(reports.store_revenue(t["orders"], t["stores"]))]
+    assert found == list(zip([5, 1, 2, 3, 4], money(16110, 12010, 11440, 11340, 10625)))
+
+
+def test_monthly_revenue(t):
+    found = rows(reports.monthly_revenue_per_store(t["orders"]))
+    assert len(found) == 80
+    january = [(s, v) for s, month, v in found if month == "2024-01"]
+    assert january == list(zip([1, 2, 3, 4, 5], money(1000, 720, 1030, 380, 1330)))
+
+
+MONTHS = {
+    1: (1510, 2500, 1340, 910, 750, 910, 620, 510, 1240, 390, 840, 490),
+    2: (1500, 1220, 1850, 1170, 320, 750, 450, 820, 450, 1640, 410, 860),
+    3: (1590, 1250, 910, 2440, 530, 680, 740, 390, 600, 740, 1070, 400),
+    4: (810, 1130, 1430, 1240, 1740, 845, 350, 430, 540, 510, 480, 1120),
+    5: (2210, 1810, 1780, 1390, 580, 1750, 1760, 1720, 820, 630, 720, 940),
+}
+
+
+def test_pivots(t):
+    assert rows(reports.pivot_months_manual(t["orders"])) == [(s, *money(*v)) for s, v in MONTHS.items()]
+    crosstab = reports.pivot_months_crosstab(t["orders"])
+    assert crosstab.columns == ["store_id", "january", "febrauary", "march", "april"]
+    assert rows(crosstab) == [(s, *money(*v[:4])) for s, v in MONTHS.items()]
+
+
+def test_pivot_gaps(spark, t):
+    """A store that sold in May only: zeros in one pivot, NULLs in the other; NULL dates count nowhere."""
+    odd = spark.createDataFrame(
+        [(201, 1, 9, dt.datetime(2024, 5, 1), Decimal(7)), (202, 1, 9, None, Decimal(9))], t["orders"].schema)
+    orders = t["orders"].unionByName(odd)
+    manual = {r[0]: r[1:] for r in rows(reports.pivot_months_manual(orders))}
+    assert manual[9] == tuple(money(0, 0, 0, 0, 7, 0, 0, 0, 0, 0, 0, 0))
+    crosstab = {r[0]: r[1:] for r in rows(reports.pivot_months_crosstab(orders))}
+    assert crosstab[9] == (None, None, None, None)
+
+
+def test_pivot_total_is_revenue(t):
+    revenue = {r[0]: r[2] for r in rows(reports.store_revenue(t["orders"], t["stores"]))}
+    assert {r[0]: sum(r[1:]) for r in rows(reports.pivot_months_manual(t["orders"]))} == revenue
+
+
+def test_sales_report(t):
+    found = dict(rows(reports.sales_report(t["orders"], 5, 2024)))
+    assert found == dict(zip([1, 2, 3, 4, 5], money(750, 320, 530, 1740, 580)))
+    assert rows(reports.sales_report(t["orders"], 12, 2030)) == []
+
+
+def test_customer_spending(t):
+    found = [(r[0], r[2]) for r in rows(reports.customer_total_spending(t["customers"], t["orders"]))]
+    assert len(found) == 20
+    assert found[:5] == list(zip([10, 15, 20, 6, 5], money(4260, 4140, 3980, 3810, 3530)))
+
+
+def test_orders_of_customer(t):
+    found = [(r["order_date"].date().isoformat(), r["total_amount"]) for r in relational.orders_of(t["orders"], 5).collect()]
+    days = ["2025-01-20", "2024-09-20", "2024-05-25", "2024-01-25", "2024-01-08"]
+    assert found == list(zip(days, money(880, 820, 580, 650, 600)))
+
+
+def test_ilike(t):
+    assert [r["name"] for r in relational.matching(t["products"], "name", "%laptop%", True).collect()] == ["Laptop"]
+    assert relational.matching(t["products"], "name", "%laptop%").isEmpty()
+
+
+def test_join_sizes(t):
+    for join in (relational.customer_orders_inner, relational.customer_orders_left,
+                 relational.customer_orders_right, relational.customer_orders_full):
+        assert join(t["customers"], t["orders"]).count() == 100
+    managers = rows(relational.employee_managers(t["employees"]))
+    assert len(managers) == 10
+    assert [m[2] for m in managers[-5:]] == [None] * 5  # the top level comes last
+
+
+def test_hierarchy(t):
+    found = [(r["level"], r["employee_id"], r["manager_id"]) for r in hierarchy.employee_hierarchy(t["employees"]).collect()]
+    assert found == [
+        (1, 1, None), (1, 4, None), (1, 6, None), (1, 8, None), (1, 10, None),
+        (2, 2, 1), (2, 3, 1), (2, 5, 4), (2, 7, 6), (2, 9, 8)]
+
+
+def test_unions(t):
+    assert relational.people(t["customers"], t["employees"]).count() == 30
+    tagged = relational.orders_by_activity(t["orders"], "2025-06-01")
+    assert {r["status"]: r["count"] for r in tagged.groupBy("status").count().collect()} == {"Active": 26, "Inactive": 74}
+
+
+def test_price_and_salary(t):
+    raised = {r["name"]: r["price"] for r in writes.raise_prices(t["products"]).collect()}
+    assert [raised[n] for n in ("Laptop", "Smartphone", "Headphones", "Sofa Set")] == money(
+        "1099.99", "769.99", "54.99", "899.99")
+    hired = writes.add_hire_date(t["employees"], "2025-06-01")
+    assert {r["hire_date"] for r in hired.collect()} == {dt.date(2019, 6, 1)}
+    paid = [r["salary"] for r in writes.raise_salaries(hired, "2025-06-01").orderBy("employee_id").collect()]
+    assert paid == money(80500, 40250, 36800, 82800, 41400, 81650, 35650, 80500, 39100, 83950)
+    assert writes.raise_salaries(hired, "2024-05-31").exceptAll(hired).isEmpty()
+
+
+def test_month_end_clamps(t):
+    hired = writes.add_hire_date(t["employees"], "2024-02-29")
+    assert {r["hire_date"] for r in hired.collect()} == {dt.date(2018, 2, 28)}
+
+
+def test_delete_employee(spark, t):
+    gone = spark.createDataFrame([(5,)], "employee_id bigint")
+    change = writes.delete_employees(t["employees"], t["employee_audit"], gone, "2025-01-01")
+    assert change.state.count() == 9
+    assert rows(change.rows) == [(1, 5, "Employee 5", "Cashier", 2, Decimal("36000.00"), dt.datetime(2025, 1, 1))]
+    boss = spark.createDataFrame([(1,)], "employee_id bigint")
+    left = {r["employee_id"]: r["manager_id"] for r in
+            writes.delete_employees(t["employees"], t["employee_audit"], boss, "2025-01-01").state.collect()}
+    assert left[2] is None and left[3] is None and left[5] == 4 and 1 not in left
+
+
+def test_stale_customers(t):
+    day = "2026-02-01"
+    assert relational.stale_preview(t["customers"], t["orders"], day).count() == 8
+    states = writes.delete_stale_customers(t, day)
+    assert {r[0] for r in rows(t["customers"].select("customer_id").exceptAll(
+        states["customers"].select("customer_id")))} == {1, 2, 3, 4, 5, 15}
+    assert {n: states[n].count() for n in ("customers", "orders", "order_items")} == {
+        "customers": 14, "orders": 70, "order_items": 0}
+
+
+def test_stock_guard(t):
+    accepted, rejected = guards.guard_stock(t["order_items"], t["products"])
+    assert accepted.count() == 3 and rejected.isEmpty()
+
+
+def test_delete_customer_refused(t):
+    with pytest.raises(RuleBroken):
+        writes.delete_customers(t["customers"], t["orders"], t["customers"].select("customer_id"))
