@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillmark.functions.ordering import rising
-from tillmark.operators.keyed import lookup_join
+from tillmark.operators.keyed import fits_broadcast, lookup_join
 from tillmark.session import materialize
 
 
@@ -22,13 +22,13 @@ def employee_hierarchy(employees: DataFrame) -> DataFrame:
     is the last one: whoever is still open is in a cycle. The state is four numbers per
     employee, written to the shared folder after each round.
     """
-    start = employees.select(
+    step = employees.select(
         "employee_id",
         F.col("manager_id").alias("ancestor"),
         F.lit(1).cast("bigint").alias("steps"),
         F.when(F.col("manager_id").isNull(), F.lit(1)).cast("bigint").alias("level"),
     )
-    step = materialize(start, "hierarchy")
+    small = fits_broadcast(step)  # later rounds look up no more rows than this
     known = step.filter(F.col("level").isNotNull())
     while True:
         opened = step.filter(F.col("level").isNull())
@@ -38,21 +38,23 @@ def employee_hierarchy(employees: DataFrame) -> DataFrame:
             F.col("steps").alias("_steps"),
             F.col("level").alias("_level"),
         )
-        moved = lookup_join(opened, above, "ancestor", "_id", "inner", ["employee_id"]).select(
+        moved = lookup_join(opened, above, "ancestor", "_id", "inner", ["employee_id"], small).select(
             "employee_id",
             F.col("_ancestor").alias("ancestor"),
             (F.col("steps") + F.col("_steps")).alias("steps"),
             (F.col("steps") + F.col("_level")).alias("level"),
         )
+        counts = Observation()
+        moved = moved.observe(counts, F.count("level").alias("found"),
+                              F.count_if(F.col("level").isNull()).alias("waiting"))
         step = materialize(moved, "hierarchy")
-        found, waiting = step.agg(F.count("level"), F.count_if(F.col("level").isNull())).first()
         known = known.unionByName(step.filter(F.col("level").isNotNull()))
-        if not found or not waiting:
+        if not counts.get["found"] or not counts.get["waiting"]:
             break
-    levels = known.select(F.col("employee_id").alias("_id"), "level")
+    levels = known.select(F.col("employee_id").alias("_id"), F.col("level").cast("int").alias("level"))
+    staff = employees.select("employee_id", "name", "role", "manager_id")
     return (
-        employees.select("employee_id", "name", "role", "manager_id")
-        .join(levels, F.col("employee_id") == F.col("_id"))
-        .select("employee_id", "name", "role", "manager_id", F.col("level").cast("int").alias("level"))
+        lookup_join(staff, levels, "employee_id", "_id", "inner", ["employee_id"], small)
+        .select("employee_id", "name", "role", "manager_id", "level")
         .orderBy(rising("level"), rising("manager_id"), "employee_id")
     )

@@ -351,43 +351,53 @@ def cascade_delete(tables: Mapping[str, DataFrame], doomed: Mapping[str, DataFra
     for all of them.
     """
     states = dict(tables)
-    gone: dict[str, DataFrame] = {name: keys.distinct() for name, keys in doomed.items()}
+    gone = {name: _Gone(keys.distinct()) for name, keys in doomed.items()}
     parents = {r.parent for t in TABLES.values() for r in t.references}
     for name in DELETE_ORDER:
         if name not in tables:
             continue
         table, rows = TABLES[name], tables[name]
-        hits = [gone[name].select(F.col(table.key).alias("_own"))] if name in gone else []
-        causes = [(table.key, hits[0])] if hits else []
+        causes = [(table.key, gone[name])] if name in gone else []
         for reference in table.references:
             if reference.on_delete == "cascade" and reference.parent in gone:
-                keys = gone[reference.parent].select(F.col(reference.parent_key).alias("_own"))
-                causes.append((reference.column, keys))
+                causes.append((reference.column, gone[reference.parent]))
         if not causes:
             continue
         own = [table.key] if table.key in rows.columns else []
         kept = rows
-        for column, keys in causes:
-            kept = lookup_join(kept, keys, column, "_own", "left_anti", own)
-        if name in parents or (name == "employees" and "employee_audit" in tables):
-            deleted = None
-            for column, keys in causes:
-                part = lookup_join(rows, keys, column, "_own", "left_semi", own)
-                deleted = part if deleted is None else deleted.unionByName(part)
-            if name == "employees":
-                deleted = materialize(deleted.dropDuplicates([table.key]), "deleted")
-            else:
-                deleted = materialize(deleted.select(table.key).distinct(), "deleted")
-            gone[name] = deleted.select(table.key)
-            for reference in table.references:
-                if reference.on_delete == "set null" and reference.parent == name:
-                    kept = unset_references(kept, reference.column, gone[name], reference.parent_key)
-            if name == "employees" and "employee_audit" in tables:
+        for column, cause in causes:
+            kept = lookup_join(kept, cause.as_column("_own"), column, "_own", "left_anti", own, cause.small)
+        audited = name == "employees" and "employee_audit" in tables
+        if audited or (name in parents and causes != [(table.key, gone.get(name))]):
+            parts = [lookup_join(rows, cause.as_column("_own"), column, "_own", "left_semi", own, cause.small)
+                     for column, cause in causes]
+            deleted = parts[0]
+            for part in parts[1:]:
+                deleted = deleted.unionByName(part)
+            if len(parts) > 1:  # a row may go for several reasons
+                deleted = deleted.dropDuplicates([table.key])
+            deleted = materialize(deleted if audited else deleted.select(table.key), "deleted")
+            gone[name] = _Gone(deleted.select(table.key))
+            if audited:
                 states["employee_audit"] = append_audit(tables["employee_audit"], deleted, as_of)
+        for reference in table.references:
+            if reference.on_delete == "set null" and reference.parent == name:
+                kept = unset_references(kept, reference.column, gone[name].keys, reference.parent_key)
         states[name] = kept
     return states
 
 
+class _Gone:
+    """Deleted keys of one table, measured once."""
+
+    def __init__(self, keys: DataFrame):
+        self.keys = keys
+        self.small = fits_broadcast(keys)
+
+    def as_column(self, name: str) -> DataFrame:
+        return self.keys.select(F.col(self.keys.columns[0]).alias(name))
+
+
 def delete_stale_customers(tables: Mapping[str, DataFrame], as_of: Moment, years: int = 2) -> dict[str, DataFrame]:
     """Delete customers with no order, or with any undated order or order older than ``years``,
     and all that refers to them."""
