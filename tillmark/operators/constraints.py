@@ -48,11 +48,24 @@ def tag_rows(df: DataFrame, rules: Sequence[tuple[str, Column]]) -> DataFrame:
 
 
 def row_violations(df: DataFrame, rules: Sequence[tuple[str, Column]]) -> DataFrame:
-    """One row per input row and violated rule, with the rule's name in ``rule``."""
-    tagged = tag_rows(df, rules)
+    """One row per input row and violated rule, with the rule's name in ``rule``.
+
+    Sound rows are filtered out first, so that only the others get an array to unfold.
+    """
+    any_broken = F.lit(False)
+    for _, violated in rules:
+        any_broken = any_broken | F.coalesce(violated, F.lit(False))
+    tagged = tag_rows(df.filter(any_broken), rules)
     return tagged.select(*df.columns, F.explode(VIOLATIONS).alias("rule"))
 
 
+def count_violations(df: DataFrame, rules: Sequence[tuple[str, Column]]) -> DataFrame:
+    """``rule`` and ``n_rows`` of every violated rule, counted in one pass."""
+    counts = df.agg(*[F.count_if(violated).alias(f"_{n}") for n, (_, violated) in enumerate(rules)])
+    pairs = [F.struct(F.lit(name).alias("rule"), F.col(f"_{n}").alias("n_rows")) for n, (name, _) in enumerate(rules)]
+    return counts.select(F.inline(F.array(*pairs))).filter("n_rows > 0")
+
+
 def repeated_keys(df: DataFrame, keys: Sequence[str], nulls_allowed: bool) -> DataFrame:
     """Keys held by several rows, with ``n_rows``; also keys with a NULL unless these are allowed.
 
@@ -86,9 +99,10 @@ def violations(df: DataFrame, table: Table, parents: Mapping[str, DataFrame]) ->
 
     References to tables that are not in ``parents`` are not tested.
     """
-    tagged = tag_rows(df, row_rules(table)).select(F.explode(VIOLATIONS).alias("rule"))
-    found = tagged.groupBy("rule").agg(F.count(F.lit(1)).alias("n_rows"))
-    found = found.select("rule", F.lit(None).cast("string").alias("value"), "n_rows")
+    found = df.sparkSession.createDataFrame([], "rule string, value string, n_rows bigint")
+    if row_rules(table):
+        counted = count_violations(df, row_rules(table))
+        found = counted.select("rule", F.lit(None).cast("string").alias("value"), "n_rows")
     for name, key in key_rules(table):
         repeated = repeated_keys(df, [key], nulls_allowed=key != table.key)
         found = found.unionByName(

@@ -54,7 +54,7 @@ def employee_hierarchy(employees: DataFrame) -> DataFrame:
     levels = known.select(F.col("employee_id").alias("_id"), F.col("level").cast("int").alias("level"))
     staff = employees.select("employee_id", "name", "role", "manager_id")
     return (
-        lookup_join(staff, levels, "employee_id", "_id", "inner", ["employee_id"], small)
+        lookup_join(staff, levels, "employee_id", "_id", "inner", small=small, hot=None)
         .select("employee_id", "name", "role", "manager_id", "level")
         .orderBy(rising("level"), rising("manager_id"), "employee_id")
     )

@@ -30,6 +30,7 @@ BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 0.002  # a key with a larger share of the rows is hot: at most 500 such keys
 HOT_SAMPLE_ROWS = 1_000_000
+MEASURE = "measure"  # hot keys are to be looked for
 HOT_MIN_ROWS = 500  # fewer sampled rows than this never make a key hot
 
 _HOT, _COPIES, _SALT = "_hot_key", "_copies", "_salt"
@@ -95,12 +96,13 @@ def _salted(fact: DataFrame, dim: DataFrame, on: Column, fact_key: str, dim_key:
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: str = "inner",
-                spread: Sequence[str] = (), small: bool | None = None) -> DataFrame:
+                spread: Sequence[str] = (), small: bool | None = None, hot: DataFrame | str | None = MEASURE) -> DataFrame:
     """Join ``fact`` to ``dim``, whose ``dim_key`` is unique.
 
     ``how``: inner, left (keep all of ``fact``), left_semi or left_anti. ``spread`` names
     columns of ``fact`` that differ between rows of one key, such as its own key.
-    ``small`` is the outcome of the size check where the caller has made it already.
+    ``small`` is the outcome of the size check and ``hot`` that of ``hot_keys``, where the
+    caller knows them already: a key that is unique in ``fact`` too has no hot values (None).
     """
     shared = set(fact.columns) & set(dim.columns)
     if shared:
@@ -108,7 +110,8 @@ def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, ho
     on = F.col(fact_key) == F.col(dim_key)
     if fits_broadcast(dim) if small is None else small:
         return fact.join(F.broadcast(dim), on, how)
-    hot = hot_keys(fact, fact_key)
+    if isinstance(hot, str):
+        hot = hot_keys(fact, fact_key)
     if hot is None:
         return fact.join(dim, on, how)
     return _salted(fact, dim, on, fact_key, dim_key, how, hot, spread)

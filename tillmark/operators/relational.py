@@ -75,6 +75,12 @@ def stale_customers(customers: DataFrame, orders: DataFrame, as_of: Moment, year
     return customers.join(active, F.col("customer_id") == F.col("_buyer"), "left_anti")
 
 
+def active_customers(customers: DataFrame, orders: DataFrame, as_of: Moment, years: int = 2) -> DataFrame:
+    """Customers that are not stale: they have orders, all of them dated and recent enough."""
+    active = order_history(orders, as_of, years).filter(~F.col("_has_old"))
+    return customers.join(active, F.col("customer_id") == F.col("_buyer"), "left_semi")
+
+
 def stock_of_items(order_items: DataFrame, products: DataFrame) -> DataFrame:
     """Every order item with the stock of its product, NULL when the product is unknown."""
     levels = products.select(F.col("product_id").alias("_product"), "stock")

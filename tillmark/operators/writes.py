@@ -30,7 +30,7 @@ from tillmark.operators.constraints import (
     values_of,
 )
 from tillmark.operators.guards import audit_rows, guard_stock
-from tillmark.operators.keyed import fits_broadcast, keys_present, lookup_join
+from tillmark.operators.keyed import fits_broadcast, hot_keys, keys_present, lookup_join
 from tillmark.operators.relational import stale_customers
 from tillmark.schema import TABLES, Table
 from tillmark.session import materialize
@@ -257,7 +257,7 @@ def add_hire_date(employees: DataFrame, as_of: Moment, years: int = 6) -> DataFr
 def refresh_stock(products: DataFrame, shipments: DataFrame) -> DataFrame:
     """Set the stock of delivered products; one row per product in ``shipments``."""
     news = shipments.select(F.col("product_id").alias("_product"), "new_stock")
-    joined = lookup_join(products, news, "product_id", "_product", "left", ["product_id"])
+    joined = lookup_join(products, news, "product_id", "_product", "left", hot=None)
     stock = F.coalesce(F.col("new_stock"), F.col("stock")).alias("stock")
     return joined.select(*[stock if c == "stock" else F.col(c) for c in products.columns])
 
@@ -282,7 +282,7 @@ def update_customers(customers: DataFrame, changes: DataFrame) -> DataFrame:
     """
     fields = ("name", "email", "phone", "city")
     news = changes.select(F.col("customer_id").alias("_customer"), *[F.col(c).alias(f"_new_{c}") for c in fields])
-    joined = lookup_join(customers, news, "customer_id", "_customer", "left", ["customer_id"])
+    joined = lookup_join(customers, news, "customer_id", "_customer", "left", hot=None)
     hit = F.col("_customer").isNotNull()
     return joined.select(*[
         F.when(hit, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in fields else F.col(c)
@@ -294,9 +294,9 @@ def update_customers(customers: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def delete_by_key(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
-    """The rows whose ``key`` is not among ``keys``."""
+    """The rows whose primary ``key`` is not among ``keys``."""
     gone = keys.select(F.col(key).alias("_gone"))
-    return lookup_join(df, gone, key, "_gone", "left_anti", [key])
+    return lookup_join(df, gone, key, "_gone", "left_anti", hot=None)
 
 
 def delete_customers(customers: DataFrame, orders: DataFrame, keys: DataFrame, mode: str = "fail") -> Change:
@@ -331,7 +331,7 @@ def delete_employees(employees: DataFrame, audit: DataFrame, keys: DataFrame, as
     Those who reported to a deleted employee keep their row without a manager.
     """
     gone = keys.select(F.col("employee_id").alias("_gone"))
-    deleted = lookup_join(employees, gone, "employee_id", "_gone", "left_semi", ["employee_id"])
+    deleted = lookup_join(employees, gone, "employee_id", "_gone", "left_semi", hot=None)
     left = delete_by_key(employees, "employee_id", keys)
     left = unset_references(left, "manager_id", keys, "employee_id")
     return Change(left, append_audit(audit, deleted, as_of), keys.limit(0))
@@ -352,8 +352,7 @@ def cascade_delete(tables: Mapping[str, DataFrame], doomed: Mapping[str, DataFra
     """
     states = dict(tables)
     gone = {name: _Gone(keys.distinct()) for name, keys in doomed.items()}
-    parents = {r.parent for t in TABLES.values() for r in t.references}
-    for name in DELETE_ORDER:
+    for place, name in enumerate(DELETE_ORDER):
         if name not in tables:
             continue
         table, rows = TABLES[name], tables[name]
@@ -363,25 +362,33 @@ def cascade_delete(tables: Mapping[str, DataFrame], doomed: Mapping[str, DataFra
                 causes.append((reference.column, gone[reference.parent]))
         if not causes:
             continue
-        own = [table.key] if table.key in rows.columns else []
+        # The rows of one cause are looked for twice: to keep the others and to pass their keys on.
+        measured = {column: None if cause.small or column == table.key else hot_keys(rows, column)
+                    for column, cause in causes}
+
+        def hit(source: DataFrame, column: str, cause: _Gone, how: str) -> DataFrame:
+            spread = [table.key] if table.key in source.columns else source.columns
+            return lookup_join(source, cause.as_column("_own"), column, "_own", how, spread, cause.small,
+                               measured[column])
+
         kept = rows
         for column, cause in causes:
-            kept = lookup_join(kept, cause.as_column("_own"), column, "_own", "left_anti", own, cause.small)
+            kept = hit(kept, column, cause, "left_anti")
         audited = name == "employees" and "employee_audit" in tables
-        if audited or (name in parents and causes != [(table.key, gone.get(name))]):
-            parts = [lookup_join(rows, cause.as_column("_own"), column, "_own", "left_semi", own, cause.small)
-                     for column, cause in causes]
-            deleted = parts[0]
-            for part in parts[1:]:
-                deleted = deleted.unionByName(part)
-            if len(parts) > 1:  # a row may go for several reasons
+        referring = [r for later in DELETE_ORDER[place:] if later in tables
+                     for r in TABLES[later].references if r.parent == name]
+        if audited or (referring and [column for column, _ in causes] != [table.key]):
+            deleted = hit(rows, *causes[0], "left_semi")
+            for cause in causes[1:]:
+                deleted = deleted.unionByName(hit(rows, *cause, "left_semi"))
+            if len(causes) > 1:  # a row may go for several reasons
                 deleted = deleted.dropDuplicates([table.key])
             deleted = materialize(deleted if audited else deleted.select(table.key), "deleted")
             gone[name] = _Gone(deleted.select(table.key))
             if audited:
                 states["employee_audit"] = append_audit(tables["employee_audit"], deleted, as_of)
-        for reference in table.references:
-            if reference.on_delete == "set null" and reference.parent == name:
+        for reference in referring:
+            if reference.on_delete == "set null":
                 kept = unset_references(kept, reference.column, gone[name].keys, reference.parent_key)
         states[name] = kept
     return states
@@ -400,6 +407,7 @@ class _Gone:
 
 def delete_stale_customers(tables: Mapping[str, DataFrame], as_of: Moment, years: int = 2) -> dict[str, DataFrame]:
     """Delete customers with no order, or with any undated order or order older than ``years``,
-    and all that refers to them."""
+    and all that refers to them. (Where only the customers that stay are wanted,
+    ``relational.active_customers`` gives them in one job.)"""
     stale = stale_customers(tables["customers"], tables["orders"], as_of, years).select("customer_id")
     return cascade_delete(tables, {"customers": materialize(stale, "stale")}, as_of)

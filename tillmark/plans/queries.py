@@ -555,22 +555,28 @@ def delete_audit(r: Retail) -> DataFrame:
 
 @query
 def delete_stale_customers(r: Retail) -> DataFrame:
-    return writes.delete_stale_customers(r.tables(), STALE_DAY)["customers"]
+    return relational.active_customers(r.customers, r.orders, STALE_DAY)
+
+
+def _without_stale(r: Retail, *names: str) -> dict[str, DataFrame]:
+    """States of the customers, the orders and the named tables after deleting stale customers."""
+    held = {name: getattr(r, name) for name in ("customers", "orders", *names)}
+    return writes.delete_stale_customers(held, STALE_DAY)
 
 
 @query
 def cascade_delete_orders(r: Retail) -> DataFrame:
-    return writes.delete_stale_customers(r.tables(), STALE_DAY)["orders"]
+    return _without_stale(r)["orders"]
 
 
 @query
 def cascade_delete_items(r: Retail) -> DataFrame:
-    return writes.delete_stale_customers(r.tables(), STALE_DAY)["order_items"]
+    return _without_stale(r, "order_items")["order_items"]
 
 
 @query
 def cascade_delete_payments(r: Retail) -> DataFrame:
-    return writes.delete_stale_customers(r.tables(), STALE_DAY)["payments"]
+    return _without_stale(r, "payments")["payments"]
 
 
 @query
