@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.operators.keyed import fits_broadcast, keys_missing, lookup_join
+from tillmark.operators.keyed import fits_broadcast, hot_keys, keys_missing, lookup_join
 from tillmark.schema import Reference, Table
 from tillmark.session import materialize
 
@@ -173,7 +173,8 @@ def tag_keys(tagged: DataFrame, batch: DataFrame, rules: Sequence[tuple[str, str
     small = fits_broadcast(clashes)
     for name, column in rules:
         before = tagged.columns
-        tagged = lookup_join(tagged, values_of(clashes, column, batch), column, "_clash", "left", spread, small)
+        hot = None if small else hot_keys(batch, column)
+        tagged = lookup_join(tagged, values_of(clashes, column, batch), column, "_clash", "left", spread, small, hot)
         broken = F.col("_stored") | (F.col("_turn") != F.col("_first"))
         if column == key:
             broken = F.col(column).isNull() | broken
@@ -190,7 +191,9 @@ def tag_references(tagged: DataFrame, batch: DataFrame, table: Table, parents: M
         before = tagged.columns
         missing = keys_missing(parents[reference.parent], reference.parent_key, batch, reference.column)
         missing = missing.select(F.col(reference.column).alias("_missing"))
-        tagged = lookup_join(tagged, missing, reference.column, "_missing", "left", spread)
+        small = fits_broadcast(missing)
+        hot = None if small else hot_keys(batch, reference.column)
+        tagged = lookup_join(tagged, missing, reference.column, "_missing", "left", spread, small, hot)
         tagged = _with_rule(tagged, before, F.col("_missing").isNotNull(), f"reference {reference.column}")
     return tagged
 

@@ -53,10 +53,10 @@ def assign_keys(batch: DataFrame, key: str, order_by: Sequence[str], after: int
     The batch is sorted into ranges over all tasks and written with each row's range and place
     in it; the first number of a range follows from the row counts of the ranges before it (one
     small row per range). No task sees more than its own range. Rows that are alike in
-    ``order_by`` are split by place of arrival.
+    ``order_by`` are split by place of arrival, which is written down first: a task that runs
+    again after a lost executor then sorts by the same values.
     """
-    arrived = batch.withColumn("_arrival", F.monotonically_increasing_id())
-    ranged = arrived.orderBy(*order_by, "_arrival").drop("_arrival")
+    ranged = in_order(batch, order_by).orderBy(*order_by, "_turn").drop("_turn")
     placed = ranged.select("*", F.spark_partition_id().alias("_range"),
                            F.monotonically_increasing_id().alias("_place"))
     # The place counts up from 2^33 times the number of the range.
@@ -136,9 +136,10 @@ def insert_ignore(existing: DataFrame, batch: DataFrame, unique: Sequence[str],
     turns = value_turns(waiting, unique)
     stored = stored_values(existing, unique, turns)
     if not stored.isEmpty():
-        small = fits_broadcast(stored)
+        small, arrived = fits_broadcast(stored), waiting
         for key in unique:
-            waiting = lookup_join(waiting, values_of(stored, key, batch), key, "_clash", "left_anti", columns, small)
+            hot = None if small else hot_keys(arrived, key)
+            waiting = lookup_join(waiting, values_of(stored, key, batch), key, "_clash", "left_anti", columns, small, hot)
         turns = value_turns(waiting, unique)
     settled: list[DataFrame] = []
     while True:
@@ -151,7 +152,8 @@ def insert_ignore(existing: DataFrame, batch: DataFrame, unique: Sequence[str],
         judged, first = waiting, F.lit(True)
         for key in keys:
             leaders = values_of(repeated, key, batch).withColumnRenamed("_first", "_leader")
-            judged = lookup_join(judged, leaders, key, "_clash", "left", columns, small)
+            hot = None if small else hot_keys(waiting, key)
+            judged = lookup_join(judged, leaders, key, "_clash", "left", columns, small, hot)
             first = first & (F.col(f"_leads_{key}") | F.col(f"_leads_{key}").isNull())
             judged = judged.withColumn(f"_leads_{key}", F.col("_turn") == F.col("_leader")).drop("_clash", "_leader")
         judged = materialize(judged.withColumn("_goes_in", first), "judged")
