@@ -48,6 +48,13 @@ def test_csv_types_and_nulls(spark, tmp_path):
         csv.scan_csv(spark, str(tmp_path / "bad.csv"), SHIPMENTS).collect()
 
 
+def test_csv_line_breaks(spark, tmp_path):
+    df = spark.createDataFrame([(1, "two\nlines"), (2, "one")], "a int, b string")
+    path = files.export_csv(df, str(tmp_path / "out"))
+    back = csv.scan_csv(spark, path, df.schema, line_breaks=True)
+    assert {tuple(r) for r in back.collect()} == {(1, "two\nlines"), (2, "one")}
+
+
 def test_sorted_export_keeps_its_order(spark, tmp_path):
     df = spark.range(1000).withColumn("v", F.col("id") * 37 % 1000).orderBy(F.desc("v"), "id")
     path = files.export_csv(df, str(tmp_path / "sorted"))
@@ -191,6 +198,13 @@ def test_nulls_sort_as_in_the_database(spark):
     assert [r[0] for r in df.orderBy(rising("order_date")).collect()] == [2, 3, 1]
 
 
+def test_settings_grow_with_the_input():
+    small, large = session.settings_for(10**9, 8), session.settings_for(10**14, 8000)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert 90_000 < int(large["spark.sql.shuffle.partitions"]) < 100_000
+    assert int(large["spark.sql.files.maxPartitionBytes"]) == 1024 * 1024 * 1024
+
+
 def test_shared_folder_follows_the_session(spark):
     assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     written = session.materialize(spark.range(3).toDF("x"))

@@ -22,13 +22,14 @@ def timed_run(build: Build) -> tuple[float, int]:
     return seconds, seen.get["rows"]
 
 
-def timed_queries(spark: SparkSession, builds: Mapping[str, Build], runs: int = 1) -> DataFrame:
-    """``query``, ``run``, ``seconds``, ``n_rows`` of each named query."""
+def timed_queries(spark: SparkSession, builds: Mapping[str, Build], runs: int = 1, echo: bool = False) -> DataFrame:
+    """``query``, ``run``, ``seconds``, ``n_rows`` of each named query; ``echo`` also prints them."""
     rows = []
     for name, build in builds.items():
         for run in range(1, runs + 1):
             seconds, count = timed_run(build)
-            print(f"{name}: {count} rows in {seconds:.6f} seconds")
+            if echo:
+                print(f"{name}: {count} rows in {seconds:.6f} seconds")
             rows.append((name, run, seconds, count))
     return spark.createDataFrame(rows, "query string, run int, seconds double, n_rows bigint")
 

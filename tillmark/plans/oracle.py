@@ -114,6 +114,19 @@ def _broken(table: str, rules: dict[str, str]) -> str:
     return " UNION ALL ".join(f"SELECT *, '{name}' AS rule FROM {table} WHERE {test}" for name, test in rules.items())
 
 
+# Raw table that each retail table has one row per row of, and the retail tables' columns.
+_SOURCES = {"stores": "nation", "employees": "supplier", "customers": "customer", "suppliers": "supplier",
+            "products": "part", "orders": "orders", "order_items": "lineitem", "payments": "orders"}
+_COLUMNS = {
+    "stores": "store_id name location manager_id",
+    "employees": "employee_id name role store_id salary manager_id",
+    "customers": "customer_id name email phone city",
+    "suppliers": "supplier_id name contact_person phone city",
+    "products": "product_id name category price stock supplier_id",
+    "orders": "order_id customer_id store_id order_date total_amount",
+    "order_items": "order_id line_no product_id quantity price",
+    "payments": "payment_id order_id amount payment_method payment_date",
+}
 _REQUIRED = {f"required {c}": f"{c} IS NULL" for c in ("name", "email", "phone", "city")}
 _LENGTHS = {f"length {c}": f"length({c}) > {n}" for c, n in (("name", 255), ("email", 255), ("phone", 15), ("city", 100))}
 _EMAIL = {"check email LIKE ''%@%.%''": "NOT (email LIKE '%@%.%')"}
@@ -137,6 +150,14 @@ ORACLE: dict[str, str] = {
         FROM (VALUES ('Cash'), ('Credit Card'), ('UPI'), ('Net Banking'), ('Cheque')) v(payment_method)
         LEFT JOIN paid ON paid.payment_method = v.payment_method GROUP BY 1"""),
     "temp_table": _with("line", _SHIPPED),
+    "list_tables": " UNION ALL ".join(
+        f"SELECT 'retail_{name}' AS table_name, count(*) AS n_rows FROM {source}" for name, source in _SOURCES.items()),
+    "list_columns": " UNION ALL ".join(
+        f"SELECT 'retail_{table}' AS table_name, '{column}' AS column_name, {place} AS place, "
+        + ("CAST(0 AS BIGINT)" if (table, column) == ("stores", "manager_id") else
+           "(SELECT count(*) FROM supplier WHERE s_suppkey >= 3)" if column == "manager_id" else
+           f"(SELECT count(*) FROM {_SOURCES[table]})") + " AS n_values"
+        for table, columns in _COLUMNS.items() for place, column in enumerate(columns.split(), 1)),
     # sinks
     "export_csv": _with("line goods", _BEST),
     "export_columns_csv": "SELECT p_partkey AS product_id, p_name AS name, p_size AS stock FROM part",

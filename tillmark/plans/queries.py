@@ -89,6 +89,25 @@ def temp_table(r: Retail) -> DataFrame:
     return csv.shipments_table(r.spark, path, "retail_temp_shipments")
 
 
+@query
+def list_tables(r: Retail) -> DataFrame:
+    """The tables of the shop that the catalog lists, with their sizes."""
+    registered = r.register_views("retail_")
+    found = tables.list_tables(r.spark).filter(F.col("table_name").isin(registered))
+    sizes = tables.count_rows(r.spark, registered).withColumnRenamed("table_name", "_name")
+    return found.join(sizes, F.col("table_name") == F.col("_name")).drop("_name")
+
+
+@query
+def list_columns(r: Retail) -> DataFrame:
+    """The columns of every table of the shop, with the number of rows that hold a value."""
+    found = None
+    for name in r.register_views("retail_"):
+        one = tables.count_values(r.spark, name)
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 def _shipments(r: Retail) -> DataFrame:
     """New stock for every ordered product: the largest quantity ordered at once."""
     return r.order_items.groupBy("product_id").agg(F.max("quantity").alias("new_stock"))

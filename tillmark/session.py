@@ -33,8 +33,23 @@ def build_session(app_name: str = "tillmark", master: str | None = None, **extra
     return builder.getOrCreate()
 
 
+def settings_for(input_bytes: int, cores: int, shuffled_share: float = 0.5) -> dict[str, str]:
+    """Session settings sized for a job: up to 512 MB of shuffled data per task, at least two
+    tasks per core, and input splits of 16 MB to 1 GB. Scans stream, so large splits cost no
+    memory, and they keep the number of shuffle blocks (scan tasks times shuffle partitions)
+    in bounds. Adaptive execution merges partitions that turn out small."""
+    mb = 1024 * 1024
+    tasks = max(2 * cores, int(input_bytes * shuffled_share / (512 * mb)) + 1)
+    split = min(1024 * mb, max(16 * mb, input_bytes // (2 * cores)))
+    return {
+        "spark.sql.shuffle.partitions": str(tasks),
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * mb),
+    }
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, named by ``spark.checkpoint.dir``.
+    """The folder all executors can reach, named by ``spark.checkpoint.dir`` or set on the context.
 
     A machine-local folder is made only for a local master that names none.
     """
@@ -42,6 +57,8 @@ def shared_folder(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
+    if context.getCheckpointDir():
+        return context.getCheckpointDir().rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _local_folders:

@@ -9,13 +9,14 @@ from tillmark.schema import SHIPMENTS
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, null_value: str = "",
-             mode: str = "FAILFAST") -> DataFrame:
+             mode: str = "FAILFAST", line_breaks: bool = False) -> DataFrame:
     """Read CSV with a header. Without a schema the types are inferred, which reads the data twice.
 
     A quote inside a quoted value is doubled. ``mode`` is Spark's: by default a malformed row raises.
+    ``line_breaks`` allows them inside quoted values; each file is then read by one task.
     """
     reader = spark.read.option("header", True).option("escape", '"').option("nullValue", null_value).option(
-        "mode", mode)
+        "mode", mode).option("multiLine", line_breaks)
     if schema is not None:
         return reader.schema(schema).csv(path)
     return reader.option("inferSchema", True).csv(path)

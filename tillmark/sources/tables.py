@@ -48,3 +48,23 @@ def list_tables(spark: SparkSession) -> DataFrame:
 def list_columns(spark: SparkSession, table: str) -> list[str]:
     """Column names in order; empty when there is no such table."""
     return spark.table(table).columns if spark.catalog.tableExists(table) else []
+
+
+def count_rows(spark: SparkSession, names: Sequence[str]) -> DataFrame:
+    """``table_name`` and ``n_rows`` of the named tables."""
+    counts = None
+    for name in names:
+        one = spark.table(name).select(F.lit(name).alias("table_name"))
+        counts = one if counts is None else counts.unionByName(one)
+    return counts.groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def count_values(spark: SparkSession, name: str) -> DataFrame:
+    """``table_name``, ``column_name``, its place, and how many rows hold a value, in one pass."""
+    columns = list_columns(spark, name)
+    counts = spark.table(name).agg(*[F.count(c).alias(c) for c in columns])
+    listed = [
+        F.struct(F.lit(c).alias("column_name"), F.lit(place).alias("place"), F.col(c).alias("n_values"))
+        for place, c in enumerate(columns, 1)
+    ]
+    return counts.select(F.lit(name).alias("table_name"), F.inline(F.array(*listed)))
