@@ -42,21 +42,22 @@ def row_rules(table: Table) -> list[tuple[str, Column]]:
 
 def tag_rows(df: DataFrame, rules: Sequence[tuple[str, Column]]) -> DataFrame:
     """Add the names of the violated rules as an array column; one pass, no shuffle."""
-    broken = [F.when(violated, F.lit(name)) for name, violated in rules]
-    empty = F.array().cast("array<string>")
-    return df.withColumn(VIOLATIONS, F.array_compact(F.array(*broken)) if broken else empty)
+    none = F.array().cast("array<string>")
+    broken = [F.when(violated, F.array(F.lit(name))).otherwise(none) for name, violated in rules]
+    return df.withColumn(VIOLATIONS, F.concat(none, *broken))
 
 
 def row_violations(df: DataFrame, rules: Sequence[tuple[str, Column]]) -> DataFrame:
     """One row per input row and violated rule, with the rule's name in ``rule``.
 
-    Sound rows are filtered out first, so that only the others get an array to unfold.
+    Sound rows are filtered out first, so that only the others are unfolded.
     """
     any_broken = F.lit(False)
     for _, violated in rules:
         any_broken = any_broken | F.coalesce(violated, F.lit(False))
-    tagged = tag_rows(df.filter(any_broken), rules)
-    return tagged.select(*df.columns, F.explode(VIOLATIONS).alias("rule"))
+    names = F.array(*[F.when(violated, F.lit(name)) for name, violated in rules])
+    unfolded = df.filter(any_broken).select(*df.columns, F.explode(names).alias("rule"))
+    return unfolded.filter(F.col("rule").isNotNull())
 
 
 def count_violations(df: DataFrame, rules: Sequence[tuple[str, Column]]) -> DataFrame:
