@@ -10,7 +10,7 @@ from tests.conftest import FOLDER
 from tests.seed import shop
 from tillmark import session
 from tillmark.operators import relational, reports
-from tillmark.plans.measure import explain_query, timed_queries
+from tillmark.plans.measure import explain_query, explain_run, timed_queries
 from tillmark.plans.queries import QUERIES
 from tillmark.schema import SALES, SHIPMENTS, TABLES
 from tillmark.sinks import files, jobs
@@ -172,6 +172,12 @@ def test_filters_reach_the_scan(spark):
     assert "StringContains" not in ilike and "IsNotNull(p_name)" in ilike
 
 
+    function = QUERIES["sales_report_function"](spark, FOLDER)
+    assert "GreaterThanOrEqual(o_orderdate,1998-05-01T00:00)" in explain_query(function)
+    run = explain_run(lambda: relational.orders_of(r.orders, 5))
+    assert f"actual rows: {relational.orders_of(r.orders, 5).count()}" in run and "FileScan" not in run.split("actual")[1]
+
+
 def test_scans_read_few_columns(spark):
     plan = explain_query(QUERIES["store_revenue"](spark, FOLDER))
     assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in plan

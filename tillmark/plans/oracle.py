@@ -47,6 +47,11 @@ _TABLES = {
                                              ELSE lpad(CAST(c_custkey AS VARCHAR), 15, '0') END AS phone,
                            c_mktsegment AS city
                     FROM customer""",
+    "odd_sale": """SELECT o_orderkey AS order_id,
+                          CASE o_orderstatus WHEN 'F' THEN o_custkey WHEN 'O' THEN -1 - o_custkey END AS customer_id,
+                          o_orderkey % 25 AS store_id, o_orderdate AS order_date,
+                          CAST(o_totalprice AS DECIMAL(10,2)) AS total_amount
+                   FROM orders""",
     "odd_line": """SELECT l_orderkey AS order_id, l_linenumber AS line_no,
                           CASE WHEN l_returnflag = 'R' THEN -1 - l_partkey ELSE l_partkey END AS product_id,
                           CAST(l_quantity - 5 AS INT) AS quantity, CAST(l_extendedprice AS DECIMAL(10,2)) AS price
@@ -171,29 +176,26 @@ ORACLE: dict[str, str] = {
     "clustered_layout": _with("sale", "SELECT * FROM sale"),
     # projections and filters
     "project_alias": "SELECT s_suppkey + 1 AS emp_id, s_name AS employee_name FROM supplier",
-    "join_star": _with("buyer sale", f"SELECT {_WIDE} FROM sale s RIGHT JOIN buyer b ON b.customer_id = s.customer_id"),
+    "join_star": _with("buyer odd_sale", f"SELECT {_WIDE} FROM odd_sale s RIGHT JOIN buyer b ON b.customer_id = s.customer_id"),
     "const_columns": "SELECT s_suppkey + 1 AS id, s_name AS name, CAST(NULL AS VARCHAR) AS email, 'Employee' AS type FROM supplier",
     "filter_eq": _with("sale", "SELECT * FROM sale WHERE customer_id IN (5)"),
     "filter_ilike": _with("goods", "SELECT * FROM goods WHERE contains(lower(name), 'ring')"),
     "filter_like": _with("odd_buyer", "SELECT * FROM odd_buyer WHERE contains(email, '@')"),
-    "filter_is_null": _with("staff", "SELECT * FROM staff WHERE employee_id <= 3"),
+    "filter_is_null": _with("staff", "SELECT * FROM staff WHERE manager_id IS NULL"),
     "filter_or_null": _with("sale", "SELECT * FROM sale WHERE coalesce(order_date, TIMESTAMP '1900-01-01') < TIMESTAMP '1996-02-01'"),
     "filter_recent": _with("sale", "SELECT * FROM sale WHERE NOT order_date < TIMESTAMP '2001-08-01' - INTERVAL '6' MONTH"),
     "filter_month_year": _with("sale", "SELECT * FROM sale WHERE month(order_date) = 12 AND year(order_date) = 1999"),
-    "filter_in_list": _with("paid", "SELECT * FROM paid WHERE payment_id % 2 = 0"),
+    "filter_in_list": _with("paid", "SELECT * FROM paid WHERE payment_method = 'UPI' OR payment_method = 'Cash'"),
     "filter_in_subquery": _with("stale", "SELECT * FROM buyer WHERE customer_id IN (FROM stale)"),
-    "filter_exists": _with("buyer", "SELECT * FROM buyer WHERE customer_id IN (SELECT o_custkey FROM orders)"),
+    "filter_exists": _with("buyer", "SELECT * FROM buyer WHERE EXISTS (FROM orders WHERE o_custkey = customer_id AND o_orderstatus = 'F')"),
     "scalar_lookup": _with("odd_line goods", """SELECT order_id, line_no, product_id, quantity, price,
         (SELECT max(stock) FROM goods WHERE goods.product_id = odd_line.product_id) AS stock FROM odd_line"""),
     "case_when": _with("sale", "SELECT order_id, if(month(order_date) = 5, total_amount, CAST(0 AS DECIMAL(10,2))) AS may_amount FROM sale"),
     # joins
     "join_inner": _with("buyer sale", f"SELECT {_PAIR} FROM buyer b, sale s WHERE s.customer_id = b.customer_id"),
-    "join_left": _with("buyer sale", f"""SELECT {_PAIR} FROM buyer b
-        LEFT JOIN (FROM sale WHERE total_amount > 400000) s ON s.customer_id = b.customer_id"""),
-    "join_right": _with("buyer sale", f"""SELECT {_PAIR} FROM sale s
-        LEFT JOIN (FROM buyer WHERE city = 'BUILDING') b ON s.customer_id = b.customer_id"""),
-    "join_full": _with("buyer sale", f"""SELECT {_PAIR} FROM (FROM sale WHERE total_amount > 400000) s
-        FULL OUTER JOIN (FROM buyer WHERE city = 'BUILDING') b ON s.customer_id = b.customer_id"""),
+    "join_left": _with("buyer odd_sale", f"SELECT {_PAIR} FROM buyer b LEFT JOIN odd_sale s ON s.customer_id = b.customer_id"),
+    "join_right": _with("buyer odd_sale", f"SELECT {_PAIR} FROM odd_sale s LEFT JOIN buyer b ON s.customer_id = b.customer_id"),
+    "join_full": _with("buyer odd_sale", f"SELECT {_PAIR} FROM odd_sale s FULL OUTER JOIN buyer b ON s.customer_id = b.customer_id"),
     "join_self": _with("staff", """SELECT x.employee_id AS emp_id, x.name AS employee_name, y.employee_id AS manager_id,
         y.name AS manager_name FROM staff x LEFT JOIN staff y ON y.employee_id = x.manager_id"""),
     "join_fact_dim": _with("sale shop", """SELECT order_id, store_id, shop.name AS store_name, order_date, total_amount
@@ -298,9 +300,11 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'orders', count(*) FROM sale WHERE store_id IN (SELECT store_id FROM shop WHERE location <> 'ASIA')
         UNION ALL SELECT 'order_items', count(*) FROM line INNER JOIN sale USING (order_id) INNER JOIN shop USING (store_id) WHERE location <> 'ASIA'
         UNION ALL SELECT 'payments', count(*) FROM paid INNER JOIN sale USING (order_id) INNER JOIN shop USING (store_id) WHERE location <> 'ASIA'"""),
-    "delete_customer": _with("buyer", "SELECT * FROM buyer WHERE customer_id IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)"),
+    "delete_customer": _with("buyer", "SELECT * FROM buyer WHERE customer_id IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')"),
     # stock guard
     "stock_guard": _with("line goods", "SELECT line.* FROM line INNER JOIN goods USING (product_id) WHERE stock >= quantity"),
     "stock_guard_rejected": _with("line goods", "SELECT line.*, stock FROM line INNER JOIN goods USING (product_id) WHERE stock < quantity"),
     "stock_guard_stream": _with("line goods", "SELECT line.* FROM line INNER JOIN goods USING (product_id) WHERE NOT stock < quantity"),
 }
+for _same in ("customer_orders", "sales_report"):
+    ORACLE[f"{_same}_function"] = ORACLE[_same]

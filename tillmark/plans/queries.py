@@ -16,7 +16,7 @@ from tillmark.plans.measure import timed_queries
 from tillmark.schema import PAYMENT_METHODS, TABLES, Reference
 from tillmark.session import scratch_path
 from tillmark.sinks import files, jobs
-from tillmark.sinks.tables import create_report_views, create_table
+from tillmark.sinks.tables import create_report_functions, create_report_views, create_table
 from tillmark.sources import csv, tables
 from tillmark.sources.retail import Retail
 from tillmark.streaming.stock import guard_arriving_items
@@ -189,7 +189,7 @@ def project_alias(r: Retail) -> DataFrame:
 
 @query
 def join_star(r: Retail) -> DataFrame:
-    return relational.customers_orders_wide(r.customers, r.orders)
+    return relational.customers_orders_wide(r.customers, r.unchecked_orders)
 
 
 @query
@@ -245,7 +245,7 @@ def filter_in_subquery(r: Retail) -> DataFrame:
 
 @query
 def filter_exists(r: Retail) -> DataFrame:
-    return relational.customers_with_orders(r.customers, r.orders)
+    return relational.customers_with_orders(r.customers, r.unchecked_orders)
 
 
 @query
@@ -269,27 +269,17 @@ def join_inner(r: Retail) -> DataFrame:
 
 @query
 def join_left(r: Retail) -> DataFrame:
-    return relational.customer_orders_left(r.customers, _large_orders(r))
+    return relational.customer_orders_left(r.customers, r.unchecked_orders)
 
 
 @query
 def join_right(r: Retail) -> DataFrame:
-    return relational.customer_orders_right(_builders(r), r.orders)
+    return relational.customer_orders_right(r.customers, r.unchecked_orders)
 
 
 @query
 def join_full(r: Retail) -> DataFrame:
-    return relational.customer_orders_full(_builders(r), _large_orders(r))
-
-
-def _large_orders(r: Retail) -> DataFrame:
-    """Orders above 400,000, which many customers never place: leaves customers unmatched."""
-    return r.orders.filter(F.col("total_amount") > 400000)
-
-
-def _builders(r: Retail) -> DataFrame:
-    """Customers of one segment: leaves orders of the other segments unmatched."""
-    return r.customers.filter(F.col("city") == "BUILDING")
+    return relational.customer_orders_full(r.customers, r.unchecked_orders)
 
 
 @query
@@ -355,6 +345,20 @@ def customer_orders(r: Retail) -> DataFrame:
     return reports.customer_orders(r.orders, 5)
 
 
+@query
+def customer_orders_function(r: Retail) -> DataFrame:
+    r.register_views("retail_")
+    create_report_functions(r.spark, "retail_")
+    return r.spark.sql("SELECT * FROM retail_customer_orders(5)")
+
+
+@query
+def sales_report_function(r: Retail) -> DataFrame:
+    r.register_views("retail_")
+    create_report_functions(r.spark, "retail_")
+    return r.spark.sql("SELECT * FROM retail_sales_report(5, 1998)")
+
+
 @query
 def employee_hierarchy(r: Retail) -> DataFrame:
     return hierarchy.employee_hierarchy(r.employees)
@@ -539,7 +543,7 @@ def add_product_stock(r: Retail) -> DataFrame:
 
 @query
 def update_customer(r: Retail) -> DataFrame:
-    moved = _builders(r).select("customer_id", F.upper("name").alias("name"),
+    moved = r.customers.filter(F.col("city") == "BUILDING").select("customer_id", F.upper("name").alias("name"),
                                 F.concat(F.col("customer_id"), F.lit("@example.org")).alias("email"), "phone",
                                 F.lit("Springfield").alias("city"))
     return writes.update_customers(r.customers, moved)
@@ -613,7 +617,7 @@ def cascade_delete_stores(r: Retail) -> DataFrame:
 
 @query
 def delete_customer(r: Retail) -> DataFrame:
-    return writes.delete_customers(r.customers, _large_orders(r), r.customers.select("customer_id"),
+    return writes.delete_customers(r.customers, r.unchecked_orders, r.customers.select("customer_id"),
                                    mode="quarantine").state
 
 

@@ -35,6 +35,23 @@ def create_report_views(spark: SparkSession, prefix: str = "") -> None:
     create_view(store_revenue(table("orders"), table("stores")), prefix + "store_revenue")
 
 
+def create_report_functions(spark: SparkSession, prefix: str = "") -> None:
+    """SQL table functions over the registered orders: ``customer_orders(id)`` and
+    ``sales_report(month, year)``. They are inlined, so their conditions reach the scan."""
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {prefix}customer_orders(wanted BIGINT)
+        RETURNS TABLE (order_id BIGINT, store_id BIGINT, order_date TIMESTAMP_NTZ, total_amount DECIMAL(10,2))
+        RETURN SELECT o.order_id, o.store_id, o.order_date, o.total_amount FROM {prefix}orders AS o
+               WHERE o.customer_id = wanted""")
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {prefix}sales_report(in_month INT, in_year INT)
+        RETURNS TABLE (store_id BIGINT, total_sales DECIMAL(20,2))
+        RETURN SELECT o.store_id, CAST(sum(o.total_amount) AS DECIMAL(20,2)) FROM {prefix}orders AS o
+               WHERE o.order_date >= CAST(make_date(in_year, in_month, 1) AS TIMESTAMP_NTZ)
+                 AND o.order_date < CAST(add_months(make_date(in_year, in_month, 1), 1) AS TIMESTAMP_NTZ)
+               GROUP BY o.store_id""")
+
+
 def publish(state: DataFrame, name: str, base: str, version: str) -> DataFrame:
     """Write the new state of a table as ``base/name/version=...`` and point its view there.
 

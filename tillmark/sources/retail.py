@@ -133,6 +133,16 @@ class Retail:
             F.when(segment != "HOUSEHOLD", F.col("c_name")).alias("name"),
             address.alias("email"), phone.alias("phone"), segment.alias("city"))
 
+    @cached_property
+    def unchecked_orders(self) -> DataFrame:
+        """All orders: pending ones name no customer, open ones an unknown customer."""
+        status = F.col("o_orderstatus")
+        customer = F.when(status == "F", F.col("o_custkey")).when(status == "O", -1 - F.col("o_custkey"))
+        return self.raw("orders").select(
+            F.col("o_orderkey").alias("order_id"), customer.alias("customer_id"),
+            (F.col("o_orderkey") % 25).alias("store_id"), F.col("o_orderdate").alias("order_date"),
+            money(F.col("o_totalprice")).alias("total_amount"))
+
     @cached_property
     def unchecked_items(self) -> DataFrame:
         """All order items: small quantities fall to 0 or below, returned items name no product."""
