@@ -86,6 +86,12 @@ def test_append_defaults(spark, t):
     assert writes.append_rows(t["orders"], given, TABLES["orders"], t, as_of=day).rows.first()["order_date"] is None
 
 
+def test_append_dates_by_the_clock(spark, t):
+    news = spark.createDataFrame([(1, 1, Decimal("5.00"))], "customer_id bigint, store_id bigint, total_amount decimal(10,2)")
+    day = writes.append_rows(t["orders"], news, TABLES["orders"], t).rows.first()["order_date"]
+    assert abs(day - dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)) < dt.timedelta(minutes=10)
+
+
 def test_append_items_guard_and_rules(spark, t, way):
     rows = [(None, 1, 4, 21, Decimal(1)), (None, 1, 4, 20, Decimal(1)), (None, 1, 99, 5, Decimal(1)), (None, 999, 1, 5, Decimal(1)),
             (None, 1, 1, 0, Decimal(1)), (None, None, None, None, None)]
@@ -145,7 +151,8 @@ def test_conflict_column_must_be_unique(spark, t):
 
 def test_import_by_position(spark, t, way):
     texts = spark.createDataFrame(
-        [("1", "A", "a@x.y", "77", "T"), ("30", "B", "b@x.y", "78", "T"), ("31", "C", "b@x.y", "79", "T")], "c1 string, c2 string, c3 string, c4 string, c5 string")
+        [("1", "A", "a@x.y", "77", "T"), ("30", "B", "b@x.y", "78", "T"), ("31", "C", "b@x.y", "79", "T")],
+        ", ".join(f"c{n} string" for n in range(1, 6)))
     change = writes.import_ignore(t["customers"], texts, TABLES["customers"], order_by=["customer_id"])
     assert [r["customer_id"] for r in change.rows.collect()] == [30]
     bad = texts.withColumn("c3", F.lit("nobody"))
@@ -153,7 +160,9 @@ def test_import_by_position(spark, t, way):
         writes.import_ignore(t["customers"], bad, TABLES["customers"])
     with pytest.raises(ValueError, match="5 columns"):
         writes.import_ignore(t["customers"], texts.drop("c5"), TABLES["customers"])
-    orders = spark.createDataFrame([("500", "1", "1", "2025-01-01 00:00:00", "5"), ("501", "77", "1", "2025-01-01 00:00:00", "5")], "a string, b string, c string, d string, e string")
+    orders = spark.createDataFrame(
+        [("500", "1", "1", "2025-01-01 00:00:00", "5"), ("501", "77", "1", "2025-01-01 00:00:00", "5")],
+        "a string, b string, c string, d string, e string")
     with pytest.raises(RuleBroken, match="reference customer_id: 1"):
         writes.import_ignore(t["orders"], orders, TABLES["orders"], t)
     kept = writes.import_ignore(t["orders"], orders, TABLES["orders"], t, mode="quarantine")
@@ -161,7 +170,7 @@ def test_import_by_position(spark, t, way):
 
 
 def test_text_rows(spark):
-    table = TABLES["temp"] if "temp" in TABLES else TABLES["products"]
+    table = TABLES["products"]
     texts = spark.createDataFrame([(" 7 ", "NULL", "c", "1.5", "null", "x")], ",".join(f"{c} string" for c in table.columns.names))
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         writes.typed_rows(texts, table).collect()

@@ -22,9 +22,9 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return reader.option("inferSchema", True).csv(path)
 
 
-def scan_csv_text(spark: SparkSession, path: str) -> DataFrame:
+def scan_csv_text(spark: SparkSession, path: str, null_value: str = "") -> DataFrame:
     """Read CSV with a header as text columns."""
-    return spark.read.option("header", True).option("escape", '"').csv(path)
+    return spark.read.option("header", True).option("escape", '"').option("nullValue", null_value).csv(path)
 
 
 def shipments_table(spark: SparkSession, path: str, name: str = "temp_shipments") -> DataFrame:
