@@ -211,9 +211,9 @@ def split_valid(batch: DataFrame, table: Table, parents: Mapping[str, DataFrame]
 
     Tested are the row rules, the references to the given ``parents``, and keys against the
     ``existing`` rows and earlier rows of the batch. ``numbered`` says that the key was just
-    assigned beyond all stored keys, so that it cannot clash.
+    assigned in order beyond all stored keys: it cannot clash and gives the order.
     """
-    batch = in_order(batch, order_by)
+    batch = batch.withColumn("_turn", F.col(table.key)) if numbered else in_order(batch, order_by)
     columns = [c for c in batch.columns if c != "_turn"]
     rules = [(name, key) for name, key in key_rules(table) if not (numbered and key == table.key)]
     tagged = tag_rows(batch, row_rules(table))
