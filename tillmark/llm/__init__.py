@@ -1 +1,10 @@
-"""Operators for preparing training text, and the queries that apply them to the test tables."""
+"""Operators for preparing training text, and the queries that apply them to the test tables.
+
+Functions of this package travel to the executors by value, so that these need not have the package installed.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -37,9 +37,12 @@ def frequent_candidates(keyed: DataFrame, key: str, tracked: int = 8192, branche
         keyed.select(F.xxhash64(key).alias("key_hash"), (F.spark_partition_id() % branches).alias("branch"))
         .groupBy("branch").agg(F.expr(f"approx_top_k_accumulate(key_hash, {tracked})").alias("summary"))
     )
-    merged = summaries.agg(F.expr(f"approx_top_k_combine(summary, {tracked})").alias("summary"))
-    named = merged.where("summary IS NOT NULL").select(
-        F.explode(F.expr(f"approx_top_k_estimate(summary, {tracked})")).alias("named"))
+    summaries = materialize(summaries, "summaries")  # at most one row per branch
+    if summaries.isEmpty():
+        return keyed.sparkSession.createDataFrame([], "key_hash long")
+    # combining fails on a task without rows, so the few rows are read by one
+    merged = summaries.coalesce(1).agg(F.expr(f"approx_top_k_combine(summary, {tracked})").alias("summary"))
+    named = merged.select(F.explode(F.expr(f"approx_top_k_estimate(summary, {tracked})")).alias("named"))
     return named.select(F.col("named.item").alias("key_hash")).where("key_hash IS NOT NULL")
 
 
