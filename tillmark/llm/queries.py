@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm import exact_dedup, toxicity
+from tillmark.llm import exact_dedup, order_minhash, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,9 +27,14 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op8_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return order_minhash.near_duplicate_classes(_table(spark, folder, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
+    "op8_order_minhash": op8_order_minhash,
 }
 
 LLM_ORACLE: dict[str, str] = {
