@@ -6,19 +6,43 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillmark.llm import exact_dedup
+from tillmark.llm import decontaminate, exact_dedup, mixing, order_minhash, toxicity
 from tillmark.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: documents scored 0.5 or more go; the scores are learned from the table ``labels``."""
+    return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: of equal texts the row with the largest doc_id stays."""
     return exact_dedup.drop_exact_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: of each class of near copies the row with the least doc_id stays."""
+    return order_minhash.drop_near_copies(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: documents that hold an item of the table ``benchmark`` go."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: every source in full at least once, small ones up to twice; one row per use of a document."""
+    return mixing.mix(docs, max_repeats=2.0)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
     ("exact_dedup", drop_copies),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
 ]
 
 #: Scores, alignments and permutations have no SQL counterpart; the tests hold the stages against plain Python.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm import exact_dedup, order_minhash, toxicity
+from tillmark.llm import decontaminate, exact_dedup, mixing, order_minhash, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,18 +22,28 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = exact_dedup.dedup_decisions(_table(spark, folder, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op6_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_table(spark, folder, "documents"), max_repeats=2.0, keep=["doc_id", "source"])
+
+
 def op8_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return order_minhash.near_duplicate_classes(_table(spark, folder, "documents"))
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
+    "op4_decontamination": op4_decontamination,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_temperature_mixing": op6_temperature_mixing,
     "op8_order_minhash": op8_order_minhash,
 }
 
