@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm import decontaminate, exact_dedup, mixing, order_minhash, toxicity
+from tillmark.llm import decontaminate, exact_dedup, html_extract, mixing, order_minhash, toxicity, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract(_table(spark, folder, "pages").select("page_id", "url", "html"))
+
+
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     model = toxicity.fit(docs, _table(spark, folder, "labels"))
@@ -22,6 +26,16 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages")
+    manifest = warc.write_archives(warc.record_chunks(pages))
+    records = warc.record_table(warc.read_archives(manifest, with_data=False))
+    kind = pages.schema["page_id"].dataType
+    return records.select(
+        F.col("target").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"))
+
+
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -40,7 +54,9 @@ def op8_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_text": op1_html_text,
     "op2_toxicity": op2_toxicity,
+    "op3_warc": op3_warc,
     "op4_decontamination": op4_decontamination,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_temperature_mixing": op6_temperature_mixing,
@@ -48,6 +64,16 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 LLM_ORACLE: dict[str, str] = {
+    "op3_warc": """
+WITH facts AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM facts)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM firsts
+""",
     "op5_exact_dedup": """
 WITH keyed AS (
   SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))
