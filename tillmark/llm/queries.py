@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm import decontaminate, exact_dedup, html_extract, mixing, order_minhash, toxicity, warc
+from tillmark.llm import (
+    decontaminate, exact_dedup, html_extract, licenses, mixing, order_minhash, pii, preference, toxicity, warc)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -49,10 +50,24 @@ def op6_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_table(spark, folder, "documents"), max_repeats=2.0, keep=["doc_id", "source"])
 
 
+def op7_preference(spark: SparkSession, folder: str) -> DataFrame:
+    turns = preference.neighbouring_pairs(_table(spark, folder, "conversations"))
+    return preference.preference_segments(turns)
+
+
 def op8_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return order_minhash.near_duplicate_classes(_table(spark, folder, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_spans(_table(spark, folder, "documents"))
+
+
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return pii.find(docs, pii.fit(docs))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_toxicity": op2_toxicity,
@@ -60,7 +75,10 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_temperature_mixing": op6_temperature_mixing,
+    "op7_preference": op7_preference,
     "op8_order_minhash": op8_order_minhash,
+    "op9_license_scan": op9_license_scan,
+    "op10_pii": op10_pii,
 }
 
 LLM_ORACLE: dict[str, str] = {
@@ -82,5 +100,23 @@ WITH keyed AS (
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, text_sha256
 FROM keyed WINDOW same AS (PARTITION BY text_sha256)
+""",
+    "op7_preference": """
+WITH counted AS (
+  SELECT (conv_id - ((conv_id % 2) + 2) % 2) // 2 AS pair_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         count(*) FILTER (conv_id % 2 = 0) AS chosen, count(*) FILTER (conv_id % 2 <> 0) AS rejected
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY ALL),
+parting AS (SELECT pair_id, min(turn) AS parting FROM counted WHERE chosen <> rejected GROUP BY pair_id),
+placed AS (SELECT counted.*, parting IS NULL OR turn < parting AS shared FROM counted LEFT JOIN parting USING (pair_id)),
+uses AS (
+  SELECT pair_id, 'prompt' AS part, turn, role, text, chosen AS n_rows FROM placed WHERE shared
+  UNION ALL SELECT pair_id, 'chosen', turn, role, text, chosen FROM placed WHERE NOT shared AND chosen > 0
+  UNION ALL SELECT pair_id, 'rejected', turn, role, text, rejected FROM placed WHERE NOT shared AND rejected > 0),
+rendered AS (
+  SELECT *, '<|im_start|>' || replace(role, '<|', '< |') || chr(10) AS head, replace(text, '<|', '< |') || '<|im_end|>' AS body
+  FROM uses)
+SELECT pair_id, part, turn, role, head || body || chr(10) AS rendered, n_rows, length(head) AS train_from,
+       CASE WHEN part <> 'prompt' AND role = 'assistant' THEN length(head) + length(body) ELSE length(head) END AS train_to
+FROM rendered
 """,
 }
