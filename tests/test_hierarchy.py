@@ -5,6 +5,7 @@ import random
 import pytest
 
 from tillmark.operators import keyed
+from tillmark.operators.constraints import RuleBroken
 from tillmark.operators.hierarchy import employee_hierarchy
 
 
@@ -36,6 +37,14 @@ def test_cycles_and_missing_managers_are_not_reached(spark):
     assert levels(spark, bosses) == {1: 1, 2: 2}
 
 
+def test_repeated_key_is_an_error(spark):
+    """Its pointers would multiply round after round."""
+    rows = [(1, "a", "r", None), (1, "b", "r", 2), (2, "c", "r", 1)]
+    df = spark.createDataFrame(rows, "employee_id bigint, name string, role string, manager_id bigint")
+    with pytest.raises(RuleBroken, match="not unique"):
+        employee_hierarchy(df)
+
+
 def test_no_root(spark):
     assert levels(spark, {1: 2, 2: 1}) == {}
 

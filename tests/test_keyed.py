@@ -92,6 +92,20 @@ def test_hot_key_table_is_small_and_complete(spark, monkeypatch):
     assert keyed.hot_keys(spark.range(10_000).withColumnRenamed("id", "k"), "k") is None
 
 
+def test_hot_line_follows_the_number_of_tasks(spark):
+    """A key with a thousandth of the rows is hot once it is more than three average tasks."""
+    df = spark.range(800_000).select(F.when(F.col("id") % 1000 == 0, -1).otherwise(F.col("id")).alias("k"))
+    assert keyed.hot_keys(df, "k") is None  # hardly a hundredth of the eight tasks
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "5000")
+    try:
+        hot = keyed.hot_keys(df, "k").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [r[0] for r in hot] == [-1]
+    assert 800 / hot[0][1] <= 3 * 800_000 / 5000
+
+
 def test_size_check_weighs_text(spark, monkeypatch):
     wide = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("t"))
     assert keyed.fits_broadcast(wide)

@@ -141,6 +141,21 @@ def test_insert_ignore_is_row_after_row(spark, way, seed, columns):
     assert change.state.count() == 5 + len(expected)
 
 
+def test_insert_unless_taken_keeps_the_other_rules(spark, t, way):
+    table = TABLES["suppliers"]
+    rows = [(3, "S", "C", "0000000001", "T"), (3, "S", "C", "new 1", "T"), (30, "S", None, "new 2", "T"), (31, "S", "C", "9" * 16, "T"),
+            (32, "S", "C", "new 3", "T"), (33, "S", "C", "new 3", "T")]
+    news = frame(spark, "suppliers", rows)
+    change = writes.insert_unless_taken(t["suppliers"], news, table, "phone", ["supplier_id"], mode="quarantine")
+    assert [r["supplier_id"] for r in change.rows.collect()] == [32]
+    assert {(r["supplier_id"], tuple(r["violations"])) for r in change.refused.collect()} == {
+        (3, ("primary key",)), (30, ("required contact_person",)), (31, ("length phone",))}
+    with pytest.raises(RuleBroken, match="length phone: 1"):
+        writes.insert_unless_taken(t["suppliers"], news, table, "phone", ["supplier_id"])
+    with pytest.raises(RuleBroken, match="primary key: 1"):
+        writes.insert_unless_taken(t["suppliers"], news.limit(2), table, "phone", ["supplier_id"])
+
+
 def test_conflict_column_must_be_unique(spark, t):
     with pytest.raises(ValueError, match="not unique"):
         writes.insert_unless_taken(t["employees"], t["employees"], TABLES["employees"], "name")
@@ -160,6 +175,13 @@ def test_import_by_position(spark, t, way):
         writes.import_ignore(t["customers"], bad, TABLES["customers"])
     with pytest.raises(ValueError, match="5 columns"):
         writes.import_ignore(t["customers"], texts.drop("c5"), TABLES["customers"])
+    odd = spark.createDataFrame([(None, "A", "k@x.y", "80", "T"), ("4x", "A", "l@x.y", "81", "T"), ("40", "A", "m@x.y", "82", "T")], texts.schema)
+    kept = writes.import_ignore(t["customers"], odd, TABLES["customers"], mode="quarantine")
+    assert [r["customer_id"] for r in kept.rows.collect()] == [40]
+    assert {(r["phone"], tuple(r["violations"])) for r in kept.refused.collect()} == {
+        ("80", ("primary key",)), ("81", ("type customer_id", "primary key"))}
+    with pytest.raises(RuleBroken, match="primary key: 1"):
+        writes.import_ignore(t["customers"], odd.filter("c1 IS NULL OR c1 = '40'"), TABLES["customers"])
     orders = spark.createDataFrame(
         [("500", "1", "1", "2025-01-01 00:00:00", "5"), ("501", "77", "1", "2025-01-01 00:00:00", "5")],
         "a string, b string, c string, d string, e string")
@@ -177,6 +199,20 @@ def test_text_rows(spark):
     assert tuple(writes.typed_rows(texts, table, strict=False).first()) == (7, None, "c", Decimal("1.50"), None, None)
 
 
+def test_insert_text_rows(spark, t):
+    names = ",".join(f"{c} string" for c in TABLES["products"].columns.names)
+    texts = spark.createDataFrame(
+        [(" 50 ", "Mug", "Kitchen", "1.5", "null", "1"), ("51", "Mug", "Kitchen", "x", "1", "1"), ("52", "Null", "Kitchen", "1", "1", "1"),
+         ("53", "Mug", "Kitchen", "1", "1", "99"), ("4", "Mug", "Kitchen", "1", "1", "1")], names)
+    change = writes.insert_text_rows(t["products"], texts, TABLES["products"], t, mode="quarantine")
+    assert [tuple(r) for r in change.rows.collect()] == [(50, "Mug", "Kitchen", Decimal("1.50"), None, 1)]
+    assert {(r["product_id"], tuple(r["violations"])) for r in change.refused.collect()} == {
+        (51, ("type price",)), (52, ("required name",)), (53, ("reference supplier_id",)), (4, ("primary key",))}
+    assert change.state.count() == 17
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        writes.insert_text_rows(t["products"], texts, TABLES["products"], t)
+
+
 def test_guard_lets_unknown_pass(spark, way):
     goods = frame(spark, "products", [(1, "a", "c", None, 5, None), (2, "b", "c", None, None, None)])
     items = frame(spark, "order_items", [(1, 1, 1, 5, None), (2, 1, 1, 6, None), (3, 1, 2, 9, None), (4, 1, 3, 9, None), (5, 1, 1, None, None)])
@@ -187,8 +223,18 @@ def test_guard_lets_unknown_pass(spark, way):
 
 def test_stock_updates(spark, t):
     news = spark.createDataFrame([(1, 7), (99, 1)], "product_id bigint, new_stock int")
-    stock = {r["product_id"]: r["stock"] for r in writes.refresh_stock(t["products"], news).collect()}
+    stock = {r["product_id"]: r["stock"] for r in writes.refresh_stock(t["products"], news).state.collect()}
     assert stock[1] == 7 and stock[2] == 100 and 99 not in stock
+    odd = spark.createDataFrame([(1, 7), (1, 7), (2, 5), (2, 6), (3, -7), (4, None), (5, None), (5, 1), (None, 3), (99, -1)], news.schema)
+    change = writes.refresh_stock(t["products"], odd, mode="quarantine")
+    stock = {r["product_id"]: r["stock"] for r in change.state.collect()}
+    assert len(stock) == change.state.count() == 16
+    assert [stock[n] for n in range(1, 6)] == [7, 100, 200, None, 100]
+    assert {(r["product_id"], *r["violations"]) for r in change.refused.collect()} == {
+        (2, "several levels"), (3, "check stock >= 0"), (5, "several levels")}
+    for bad in (odd.filter("product_id = 2"), odd.filter("product_id = 3")):
+        with pytest.raises(Exception, match="stock refused"):
+            writes.refresh_stock(t["products"], bad).state.collect()
     more = spark.createDataFrame([(1, 5), (1, 6), (4, -20)], "product_id bigint, quantity int")
     stock = {r["product_id"]: r["stock"] for r in writes.add_stock(t["products"], more).collect()}
     assert stock[1] == 61 and stock[4] == 0 and stock[2] == 100
@@ -197,9 +243,23 @@ def test_stock_updates(spark, t):
 
 
 def test_update_customers(spark, t, way):
-    news = frame(spark, "customers", [(3, "New", None, "5", "C"), (77, "X", "x@y.z", "6", "C")])
-    state = {r["customer_id"]: tuple(r) for r in writes.update_customers(t["customers"], news).collect()}
-    assert state[3] == (3, "New", None, "5", "C") and 77 not in state and len(state) == 20
+    good = frame(spark, "customers", [(3, "New", "c4@example.com", "5", "C"), (4, "N4", "n4@x.y", "0000000004", "C"), (77, "X", "x@y.z", "6", "C")])
+    change = writes.update_customers(t["customers"], good)
+    state = {r["customer_id"]: tuple(r) for r in change.state.collect()}
+    assert state[3] == (3, "New", "c4@example.com", "5", "C") and 77 not in state and change.state.count() == 20
+    assert constraints.violations(change.state, TABLES["customers"], {}).isEmpty()
+    bad = frame(spark, "customers", [
+        (1, None, "bad", "1", "C"), (2, "A", "a@x.y", "0000000005", "C"), (6, "A", "d@x.y", "61", "C"), (6, "A", "e@x.y", "62", "C"),
+        (7, "A", "same@x.y", "71", "C"), (8, "A", "same@x.y", "81", "C"), (9, "A", "c10@example.com", "91", "C"),
+        (10, "A", "ten@x.y", "101", "C"), (11, "A", "c11@example.com", "111", "C")])
+    with pytest.raises(RuleBroken, match="required name: 1, unique email: 2, unique phone: 1"):
+        writes.update_customers(t["customers"], bad)
+    change = writes.update_customers(t["customers"], bad, mode="quarantine")
+    assert {r["customer_id"] for r in change.rows.collect()} == {10, 11}
+    broken = {r["customer_id"]: set(r["violations"]) for r in change.refused.collect()}
+    assert broken[1] >= {"required name", "check email LIKE '%@%.%'"} and broken[2] == {"unique phone"}
+    assert broken[6] == {"repeated customer_id"} and broken[7] == broken[8] == broken[9] == {"unique email"}
+    assert change.state.count() == 20 and constraints.violations(change.state, TABLES["customers"], {}).isEmpty()
 
 
 def test_delete_customers(spark, t, way):
@@ -230,9 +290,10 @@ def test_cascade_leaves_no_orphan(spark, t, way):
     for name, table in TABLES.items():
         for reference in table.references:
             assert constraints.broken_references(states[name], reference, states[reference.parent]).isEmpty(), reference
-    assert states["employee_audit"].count() == 5 and states["employees"].count() == 5
+    assert states["employee_audit"].count() == 4 and states["employees"].count() == 6
     orders = {r["order_id"] for r in t["orders"].collect() if r["store_id"] > 2 and r["customer_id"] != 5}
     assert {r["order_id"] for r in states["orders"].collect()} == orders
     assert states["payments"].count() == len(orders)
-    assert states["order_items"].count() == 0
+    items = {r["order_item_id"] for r in t["order_items"].collect() if r["order_id"] in orders and r["product_id"] != 4}
+    assert {r["order_item_id"] for r in states["order_items"].collect()} == items
     assert states["products"].count() == 15 and states["suppliers"].count() == 10

@@ -41,4 +41,4 @@ def month_label(column: Column) -> Column:
 
 def month_name(column: Column) -> Column:
     """``January``, without padding."""
-    return F.trim(F.date_format(column, "MMMM"))
+    return F.date_format(column, "MMMM")

@@ -124,7 +124,7 @@ def in_order(batch: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     return arrived.withColumn("_turn", turn).drop("_arrival")
 
 
-def _key_values(df: DataFrame, columns: Sequence[str], *extra: str) -> DataFrame:
+def _key_values(df: DataFrame, columns: Sequence[str], *extra: str | Column) -> DataFrame:
     """One row ``_column``, ``_value`` per unique column of each row, NULLs left out: all unique
     columns are then tested in one pass over the table."""
     pairs = [F.struct(F.lit(c).alias("_column"), F.col(c).cast("string").alias("_value")) for c in columns]
@@ -183,6 +183,37 @@ def tag_keys(tagged: DataFrame, batch: DataFrame, rules: Sequence[tuple[str, str
     return tagged
 
 
+def held_values(existing: DataFrame, changes: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
+    """Per unique column and value that ``changes`` set: how many changes set it (``_rows``), the stored row that
+    holds it (``_holder``), and whether that row's own change gives it up (``_freed``).
+
+    Only the values of the changes are looked up in the stored table, see ``stored_values``.
+    """
+    pairs = _key_values(changes, columns, key)
+    wanted = materialize(pairs.groupBy("_column", "_value").agg(F.count(F.lit(1)).alias("_rows")), "wanted")
+    held = _key_values(existing, columns, F.col(key).alias("_holder"))
+    values = wanted.select("_column", "_value")
+    found = held.join(F.broadcast(values) if fits_broadcast(values) else values, ["_column", "_value"], "left_semi")
+    now = pairs.select("_column", F.col(key).alias("_holder"), F.col("_value").alias("_now"))
+    freed = F.col("_now").isNotNull() & (F.col("_now") != F.col("_value"))
+    holders = found.join(now, ["_column", "_holder"], "left").withColumn("_freed", freed).drop("_now")
+    return materialize(wanted.join(holders, ["_column", "_value"], "left"), "held")
+
+
+def tag_held(tagged: DataFrame, held: DataFrame, columns: Sequence[str], key: str, freed: bool) -> DataFrame:
+    """Add the unique rules that a change breaks; ``freed`` says that given-up values may be taken."""
+    small = fits_broadcast(held)
+    for column in columns:
+        before = tagged.columns
+        hot = None if small else hot_keys(tagged, column)
+        tagged = lookup_join(tagged, values_of(held, column, tagged), column, "_clash", "left", before[:-1], small, hot)
+        other = F.coalesce(F.col("_holder") != F.col(key), F.lit(False))
+        if freed:
+            other = other & ~F.col("_freed")
+        tagged = _with_rule(tagged, before, (F.col("_rows") > 1) | other, f"unique {column}")
+    return materialize(tagged, "judged")
+
+
 def tag_references(tagged: DataFrame, batch: DataFrame, table: Table, parents: Mapping[str, DataFrame],
                    spread: Sequence[str]) -> DataFrame:
     """Add the references that a row breaks; references to tables not in ``parents`` are not tested."""
@@ -209,17 +240,19 @@ def split_valid(batch: DataFrame, table: Table, parents: Mapping[str, DataFrame]
                 numbered: bool = False) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected) rows of a batch; rejected rows name their rules in ``violations``.
 
-    Tested are the row rules, the references to the given ``parents``, and keys against the
-    ``existing`` rows and earlier rows of the batch. ``numbered`` says that the key was just
+    Tested are the row rules and, for rows that keep them, the references to the given ``parents``, and keys
+    against the ``existing`` rows and earlier such rows of the batch. ``numbered`` says that the key was just
     assigned in order beyond all stored keys: it cannot clash and gives the order.
     """
     batch = batch.withColumn("_turn", F.col(table.key)) if numbered else in_order(batch, order_by)
     columns = [c for c in batch.columns if c != "_turn"]
     rules = [(name, key) for name, key in key_rules(table) if not (numbered and key == table.key)]
-    tagged = tag_rows(batch, row_rules(table))
-    tagged = tag_keys(tagged, batch, rules, table.key, existing, columns)
-    tagged = tag_references(tagged, batch, table, parents or {}, columns)
-    judged = materialize(tagged.select(*columns, VIOLATIONS), "judged")
+    own = tag_rows(batch, row_rules(table))
+    sound = own.filter(F.size(VIOLATIONS) == 0)  # only these reach the joins, and only these hold a value
+    tagged = tag_keys(sound, sound.drop(VIOLATIONS), rules, table.key, existing, columns)
+    tagged = tag_references(tagged, sound.drop(VIOLATIONS), table, parents or {}, columns)
+    broken = own.filter(F.size(VIOLATIONS) > 0).select(*columns, VIOLATIONS)
+    judged = materialize(tagged.select(*columns, VIOLATIONS).unionByName(broken), "judged")
     return judged.filter(F.size(VIOLATIONS) == 0).drop(VIOLATIONS), judged.filter(F.size(VIOLATIONS) > 0)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tillmark.functions.temporal import Moment, moment
 from tillmark.operators.constraints import RuleBroken
 from tillmark.operators.relational import stock_of_items
+from tillmark.session import materialize
 
 
 def is_short() -> Column:
@@ -15,7 +16,6 @@ def is_short() -> Column:
     return F.coalesce(F.col("stock") < F.col("quantity"), F.lit(False))
 
 
-
 def out_of_stock_items(order_items: DataFrame, products: DataFrame) -> DataFrame:
     """Items that ask for more than the product's stock, with that ``stock``."""
     return stock_of_items(order_items, products).filter(is_short())
@@ -31,10 +31,11 @@ def guard_stock(order_items: DataFrame, products: DataFrame, mode: str = "fail")
     """(accepted, rejected) items; in mode ``fail`` one rejected item refuses all."""
     if mode not in ("fail", "quarantine"):
         raise ValueError(f"unknown mode {mode!r}")
-    rejected = out_of_stock_items(order_items, products)
+    judged = materialize(stock_of_items(order_items, products), "guarded")  # looked up once, used twice
+    rejected = judged.filter(is_short())
     if mode == "fail" and not rejected.isEmpty():
         raise RuleBroken("cannot place order: out of stock")
-    return in_stock_items(order_items, products), rejected
+    return judged.filter(~is_short()).select(*order_items.columns), rejected
 
 
 def audit_rows(deleted: DataFrame, as_of: Moment) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillmark.functions.ordering import rising
+from tillmark.operators.constraints import RuleBroken
 from tillmark.operators.keyed import fits_broadcast, lookup_join
 from tillmark.session import materialize
 
@@ -13,8 +14,8 @@ from tillmark.session import materialize
 def employee_hierarchy(employees: DataFrame) -> DataFrame:
     """Every employee below a root (``manager_id`` is NULL) with its level; roots are level 1.
 
-    ``employee_id`` is unique. Employees in a cycle or under a missing manager are not reached
-    and left out.
+    ``employee_id`` must be unique, a repeated one is an error: its pointers would multiply. Employees
+    in a cycle or under a missing manager are not reached and left out.
 
     Each employee points to an ancestor a known number of steps up. In every round the pointer
     is replaced by the ancestor's own pointer, so the distance doubles and a tree of depth d is
@@ -22,6 +23,9 @@ def employee_hierarchy(employees: DataFrame) -> DataFrame:
     is the last one: whoever is still open is in a cycle. The state is four numbers per
     employee, written to the shared folder after each round.
     """
+    repeated = employees.groupBy("employee_id").agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
+    if not repeated.isEmpty():
+        raise RuleBroken("employee_id is not unique")
     step = employees.select(
         "employee_id",
         F.col("manager_id").alias("ancestor"),

@@ -28,10 +28,12 @@ from tillmark.session import materialize
 
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_SHARE = 0.002  # a key with a larger share of the rows is hot: at most 500 such keys
+HOT_SHARE = 0.002  # a key with a larger share of the rows is hot ...
+HOT_FAIR_SHARES = 3  # ... and so is one with more rows than this many tasks get on average
 HOT_SAMPLE_ROWS = 1_000_000
+HOT_SAMPLE_HITS = 50  # sampled rows of a key that is just hot, at least
 MEASURE = "measure"  # hot keys are to be looked for
-HOT_MIN_ROWS = 500  # fewer sampled rows than this never make a key hot
+HOT_MIN_ROWS = 500  # fewer rows than this never make a key hot
 
 _HOT, _COPIES, _SALT = "_hot_key", "_copies", "_salt"
 
@@ -52,17 +54,20 @@ def fits_broadcast(df: DataFrame) -> bool:
 def hot_keys(df: DataFrame, key: str) -> DataFrame | None:
     """Frequent values of ``key`` (NULL included) and the number of salts for each.
 
-    None when there is none. At most ``1 / HOT_SHARE`` rows, so always small.
+    None when there is none. The line is ``HOT_SHARE`` of the rows or ``HOT_FAIR_SHARES`` average tasks,
+    whichever is less, so no task of the join gets more than that of one key. At most 500 rows, or a
+    third as many as there are shuffle tasks.
     """
     rows = df.count()
     if rows < HOT_MIN_ROWS:
         return None
-    fraction = min(1.0, HOT_SAMPLE_ROWS / rows)
+    line = min(HOT_SHARE, HOT_FAIR_SHARES / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    fraction = min(1.0, max(HOT_SAMPLE_ROWS, HOT_SAMPLE_HITS / line) / rows)
     sampled = rows * fraction
     seen = df.select(key)
     if fraction < 1.0:
         seen = seen.sample(fraction, seed=11)
-    floor = max(HOT_MIN_ROWS, sampled * HOT_SHARE)
+    floor = max(HOT_MIN_ROWS * fraction, sampled * line)
     found = seen.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= floor).collect()
     if not found:
         return None

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillmark.functions.ordering import falling, rising
 from tillmark.functions.temporal import Moment, before, in_month
-from tillmark.operators.keyed import keys_present, lookup_join, lookup_join_keeping
+from tillmark.operators.keyed import lookup_join, lookup_join_keeping
 
 CUSTOMER_ORDER = ("customer_id", "name", "order_id", "order_date", "total_amount")
 
@@ -187,9 +187,3 @@ def orders_by_activity(orders: DataFrame, as_of: Moment, months: int = 6) -> Dat
                 F.when(recent, "Active").otherwise("Inactive").alias("status"))
         .orderBy(falling("order_date"), "order_id")
     )
-
-
-def listed_values_present(df: DataFrame, column: str, values: DataFrame, value: str) -> DataFrame:
-    """The rows of ``values`` whose ``value`` occurs in ``df.column``."""
-    held = keys_present(df, column, values, value).withColumnRenamed(value, "_held")
-    return values.join(held, F.col(value) == F.col("_held"), "left_semi")

@@ -7,12 +7,14 @@ joined to the sums, where the key is unique on both sides.
 
 from __future__ import annotations
 
+import calendar
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions.money import total
 from tillmark.functions.ordering import falling, rising
-from tillmark.functions.temporal import month_label, month_start
+from tillmark.functions.temporal import month_label, month_name, month_start
 from tillmark.operators.keyed import lookup_join
 from tillmark.operators.relational import of_month, orders_of
 
@@ -87,9 +89,11 @@ def pivot_months_manual(orders: DataFrame) -> DataFrame:
 
 def pivot_months_crosstab(orders: DataFrame) -> DataFrame:
     """January to April, NULL where a store sold nothing; other months give no column."""
-    months = list(range(1, len(QUARTER_COLUMNS) + 1))
-    wide = _by_month_of_year(orders).groupBy("store_id").pivot("_month", months).agg(total(F.col("_amount")))
-    named = [F.col(str(number)).alias(name) for number, name in zip(months, QUARTER_COLUMNS)]
+    months = [calendar.month_name[n] for n in range(1, len(QUARTER_COLUMNS) + 1)]
+    by_name = _by_month_of_year(orders).withColumn(
+        "_name", month_name(F.make_date(F.lit(2000), F.col("_month"), F.lit(1))))
+    wide = by_name.groupBy("store_id").pivot("_name", months).agg(total(F.col("_amount")))
+    named = [F.col(month).alias(name) for month, name in zip(months, QUARTER_COLUMNS)]
     return wide.select("store_id", *named).orderBy(rising("store_id"))
 
 

@@ -11,6 +11,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillmark.functions.money import scaled
 from tillmark.functions.temporal import Moment, before, moment
@@ -18,12 +19,14 @@ from tillmark.functions.text import from_text
 from tillmark.operators.constraints import (
     VIOLATIONS,
     RuleBroken,
+    held_values,
     in_order,
     key_rules,
     refuse_if_any,
     row_rules,
     split_valid,
     stored_values,
+    tag_held,
     tag_references,
     tag_rows,
     value_turns,
@@ -47,16 +50,17 @@ class Change(NamedTuple):
 # ---- inserts ---------------------------------------------------------------------------
 
 
-def assign_keys(batch: DataFrame, key: str, order_by: Sequence[str], after: int = 0) -> DataFrame:
-    """Number the rows ``after + 1, after + 2, ...`` in the stated order, as column ``key``.
+def assign_keys(batch: DataFrame, key: str, order_by: Sequence[str] = (), after: int = 0) -> DataFrame:
+    """Number the rows ``after + 1, after + 2, ...`` in the stated order, as column ``key``; without
+    one in order of arrival, which needs no sort.
 
-    The batch is sorted into ranges over all tasks and written with each row's range and place
-    in it; the first number of a range follows from the row counts of the ranges before it (one
-    small row per range). No task sees more than its own range. Rows that are alike in
+    With an order the batch is sorted into ranges over all tasks. It is written with each row's range
+    (the task) and place in it; the first number of a range follows from the row counts of the ranges
+    before it (one small row per range). No task sees more than its own range. Rows that are alike in
     ``order_by`` are split by place of arrival, which is written down first: a task that runs
     again after a lost executor then sorts by the same values.
     """
-    ranged = in_order(batch, order_by).orderBy(*order_by, "_turn").drop("_turn")
+    ranged = in_order(batch, order_by).orderBy(*order_by, "_turn").drop("_turn") if order_by else batch
     placed = ranged.select("*", F.spark_partition_id().alias("_range"),
                            F.monotonically_increasing_id().alias("_place"))
     # The place counts up from 2^33 times the number of the range.
@@ -91,7 +95,7 @@ def prepare(existing: DataFrame, batch: DataFrame, table: Table, order_by: Seque
     """The batch with keys (when left out) and defaults."""
     if table.key not in batch.columns:
         last = existing.agg(F.max(table.key)).first()[0] or 0
-        batch = assign_keys(batch, table.key, order_by or batch.columns, after=last)
+        batch = assign_keys(batch, table.key, order_by, after=last)
     return fill_defaults(batch, table, as_of)
 
 
@@ -176,27 +180,49 @@ def insert_ignore(existing: DataFrame, batch: DataFrame, unique: Sequence[str],
 
 
 def insert_unless_taken(existing: DataFrame, batch: DataFrame, table: Table, conflict: str,
-                        order_by: Sequence[str] = (), as_of: Moment = None) -> Change:
+                        order_by: Sequence[str] = (), as_of: Moment = None, mode: str = "fail",
+                        parents: Mapping[str, DataFrame] | None = None) -> Change:
     """Insert rows, skipping those that collide on one named unique column.
 
-    Skipping on a column that is not unique in the table is an error, as it is in SQL.
+    Skipping on a column that is not unique in the table is an error, as it is in SQL. All other rules of
+    the table hold: rows are tested for their own rules first, and the rows that are to go in for the other
+    keys and the references. In mode ``fail`` one such breach refuses the whole batch, ``quarantine``
+    refuses the rows that break a rule.
     """
     if conflict not in (table.key, *table.unique):
         raise ValueError(f"{table.name}.{conflict} is not unique")
-    change = insert_ignore(existing, batch, [conflict], order_by)
-    ready = prepare(existing, change.rows, table, order_by, as_of)
-    return Change(existing.unionByName(ready), ready, change.refused)
+    numbered = table.key not in batch.columns
+    tagged = tag_rows(fill_defaults(batch, table, as_of), row_rules(table))
+    unsound = tagged.filter(F.size(VIOLATIONS) > 0)
+    if mode == "fail":
+        refuse_if_any(unsound, f"insert into {table.name} refused")
+    sound = tagged.filter(F.size(VIOLATIONS) == 0).drop(VIOLATIONS)
+    rows = insert_ignore(existing, sound.drop(table.key) if numbered else sound, [conflict], order_by).rows
+    ready = prepare(existing, rows, table, order_by, as_of)
+    accepted, rejected = split_valid(ready, table, parents, existing, order_by, numbered)
+    if mode == "fail":
+        refuse_if_any(rejected, f"insert into {table.name} refused")
+    return Change(existing.unionByName(accepted), accepted, unsound.unionByName(rejected))
 
 
-def by_position(texts: DataFrame, table: Table, strict: bool = True) -> DataFrame:
-    """Text columns as the columns of a table, matched by position and cast to their types."""
+def _typed(texts: DataFrame, table: Table, values: Sequence[Column], strict: bool) -> DataFrame:
+    """Text values as the columns of a table. A value that does not fit its type raises or, when
+    ``strict`` is off, is NULL and named in ``_types``."""
     fields = table.columns.fields
-    if len(texts.columns) != len(fields):
-        raise ValueError(f"{table.name} has {len(fields)} columns, the input {len(texts.columns)}")
-    return texts.select(*[
-        (F.col(f"`{name}`").cast(f.dataType) if strict else F.col(f"`{name}`").try_cast(f.dataType)).alias(f.name)
-        for name, f in zip(texts.columns, fields)
-    ])
+    if strict:
+        cast = [v.cast(f.dataType).alias(f.name) for v, f in zip(values, fields)]
+        return texts.select(*cast, F.array().cast("array<string>").alias("_types"))
+    tried = [v.try_cast(f.dataType) for v, f in zip(values, fields)]
+    unfit = [F.when(v.isNotNull() & t.isNull(), F.lit(f"type {f.name}")) for v, t, f in zip(values, tried, fields)]
+    return texts.select(*[t.alias(f.name) for t, f in zip(tried, fields)], F.array_compact(F.array(*unfit)).alias("_types"))
+
+
+def by_position(texts: DataFrame, table: Table, strict: bool = True) -> DataFrame:
+    """Text columns as the columns of a table, matched by position and cast to their types, with
+    the misfits in ``_types``."""
+    if len(texts.columns) != len(table.columns.fields):
+        raise ValueError(f"{table.name} has {len(table.columns.fields)} columns, the input {len(texts.columns)}")
+    return _typed(texts, table, [F.col(f"`{name}`") for name in texts.columns], strict)
 
 
 def import_ignore(existing: DataFrame, texts: DataFrame, table: Table,
@@ -204,11 +230,14 @@ def import_ignore(existing: DataFrame, texts: DataFrame, table: Table,
                   order_by: Sequence[str] = ()) -> Change:
     """Insert file rows by position, skipping rows that collide on any unique column.
 
-    Only collisions are skipped. A row that breaks a rule of its own, or an inserted row that
-    breaks a reference, refuses the whole file in mode ``fail`` and only itself in ``quarantine``.
+    Only collisions are skipped. A row with a malformed value, without a key or against a rule of its own, or
+    an inserted row that breaks a reference, refuses the whole file in mode ``fail`` and only itself in
+    ``quarantine``.
     """
-    typed = by_position(texts, table)
-    tagged = tag_rows(typed, row_rules(table))
+    typed = by_position(texts, table, strict=mode == "fail")
+    tagged = tag_rows(typed, [("primary key", F.col(table.key).isNull()), *row_rules(table)])
+    tagged = tagged.withColumn(VIOLATIONS, F.concat("_types", VIOLATIONS)).drop("_types")
+    typed = typed.drop("_types")
     refused = tagged.filter(F.size(VIOLATIONS) > 0)
     if mode == "fail":
         refuse_if_any(refused, f"import into {table.name} refused")
@@ -232,6 +261,19 @@ def typed_rows(texts: DataFrame, table: Table, strict: bool = True) -> DataFrame
     ])
 
 
+def insert_text_rows(existing: DataFrame, texts: DataFrame, table: Table,
+                     parents: Mapping[str, DataFrame] | None = None, mode: str = "fail",
+                     order_by: Sequence[str] = ()) -> Change:
+    """Insert rows of text, one column per column of the table, under the table's rules; the word null
+    is NULL. A malformed value raises in mode ``fail`` and refuses its row in ``quarantine``."""
+    values = [from_text(F.col(f.name), T.StringType()) for f in table.columns.fields]
+    typed = _typed(texts, table, values, strict=mode == "fail")
+    misfits = typed.filter(F.size("_types") > 0).withColumnRenamed("_types", VIOLATIONS)
+    fitting = typed.filter(F.size("_types") == 0).drop("_types")
+    change = append_rows(existing, fitting, table, parents, mode, order_by)
+    return Change(change.state, change.rows, change.refused.unionByName(misfits))
+
+
 # ---- updates ---------------------------------------------------------------------------
 
 
@@ -256,12 +298,29 @@ def add_hire_date(employees: DataFrame, as_of: Moment, years: int = 6) -> DataFr
     return employees.withColumn("hire_date", before(as_of, years=years).cast("date"))
 
 
-def refresh_stock(products: DataFrame, shipments: DataFrame) -> DataFrame:
-    """Set the stock of delivered products; one row per product in ``shipments``."""
-    news = shipments.select(F.col("product_id").alias("_product"), "new_stock")
-    joined = lookup_join(products, news, "product_id", "_product", "left", hot=None)
-    stock = F.coalesce(F.col("new_stock"), F.col("stock")).alias("stock")
-    return joined.select(*[stock if c == "stock" else F.col(c) for c in products.columns])
+def refresh_stock(products: DataFrame, shipments: DataFrame, mode: str = "fail") -> Change:
+    """Set the stock of delivered products to the level they were delivered with.
+
+    The list may name a product several times, but only with one level, and no level may be below 0. Such a
+    product raises in mode ``fail``; in ``quarantine`` it keeps its stock and is returned. Unknown products
+    and rows without a product are ignored. The list is grouped once; both sides then meet by product.
+    """
+    levels = F.count("new_stock")
+    grouped = shipments.filter(F.col("product_id").isNotNull()).groupBy("product_id").agg(
+        F.min("new_stock").alias("new_stock"),
+        ((F.min("new_stock") != F.max("new_stock")) | ((levels > 0) & (levels < F.count(F.lit(1))))).alias("_several"))
+    rules = [("several levels", F.col("_several")), ("check stock >= 0", F.col("new_stock") < 0)]
+    news = materialize(tag_rows(grouped, rules).drop("_several"), "shipments")
+    given = news.select(F.col("product_id").alias("_product"), F.col("new_stock").alias("_level"), VIOLATIONS)
+    joined = products.join(given, F.col("product_id") == F.col("_product"), "left")
+    broken = F.size(VIOLATIONS) > 0
+    message = F.concat(F.lit("stock refused: product "), F.col("product_id").cast("string"), F.lit(", "),
+                       F.array_join(VIOLATIONS, ", "))
+    kept = F.raise_error(message) if mode == "fail" else F.col("stock")
+    stock = F.when(F.col("_product").isNull(), F.col("stock")).when(broken, kept).otherwise(F.col("_level"))
+    state = joined.select(*[stock.cast("int").alias(c) if c == "stock" else F.col(c) for c in products.columns])
+    known = news.join(products.select("product_id"), "product_id", "left_semi")
+    return Change(state, known.filter(F.size(VIOLATIONS) == 0).drop(VIOLATIONS), known.filter(broken))
 
 
 def add_stock(products: DataFrame, deliveries: DataFrame) -> DataFrame:
@@ -277,19 +336,42 @@ def add_stock(products: DataFrame, deliveries: DataFrame) -> DataFrame:
     return joined.select(*[checked.alias(c) if c == "stock" else F.col(c) for c in products.columns])
 
 
-def update_customers(customers: DataFrame, changes: DataFrame) -> DataFrame:
-    """Replace name, email, phone and city of the listed customers; at most one row per customer.
+def update_customers(customers: DataFrame, changes: DataFrame, mode: str = "fail") -> Change:
+    """Replace name, email, phone and city of the listed customers under the rules of the table.
 
-    Unknown customers are ignored; a NULL overwrites (and then breaks the required rule).
+    Unknown customers are ignored. Refused are all changes of a customer who is named more than once, changes
+    against a row rule (a NULL overwrites), and changes to an email or phone that, after all sound changes,
+    another row holds. Mode ``fail`` then refuses the whole list. In ``quarantine`` the refused rows keep
+    their values, so if any were refused for an email or phone, the other changes must not take a value
+    that any other row held before either: two passes settle everything, however the changes hang together.
     """
-    fields = ("name", "email", "phone", "city")
-    news = changes.select(F.col("customer_id").alias("_customer"), *[F.col(c).alias(f"_new_{c}") for c in fields])
-    joined = lookup_join(customers, news, "customer_id", "_customer", "left", hot=None)
-    hit = F.col("_customer").isNotNull()
-    return joined.select(*[
-        F.when(hit, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in fields else F.col(c)
+    table, key = TABLES["customers"], "customer_id"
+    known = keys_present(customers, key, changes, key).withColumnRenamed(key, "_known")
+    listed = lookup_join(changes.select(*table.columns.names), known, key, "_known", "left_semi")
+    counts = listed.groupBy(F.col(key).alias("_named")).agg(F.count(F.lit(1)).alias("_times"))
+    repeated = materialize(counts.filter("_times > 1"), "repeated")
+    joined = lookup_join(listed, repeated, key, "_named", "left", table.columns.names)
+    tagged = tag_rows(joined, [(f"repeated {key}", F.col("_times").isNotNull()), *row_rules(table)])
+    tagged = materialize(tagged.select(*table.columns.names, VIOLATIONS), "changes")
+    refused = tagged.filter(F.size(VIOLATIONS) > 0)
+    sound = tagged.filter(F.size(VIOLATIONS) == 0)
+    held = held_values(customers, sound, table.unique, key)
+    judged = tag_held(sound, held, table.unique, key, freed=True)
+    taken = judged.filter(F.size(VIOLATIONS) > 0)
+    if mode == "fail":
+        refuse_if_any(refused.unionByName(taken), f"update of {table.name} refused")
+    elif not taken.isEmpty():
+        judged = tag_held(sound, held, table.unique, key, freed=False)
+        taken = judged.filter(F.size(VIOLATIONS) > 0)
+    accepted = judged.filter(F.size(VIOLATIONS) == 0).drop(VIOLATIONS)
+    fields = [c for c in table.columns.names if c != key]
+    news = accepted.select(F.col(key).alias("_customer"), *[F.col(c).alias(f"_new_{c}") for c in fields])
+    placed = lookup_join(customers, news, key, "_customer", "left", hot=None)
+    state = placed.select(*[
+        F.when(F.col("_customer").isNotNull(), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in fields else F.col(c)
         for c in customers.columns
     ])
+    return Change(state, accepted, refused.unionByName(taken))
 
 
 # ---- deletes ---------------------------------------------------------------------------

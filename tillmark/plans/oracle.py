@@ -41,7 +41,8 @@ _TABLES = {
                FROM orders""",
     "odd_buyer": """SELECT c_custkey AS customer_id, CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN c_name END AS name,
                            lower(replace(c_name, '#', '.'))
-                             || CASE WHEN c_mktsegment = 'MACHINERY' THEN '' ELSE '@example.com' END AS email,
+                             || CASE WHEN c_mktsegment <> 'MACHINERY' THEN '@example.com'
+                                     WHEN c_custkey % 3 = 0 THEN '@localhost' ELSE '' END AS email,
                            CASE c_mktsegment WHEN 'FURNITURE' THEN lpad(CAST(c_custkey AS VARCHAR), 20, '0')
                                              WHEN 'BUILDING' THEN CAST(c_nationkey AS VARCHAR)
                                              ELSE lpad(CAST(c_custkey AS VARCHAR), 15, '0') END AS phone,
@@ -49,7 +50,7 @@ _TABLES = {
                     FROM customer""",
     "odd_sale": """SELECT o_orderkey AS order_id,
                           CASE o_orderstatus WHEN 'F' THEN o_custkey WHEN 'O' THEN -1 - o_custkey END AS customer_id,
-                          o_orderkey % 25 AS store_id, o_orderdate AS order_date,
+                          o_orderkey % 25 AS store_id, CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS order_date,
                           CAST(o_totalprice AS DECIMAL(10,2)) AS total_amount
                    FROM orders""",
     "odd_line": """SELECT l_orderkey AS order_id, l_linenumber AS line_no,
@@ -101,6 +102,11 @@ _DAILY = """SELECT strftime(order_date, '%Y-%m-%d') AS "Date", goods.name AS "Pr
 _SHIPPED = "SELECT product_id, max(quantity) AS new_stock FROM line GROUP BY 1"
 
 
+def _awkward(key: str, name: str) -> str:
+    return f"""CASE {key} % 5 WHEN 0 THEN '  ' || {name} || ' ' WHEN 1 THEN '' WHEN 2 THEN 'say "' || {name} || '", ok'
+               WHEN 3 THEN 'one' || chr(10) || {name} ELSE {name} END"""
+
+
 def _month_cells() -> str:
     names = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
     return ", ".join(
@@ -122,6 +128,8 @@ def _broken(table: str, rules: dict[str, str]) -> str:
 # Raw table that each retail table has one row per row of, and the retail tables' columns.
 _SOURCES = {"stores": "nation", "employees": "supplier", "customers": "customer", "suppliers": "supplier",
             "products": "part", "orders": "orders", "order_items": "lineitem", "payments": "orders"}
+_BUILT = {"stores": "shop", "employees": "staff", "customers": "buyer", "suppliers": "vendor", "products": "goods",
+          "orders": "sale", "order_items": "line", "payments": "paid"}
 _COLUMNS = {
     "stores": "store_id name location manager_id",
     "employees": "employee_id name role store_id salary manager_id",
@@ -157,19 +165,16 @@ ORACLE: dict[str, str] = {
     "temp_table": _with("line", _SHIPPED),
     "list_tables": " UNION ALL ".join(
         f"SELECT 'retail_{name}' AS table_name, count(*) AS n_rows FROM {source}" for name, source in _SOURCES.items()),
-    "list_columns": " UNION ALL ".join(
-        f"SELECT 'retail_{table}' AS table_name, '{column}' AS column_name, {place} AS place, "
-        + ("CAST(0 AS BIGINT)" if (table, column) == ("stores", "manager_id") else
-           "(SELECT count(*) FROM supplier WHERE s_suppkey >= 3)" if column == "manager_id" else
-           f"(SELECT count(*) FROM {_SOURCES[table]})") + " AS n_values"
-        for table, columns in _COLUMNS.items() for place, column in enumerate(columns.split(), 1)),
+    "list_columns": _with(" ".join(_BUILT.values()), " UNION ALL ".join(
+        f"SELECT 'retail_{table}' AS table_name, '{column}' AS column_name, {place} AS place, count({column}) AS n_values "
+        f"FROM {_BUILT[table]}" for table, columns in _COLUMNS.items() for place, column in enumerate(columns.split(), 1))),
     # sinks
-    "export_csv": _with("line goods", _BEST),
-    "export_columns_csv": "SELECT p_partkey AS product_id, p_name AS name, p_size AS stock FROM part",
+    "export_csv": _with("line goods", f"SELECT * REPLACE ({_awkward('product_id', 'product_name')} AS product_name) FROM ({_BEST})"),
+    "export_columns_csv": f"SELECT p_partkey AS product_id, {_awkward('p_partkey', 'p_name')} AS name, p_size AS stock FROM part",
     "export_report": _with("sale", f"""SELECT m.*, f.format FROM ({_MONTHLY}) m,
         (VALUES ('csv'), ('parquet')) f(format)"""),
-    "copy_query_csv": _with("sale buyer", _SPENDING),
-    "copy_table_csv": _with("staff", "SELECT * FROM staff"),
+    "copy_query_csv": _with("sale buyer", f"SELECT * REPLACE ({_awkward('customer_id', 'name')} AS name) FROM ({_SPENDING})"),
+    "copy_table_csv": _with("staff", f"SELECT * REPLACE ({_awkward('employee_id', 'name')} AS name) FROM staff"),
     "sales_report_job": _with("line sale goods", _DAILY),
     "create_tables": _with("paid", "SELECT * FROM paid"),
     "create_view": _with("shop sale", f"SELECT location, {_SPENT} AS revenue FROM sale INNER JOIN shop USING (store_id) GROUP BY 1"),
@@ -180,9 +185,9 @@ ORACLE: dict[str, str] = {
     "const_columns": "SELECT s_suppkey + 1 AS id, s_name AS name, CAST(NULL AS VARCHAR) AS email, 'Employee' AS type FROM supplier",
     "filter_eq": _with("sale", "SELECT * FROM sale WHERE customer_id IN (5)"),
     "filter_ilike": _with("goods", "SELECT * FROM goods WHERE contains(lower(name), 'ring')"),
-    "filter_like": _with("odd_buyer", "SELECT * FROM odd_buyer WHERE contains(email, '@')"),
+    "filter_like": _with("odd_buyer", "SELECT * FROM odd_buyer WHERE regexp_matches(email, '@.*[.]')"),
     "filter_is_null": _with("staff", "SELECT * FROM staff WHERE manager_id IS NULL"),
-    "filter_or_null": _with("sale", "SELECT * FROM sale WHERE coalesce(order_date, TIMESTAMP '1900-01-01') < TIMESTAMP '1996-02-01'"),
+    "filter_or_null": _with("odd_sale", "SELECT * FROM odd_sale WHERE order_date IS NULL OR order_date < TIMESTAMP '1996-02-01'"),
     "filter_recent": _with("sale", "SELECT * FROM sale WHERE NOT order_date < TIMESTAMP '2001-08-01' - INTERVAL '6' MONTH"),
     "filter_month_year": _with("sale", "SELECT * FROM sale WHERE month(order_date) = 12 AND year(order_date) = 1999"),
     "filter_in_list": _with("paid", "SELECT * FROM paid WHERE payment_method = 'UPI' OR payment_method = 'Cash'"),
@@ -221,7 +226,8 @@ ORACLE: dict[str, str] = {
     "sort_desc": _with("sale", "SELECT * FROM sale ORDER BY order_date DESC NULLS FIRST, order_id"),
     "sort_asc": _with("staff", "SELECT * FROM staff ORDER BY manager_id NULLS LAST, employee_id"),
     "sort_nulls_last": _with("odd_buyer", "SELECT * FROM odd_buyer ORDER BY name NULLS LAST, customer_id"),
-    "union_people": _with("buyer staff", """SELECT customer_id AS id, name, email, 'Customer' AS type FROM buyer
+    "union_people": _with("buyer staff", """SELECT customer_id AS id, name, email, 'Customer' AS type
+        FROM (SELECT * FROM buyer UNION ALL SELECT * FROM buyer WHERE customer_id % 3 = 0)
         UNION SELECT employee_id, name, NULL, 'Employee' FROM staff"""),
     "union_active_inactive": _with("sale", """SELECT *, 'Active' AS status FROM sale WHERE order_date >= TIMESTAMP '2001-02-01'
         UNION ALL SELECT *, 'Inactive' FROM sale WHERE order_date < TIMESTAMP '2001-02-01'"""),
@@ -238,8 +244,20 @@ ORACLE: dict[str, str] = {
     "check_all_rules": _with("odd_buyer", _report_part({**_REQUIRED, **_LENGTHS, **_EMAIL}) + " UNION ALL " + " UNION ALL ".join(
         f"SELECT '{name}', CAST({key} AS VARCHAR), count(*) FROM odd_buyer WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(*) > 1"
         for name, key in (("primary key", "customer_id"), ("unique email", "email"), ("unique phone", "phone")))),
-    "swap_constraint": """SELECT l_orderkey AS order_id, count(*) AS n_rows FROM lineitem
-        WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') GROUP BY 1""",
+    "check_item_rules": _with("odd_line", """, item AS (
+        SELECT * REPLACE (CASE WHEN line_no = 1 THEN -1 - order_id ELSE order_id END AS order_id),
+               order_id * 8 + line_no AS order_item_id FROM odd_line)
+        SELECT 'check quantity > 0' AS rule, CAST(NULL AS VARCHAR) AS value, count(*) AS n_rows FROM item
+            WHERE quantity <= 0 HAVING count(*) > 0
+        UNION ALL SELECT 'check price > 0', NULL, count(*) FROM item WHERE price <= 0 HAVING count(*) > 0
+        UNION ALL SELECT 'primary key', CAST(order_item_id AS VARCHAR), count(*) FROM item GROUP BY order_item_id HAVING count(*) > 1
+        UNION ALL SELECT 'reference product_id', CAST(product_id AS VARCHAR), count(*) FROM item
+            WHERE product_id NOT IN (SELECT p_partkey FROM part) GROUP BY product_id
+        UNION ALL SELECT 'reference order_id', CAST(order_id AS VARCHAR), count(*) FROM item
+            WHERE order_id NOT IN (SELECT o_orderkey FROM orders) GROUP BY order_id"""),
+    "swap_constraint": """SELECT * FROM (
+        SELECT CASE WHEN l_returnflag = 'R' THEN -1 - l_orderkey ELSE l_orderkey END AS order_id, count(*) AS n_rows
+        FROM lineitem GROUP BY 1) WHERE order_id NOT IN (SELECT o_orderkey FROM orders)""",
     # inserts
     "append_rows": _with("paid", """SELECT * FROM paid WHERE payment_date < TIMESTAMP '2000-01-01'
         UNION ALL SELECT payment_id, order_id, CAST(amount - 150000 AS DECIMAL(10,2)), payment_method, payment_date
@@ -259,11 +277,28 @@ ORACLE: dict[str, str] = {
         SELECT supplier_id, name, contact_person, phone, city FROM (
             SELECT customer_id AS supplier_id, coalesce(name, email) AS name, email AS contact_person, phone, city,
                    row_number() OVER (PARTITION BY phone ORDER BY customer_id) AS turn
-            FROM odd_buyer WHERE phone NOT IN (SELECT phone FROM vendor)) WHERE turn = 1"""),
-    "import_csv_ignore": _with("buyer odd_buyer", """SELECT * FROM buyer WHERE city = 'AUTOMOBILE' UNION ALL
-        SELECT odd_buyer.* FROM odd_buyer WHERE city = 'BUILDING'
-        QUALIFY row_number() OVER (PARTITION BY phone ORDER BY customer_id) = 1"""),
-    "insert_text_rows": _with("goods", "SELECT * REPLACE (CASE WHEN category <> 'PROMO' THEN supplier_id END AS supplier_id) FROM goods"),
+            FROM odd_buyer
+            WHERE coalesce(name, email) IS NOT NULL AND email IS NOT NULL AND phone IS NOT NULL AND city IS NOT NULL
+              AND length(phone) <= 15 AND phone NOT IN (SELECT phone FROM vendor))
+        WHERE turn = 1 AND supplier_id NOT IN (SELECT supplier_id FROM vendor)"""),
+    "import_csv_ignore": _with("buyer odd_buyer", """, arrived AS (
+        SELECT CASE WHEN customer_id % 13 = 0 THEN NULL WHEN customer_id % 11 = 0 THEN 'x' || customer_id
+                    WHEN customer_id % 7 = 0 THEN CAST(customer_id AS VARCHAR) ELSE CAST(customer_id + 1000000 AS VARCHAR) END AS text_id,
+               CASE WHEN customer_id % 4 = 0 THEN 'one' || chr(10) || name ELSE name END AS name,
+               CASE WHEN customer_id % 5 = 0 THEN email ELSE 'n.' || email END AS email,
+               CASE WHEN customer_id % 3 = 0 THEN phone ELSE 'N' || substr(phone, 2) END AS phone, city FROM odd_buyer),
+        sound AS (
+        SELECT TRY_CAST(text_id AS BIGINT) AS customer_id, name, email, phone, city FROM arrived
+        WHERE TRY_CAST(text_id AS BIGINT) IS NOT NULL AND name IS NOT NULL AND email LIKE '%@%.%' AND length(phone) <= 15)
+        SELECT * FROM buyer UNION ALL SELECT * FROM (
+        SELECT * FROM sound WHERE customer_id NOT IN (SELECT customer_id FROM buyer) AND email NOT IN (SELECT email FROM buyer)
+          AND phone NOT IN (SELECT phone FROM buyer)
+        QUALIFY row_number() OVER (PARTITION BY phone ORDER BY customer_id) = 1)"""),
+    "insert_text_rows": _with("goods", """SELECT * FROM goods UNION ALL
+        SELECT product_id + 1000000, name, category, price, stock, CASE WHEN category <> 'PROMO' THEN supplier_id END
+        FROM goods WHERE product_id % 13 <> 0 AND product_id % 11 <> 0 AND product_id % 7 <> 0 AND product_id % 5 <> 0
+          AND (category = 'PROMO' OR product_id % 17 <> 0) AND price > 0 AND stock >= 0
+          AND (category = 'PROMO' OR supplier_id IN (SELECT s_suppkey FROM supplier))"""),
     "add_customer": _with("buyer staff", """SELECT * FROM buyer UNION ALL
         SELECT (SELECT max(customer_id) FROM buyer) + row_number() OVER (ORDER BY 'E' || employee_id), name,
                lower(replace(name, '#', '.')) || '@example.com', 'E' || employee_id, role FROM staff"""),
@@ -275,14 +310,24 @@ ORACLE: dict[str, str] = {
         CAST(CASE WHEN hire_date <= TIMESTAMP '1995-06-01' THEN salary * 1.15 ELSE salary END AS DECIMAL(10,2)) AS salary,
         manager_id, hire_date FROM staff LEFT JOIN
         (SELECT l_suppkey, CAST(min(l_shipdate) AS DATE) AS hire_date FROM lineitem GROUP BY 1) ON l_suppkey + 1 = employee_id"""),
-    "refresh_stock": _with("goods line", f"""SELECT product_id, name, category, price, coalesce(new_stock, stock) AS stock, supplier_id
+    "refresh_stock": _with("goods line", f"""SELECT product_id, name, category, price,
+        CASE WHEN new_stock IS NULL OR product_id % 7 = 0 OR new_stock - if(product_id % 3 = 0, 45, 0) < 0 THEN stock
+             ELSE new_stock - if(product_id % 3 = 0, 45, 0) END AS stock, supplier_id
         FROM goods LEFT JOIN ({_SHIPPED}) USING (product_id)"""),
     "add_product_stock": _with("goods", """SELECT product_id, name, category, price,
         CAST(stock + coalesce((SELECT sum(l_quantity) FROM lineitem WHERE l_partkey = product_id AND l_returnflag = 'R'), 0) AS INT) AS stock,
         supplier_id FROM goods"""),
-    "update_customer": _with("buyer", """SELECT customer_id, if(city = 'BUILDING', upper(name), name) AS name,
-        if(city = 'BUILDING', customer_id || '@example.org', email) AS email, phone,
-        if(city = 'BUILDING', 'Springfield', city) AS city FROM buyer"""),
+    "update_customer": _with("buyer odd_buyer", """, moved AS (
+        SELECT customer_id, upper(name) AS name, email, CASE WHEN city = 'AUTOMOBILE' AND customer_id % 2 = 0
+               THEN lpad(CAST(customer_id + 1 AS VARCHAR), 15, '0') ELSE phone END AS phone FROM odd_buyer
+        WHERE customer_id % 50 <> 7),
+        sound AS (SELECT * FROM moved WHERE name IS NOT NULL AND email LIKE '%@%.%' AND length(phone) <= 15),
+        alone AS (SELECT * FROM sound s
+        WHERE NOT EXISTS (FROM sound o WHERE o.customer_id <> s.customer_id AND (o.phone = s.phone OR o.email = s.email))
+          AND NOT EXISTS (FROM buyer o WHERE o.customer_id <> s.customer_id AND (o.phone = s.phone OR o.email = s.email)))
+        SELECT b.customer_id, coalesce(a.name, b.name) AS name, coalesce(a.email, b.email) AS email,
+               coalesce(a.phone, b.phone) AS phone, if(a.customer_id IS NULL, b.city, 'Springfield') AS city
+        FROM buyer b LEFT JOIN alone a USING (customer_id)"""),
     # deletes, cascades, audit
     "delete_by_key": _with("leaver", "SELECT * FROM staff WHERE employee_id NOT IN (FROM leaver)"),
     "cascade_set_null": _with("leaver", """SELECT * REPLACE (CASE WHEN manager_id IN (FROM leaver) THEN NULL ELSE manager_id END
@@ -306,5 +351,8 @@ ORACLE: dict[str, str] = {
     "stock_guard_rejected": _with("line goods", "SELECT line.*, stock FROM line INNER JOIN goods USING (product_id) WHERE stock < quantity"),
     "stock_guard_stream": _with("line goods", "SELECT line.* FROM line INNER JOIN goods USING (product_id) WHERE NOT stock < quantity"),
 }
+ORACLE["timed_query"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS query, 1 AS run, (SELECT count(*) FROM ({ORACLE[name]})) AS n_rows, true AS timed"
+    for name in ("store_revenue", "top_selling_products", "monthly_revenue_per_store", "customer_total_spending"))
 for _same in ("customer_orders", "sales_report"):
     ORACLE[f"{_same}_function"] = ORACLE[_same]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.functions.money import total
@@ -40,6 +40,14 @@ def _scratch(r: Retail, label: str) -> str:
     return scratch_path(r.spark, label)
 
 
+def awkward(key: str, name: str) -> Column:
+    """Texts that a file must carry unchanged: padded, empty, quoted and of several lines."""
+    text, kind = F.col(name), F.col(key) % 5
+    return (F.when(kind == 0, F.concat(F.lit("  "), text, F.lit(" "))).when(kind == 1, "")
+            .when(kind == 2, F.concat(F.lit('say "'), text, F.lit('", ok'))).when(kind == 3, F.concat(F.lit("one\n"), text))
+            .otherwise(text))
+
+
 # ---- sources ---------------------------------------------------------------------------
 
 
@@ -118,15 +126,17 @@ def _shipments(r: Retail) -> DataFrame:
 
 @query
 def export_csv(r: Retail) -> DataFrame:
-    best = reports.top_selling_products(r.order_items, r.products)
-    return csv.scan_csv(r.spark, files.export_csv(best, _scratch(r, "export")), best.schema)
+    best = reports.top_selling_products(r.order_items, r.products).withColumn(
+        "product_name", awkward("product_id", "product_name"))
+    return csv.scan_csv(r.spark, files.export_csv(best, _scratch(r, "export")), best.schema, line_breaks=True)
 
 
 @query
 def export_columns_csv(r: Retail) -> DataFrame:
     wanted = "product_id, name, stock"
-    path = files.export_columns_csv(r.products, wanted, _scratch(r, "export"))
-    return csv.scan_csv(r.spark, path, files.chosen_columns(r.products, wanted).schema)
+    goods = r.products.withColumn("name", awkward("product_id", "name"))
+    path = files.export_columns_csv(goods, wanted, _scratch(r, "export"))
+    return csv.scan_csv(r.spark, path, files.chosen_columns(goods, wanted).schema, line_breaks=True)
 
 
 @query
@@ -140,14 +150,14 @@ def export_report(r: Retail) -> DataFrame:
 
 @query
 def copy_query_csv(r: Retail) -> DataFrame:
-    spending = reports.customer_total_spending(r.customers, r.orders)
-    return csv.scan_csv(r.spark, files.export_csv(spending, _scratch(r, "copy")), spending.schema)
+    spending = reports.customer_total_spending(r.customers, r.orders).withColumn("name", awkward("customer_id", "name"))
+    return csv.scan_csv(r.spark, files.export_csv(spending, _scratch(r, "copy")), spending.schema, line_breaks=True)
 
 
 @query
 def copy_table_csv(r: Retail) -> DataFrame:
-    path = files.export_csv(r.employees, _scratch(r, "copy"))
-    return csv.scan_csv(r.spark, path, r.employees.schema)
+    staff = r.employees.withColumn("name", awkward("employee_id", "name"))
+    return csv.scan_csv(r.spark, files.export_csv(staff, _scratch(r, "copy")), staff.schema, line_breaks=True)
 
 
 @query
@@ -220,7 +230,7 @@ def filter_is_null(r: Retail) -> DataFrame:
 
 @query
 def filter_or_null(r: Retail) -> DataFrame:
-    return relational.undated_or_before(r.orders, "order_date", before(STALE_DAY, years=1))
+    return relational.undated_or_before(r.unchecked_orders, "order_date", before(STALE_DAY, years=1))
 
 
 @query
@@ -384,7 +394,8 @@ def sort_nulls_last(r: Retail) -> DataFrame:
 
 @query
 def union_people(r: Retail) -> DataFrame:
-    return relational.people(r.customers, r.employees)
+    again = r.customers.filter(F.col("customer_id") % 3 == 0)
+    return relational.people(r.customers.unionByName(again), r.employees)
 
 
 @query
@@ -436,12 +447,20 @@ def check_all_rules(r: Retail) -> DataFrame:
     return constraints.violations(r.unchecked_customers, TABLES["customers"], {})
 
 
+@query
+def check_item_rules(r: Retail) -> DataFrame:
+    """Row rules, a repeated key and references to products and orders, all in one report."""
+    items = r.unchecked_items.withColumn("order_item_id", F.col("order_id") * 8 + F.col("line_no")).withColumn(
+        "order_id", F.when(F.col("line_no") == 1, -1 - F.col("order_id")).otherwise(F.col("order_id")))
+    return constraints.violations(items, TABLES["order_items"], {"products": r.products, "orders": r.orders})
+
+
 @query
 def swap_constraint(r: Retail) -> DataFrame:
     table = TABLES["order_items"].with_reference(Reference("order_id", "orders", "order_id"))
     reference = next(x for x in table.references if x.column == "order_id")
-    settled = r.raw("orders").filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("order_id"))
-    return constraints.broken_references(r.order_items, reference, settled)
+    returned = F.when(F.col("l_returnflag") == "R", -1 - F.col("l_orderkey")).otherwise(F.col("l_orderkey"))
+    return constraints.broken_references(r.raw("lineitem").select(returned.alias("order_id")), reference, r.orders)
 
 
 # ---- inserts ---------------------------------------------------------------------------
@@ -480,25 +499,38 @@ def _new_suppliers(r: Retail) -> DataFrame:
 @query
 def insert_ignore(r: Retail) -> DataFrame:
     return writes.insert_unless_taken(r.suppliers, _new_suppliers(r), TABLES["suppliers"], "phone",
-                                      ["supplier_id"]).state
+                                      ["supplier_id"], mode="quarantine").state
 
 
 @query
 def import_csv_ignore(r: Retail) -> DataFrame:
-    stored = r.customers.filter(F.col("city") == "AUTOMOBILE")
-    path = files.export_csv(r.unchecked_customers, _scratch(r, "import"))
-    texts = csv.scan_csv_text(r.spark, path)
-    return writes.import_ignore(stored, texts, TABLES["customers"], mode="quarantine",
-                                order_by=["customer_id"]).state
+    """A file of all customers under shifted keys: some keys are missing, malformed or taken, some emails
+    and phones are taken, and some names have two lines."""
+    key = F.col("customer_id")
+    number = (F.when(key % 13 == 0, F.lit(None)).when(key % 11 == 0, F.concat(F.lit("x"), key))
+              .when(key % 7 == 0, key.cast("string")).otherwise((key + 1_000_000).cast("string")))
+    news = r.unchecked_customers.select(
+        number.alias("customer_id"),
+        F.when(key % 4 == 0, F.concat(F.lit("one\n"), F.col("name"))).otherwise(F.col("name")).alias("name"),
+        F.when(key % 5 == 0, F.col("email")).otherwise(F.concat(F.lit("n."), F.col("email"))).alias("email"),
+        F.when(key % 3 == 0, F.col("phone")).otherwise(F.concat(F.lit("N"), F.substr("phone", F.lit(2)))).alias("phone"), "city")
+    texts = csv.scan_csv_text(r.spark, files.export_csv(news, _scratch(r, "import")))
+    return writes.import_ignore(r.customers, texts, TABLES["customers"], mode="quarantine", order_by=["customer_id"]).state
 
 
 @query
 def insert_text_rows(r: Retail) -> DataFrame:
-    table = TABLES["products"]
-    padded = [F.concat(F.lit("  "), F.col(c).cast("string"), F.lit(" ")).alias(c) for c in table.columns.names]
-    texts = r.products.select(*padded).withColumn(
-        "supplier_id", F.when(F.trim("category") == "PROMO", " Null ").otherwise(F.col("supplier_id")))
-    return writes.typed_rows(texts, table)
+    """All products once more under shifted keys, typed by hand: some values are malformed or break a rule."""
+    key, table = F.col("product_id"), TABLES["products"]
+    texts = r.products.select(
+        (key + 1_000_000).cast("string").alias("product_id"), "name",
+        F.when(key % 13 == 0, "NULL").otherwise(F.col("category")).alias("category"),
+        F.when(key % 11 == 0, "cheap").when(key % 7 == 0, "-1").otherwise(F.col("price").cast("string")).alias("price"),
+        F.when(key % 5 == 0, "-3").otherwise(F.col("stock").cast("string")).alias("stock"),
+        F.when(F.col("category") == "PROMO", " Null ").when(key % 17 == 0, "999999999")
+        .otherwise(F.col("supplier_id").cast("string")).alias("supplier_id"))
+    padded = texts.select(*[F.concat(F.lit("  "), F.col(c), F.lit(" ")).alias(c) for c in table.columns.names])
+    return writes.insert_text_rows(r.products, padded, table, {"suppliers": r.suppliers}, mode="quarantine").state
 
 
 @query
@@ -531,7 +563,11 @@ def update_salary(r: Retail) -> DataFrame:
 
 @query
 def refresh_stock(r: Retail) -> DataFrame:
-    return writes.refresh_stock(r.products, _shipments(r))
+    """Some products come twice with one level, some with two levels, some with a level below 0."""
+    key = F.col("product_id")
+    once = _shipments(r).withColumn("new_stock", F.when(key % 3 == 0, F.col("new_stock") - 45).otherwise(F.col("new_stock")))
+    again = once.filter(key % 10 == 0).unionByName(once.filter(key % 7 == 0).withColumn("new_stock", F.col("new_stock") + 1))
+    return writes.refresh_stock(r.products, once.unionByName(again), mode="quarantine").state
 
 
 @query
@@ -543,10 +579,15 @@ def add_product_stock(r: Retail) -> DataFrame:
 
 @query
 def update_customer(r: Retail) -> DataFrame:
-    moved = r.customers.filter(F.col("city") == "BUILDING").select("customer_id", F.upper("name").alias("name"),
-                                F.concat(F.col("customer_id"), F.lit("@example.org")).alias("email"), "phone",
-                                F.lit("Springfield").alias("city"))
-    return writes.update_customers(r.customers, moved)
+    """All customers move. By segment the changes lack a name, have a bad email, a long or a repeated phone, or
+    (AUTOMOBILE, even keys) the next customer's phone; some customers are named twice."""
+    key = F.col("customer_id")
+    phone = F.when((F.col("city") == "AUTOMOBILE") & (key % 2 == 0), F.lpad((key + 1).cast("string"), 15, "0")).otherwise(
+        F.col("phone"))
+    moved = r.unchecked_customers.select(
+        "customer_id", F.upper("name").alias("name"), "email", phone.alias("phone"), F.lit("Springfield").alias("city"))
+    twice = moved.unionByName(moved.filter(key % 50 == 7))
+    return writes.update_customers(r.customers, twice, mode="quarantine").state
 
 
 # ---- deletes, cascades, audit ----------------------------------------------------------
@@ -651,4 +692,5 @@ def stock_guard_stream(r: Retail) -> DataFrame:
 @query
 def timed_query(r: Retail) -> DataFrame:
     names = ("store_revenue", "top_selling_products", "monthly_revenue_per_store", "customer_total_spending")
-    return timed_queries(r.spark, {n: lambda n=n: QUERIES[n](r.spark, r.folder) for n in names})
+    timed = timed_queries(r.spark, {n: lambda n=n: QUERIES[n](r.spark, r.folder) for n in names})
+    return timed.select("query", "run", "n_rows", (F.col("seconds") > 0).alias("timed"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +18,7 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
-_local_folders: dict[str, str] = {}
+_to_remove: set[str] = set()
 
 
 def build_session(app_name: str = "tillmark", master: str | None = None, **extra: str) -> SparkSession:
@@ -49,29 +49,31 @@ def settings_for(input_bytes: int, cores: int, shuffled_share: float = 0.5) -> d
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, named by ``spark.checkpoint.dir`` or set on the context.
-
-    A machine-local folder is made only for a local master that names none.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return context.getCheckpointDir().rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tillmark-")
-    return _local_folders[context.applicationId]
+    """The folder all executors can reach: named by ``spark.checkpoint.dir``, set on the context, or
+    else the warehouse, which executors share too. The same rule holds for every master."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder; one parent folder per Spark application."""
+    """A fresh path under the shared folder; one parent folder per Spark application, removed at its end."""
     parent = f"{shared_folder(spark)}/tillmark-{spark.sparkContext.applicationId}"
+    if parent not in _to_remove:
+        _to_remove.add(parent)
+        atexit.register(remove_steps, spark, parent)
     return f"{parent}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_steps(spark: SparkSession, parent: str) -> None:
+    """Delete the written steps of an application, if its session still runs; else they stay for the owner
+    of the folder to delete."""
+    context = spark.sparkContext
+    if context._jsc is None or context._jsc.sc().isStopped():
+        return
+    path = context._jvm.org.apache.hadoop.fs.Path(parent)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

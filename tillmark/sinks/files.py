@@ -12,8 +12,12 @@ from pyspark.sql import functions as F
 
 
 def export_csv(df: DataFrame, path: str) -> str:
-    """CSV with a header; quotes are doubled, NULL is empty and an empty text is ``""``."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """CSV with a header; quotes are doubled, NULL is empty and an empty text is ``""``.
+
+    Texts are written as they are, blanks and line breaks included.
+    """
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
 
 

@@ -8,7 +8,12 @@ from pyspark.sql import types as T
 from tillmark.schema import SHIPMENTS
 
 
-def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, null_value: str = "",
+# Stands for NULL where a file has none of its own: no text holds it, so an empty value without quotes is NULL and
+# a quoted one an empty text.
+NO_TEXT = "\0"
+
+
+def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, null_value: str = NO_TEXT,
              mode: str = "FAILFAST", line_breaks: bool = False) -> DataFrame:
     """Read CSV with a header. Without a schema the types are inferred, which reads the data twice.
 
@@ -22,9 +27,14 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return reader.option("inferSchema", True).csv(path)
 
 
-def scan_csv_text(spark: SparkSession, path: str, null_value: str = "") -> DataFrame:
-    """Read CSV with a header as text columns."""
-    return spark.read.option("header", True).option("escape", '"').option("nullValue", null_value).csv(path)
+def scan_csv_text(spark: SparkSession, path: str, null_value: str = NO_TEXT, line_breaks: bool = True) -> DataFrame:
+    """Read CSV with a header as text columns.
+
+    ``line_breaks`` allows them inside quoted values; each file is then read by one task. Turn it off for
+    large files without such values, so that they are split.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("nullValue", null_value)
+    return reader.option("multiLine", line_breaks).csv(path)
 
 
 def shipments_table(spark: SparkSession, path: str, name: str = "temp_shipments") -> DataFrame:

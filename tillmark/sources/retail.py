@@ -124,7 +124,8 @@ class Retail:
         """All customers; each market segment breaks another rule, AUTOMOBILE none."""
         segment = F.col("c_mktsegment")
         plain = F.lower(F.replace("c_name", F.lit("#"), F.lit(".")))
-        address = F.when(segment == "MACHINERY", plain).otherwise(F.concat(plain, F.lit("@example.com")))
+        address = (F.when((segment == "MACHINERY") & (F.col("c_custkey") % 3 == 0), F.concat(plain, F.lit("@localhost")))
+                   .when(segment == "MACHINERY", plain).otherwise(F.concat(plain, F.lit("@example.com"))))
         phone = (F.when(segment == "FURNITURE", _phone("c_custkey", 20))
                  .when(segment == "BUILDING", F.col("c_nationkey").cast("string"))
                  .otherwise(_phone("c_custkey")))
@@ -135,12 +136,12 @@ class Retail:
 
     @cached_property
     def unchecked_orders(self) -> DataFrame:
-        """All orders: pending ones name no customer, open ones an unknown customer."""
+        """All orders: pending ones name no customer and no date, open ones an unknown customer."""
         status = F.col("o_orderstatus")
         customer = F.when(status == "F", F.col("o_custkey")).when(status == "O", -1 - F.col("o_custkey"))
         return self.raw("orders").select(
             F.col("o_orderkey").alias("order_id"), customer.alias("customer_id"),
-            (F.col("o_orderkey") % 25).alias("store_id"), F.col("o_orderdate").alias("order_date"),
+            (F.col("o_orderkey") % 25).alias("store_id"), F.when(status != "P", F.col("o_orderdate")).alias("order_date"),
             money(F.col("o_totalprice")).alias("total_amount"))
 
     @cached_property

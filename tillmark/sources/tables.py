@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -21,12 +21,9 @@ def query_to_frame(spark: SparkSession, query: str, args: Mapping[str, Any] | No
     return spark.sql(query, args=dict(args or {}))
 
 
-def fetch_rows(df: DataFrame, limit: int = 1000) -> list[Row]:
-    """Rows for the client. More than ``limit`` rows is an error: write those to a table instead."""
-    rows = df.take(limit + 1)
-    if len(rows) > limit:
-        raise ValueError(f"the result has more than {limit} rows; export it instead of fetching it")
-    return rows
+def fetch_rows(df: DataFrame) -> Iterator[Row]:
+    """All rows for the client, one partition in memory at a time."""
+    return df.toLocalIterator()
 
 
 def rows_to_frame(spark: SparkSession, rows: Sequence[Mapping[str, Any]],

@@ -22,7 +22,8 @@ def guard_arriving_items(items: DataFrame, products: Callable[[], DataFrame], fo
     """
 
     def judge(batch: DataFrame, number: int) -> None:
-        judged = materialize(stock_of_items(batch, products()), "arrived")
+        arrived = materialize(batch, "arrived")  # the join's measurements read it again
+        judged = materialize(stock_of_items(arrived, products()), "guarded")
         for side, rows in (("accepted", judged.filter(~is_short())), ("rejected", judged.filter(is_short()))):
             rows.write.mode("overwrite").parquet(f"{folder}/{side}/batch={number}")
 
