@@ -141,6 +141,20 @@ def test_insert_ignore_is_row_after_row(spark, way, seed, columns):
     assert change.state.count() == 5 + len(expected)
 
 
+def test_long_chains_end_in_a_few_rounds(spark, monkeypatch):
+    """Each row clashes with the one before, on two columns in turn: every other row goes in."""
+    chain = [{"id": i, "a": i // 2, "b": (i + 1) // 2} for i in range(1000)]
+    other = [{"id": 5000 + i, "a": 9000 + i % 3, "b": None} for i in range(10)]
+    schema = "id bigint, a bigint, b bigint"
+    rounds = []
+    counted = writes.value_turns
+    monkeypatch.setattr(writes, "value_turns", lambda *args: rounds.append(1) or counted(*args))
+    change = writes.insert_ignore(spark.createDataFrame([], schema), spark.createDataFrame(chain + other, schema), ["a", "b"], ["id"])
+    expected = [row["id"] for row in _row_after_row([], chain + other, ["a", "b"])]
+    assert sorted(r["id"] for r in change.rows.collect()) == sorted(expected)
+    assert len(rounds) <= 8
+
+
 def test_insert_unless_taken_keeps_the_other_rules(spark, t, way):
     table = TABLES["suppliers"]
     rows = [(3, "S", "C", "0000000001", "T"), (3, "S", "C", "new 1", "T"), (30, "S", None, "new 2", "T"), (31, "S", "C", "9" * 16, "T"),

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 from tillmark.functions.money import scaled
 from tillmark.functions.temporal import Moment, before, moment
 from tillmark.functions.text import from_text
+from tillmark.operators.components import components
 from tillmark.operators.constraints import (
     VIOLATIONS,
     RuleBroken,
@@ -126,14 +128,15 @@ def append_order_items(existing: DataFrame, batch: DataFrame, products: DataFram
 
 
 def insert_ignore(existing: DataFrame, batch: DataFrame, unique: Sequence[str],
-                  order_by: Sequence[str] = ()) -> Change:
+                  order_by: Sequence[str] = (), rounds: int = 6) -> Change:
     """Insert the rows that collide on no ``unique`` column with a stored row or with an earlier
     inserted row of the batch, as if row after row; NULLs never collide.
 
     Values that occur once are settled at once. Among rows that repeat a value, the first of each
     value goes in. With several columns a row may be first for one value and not for another,
     and a skipped row does not block later ones, so the rows whose fate still hangs on another
-    row play again until none is left.
+    row play again, up to ``rounds`` times. What is left then are chains in which each row hangs on the
+    one before; they are found as connected components and each is settled row after row by one task.
     """
     columns = batch.columns
     waiting = in_order(batch, order_by)
@@ -146,7 +149,10 @@ def insert_ignore(existing: DataFrame, batch: DataFrame, unique: Sequence[str],
             waiting = lookup_join(waiting, values_of(stored, key, batch), key, "_clash", "left_anti", columns, small, hot)
         turns = value_turns(waiting, unique)
     settled: list[DataFrame] = []
-    while True:
+    for number in range(rounds + 1):
+        if number == rounds:
+            settled.append(_settle_chains(waiting, unique, columns))
+            break
         repeated = turns.filter(F.col("_rows") > 1).drop("_rows")
         keys = [row["_column"] for row in repeated.select("_column").distinct().collect()]  # at most one per column
         if not keys:
@@ -179,6 +185,34 @@ def insert_ignore(existing: DataFrame, batch: DataFrame, unique: Sequence[str],
     return Change(existing.unionByName(inserted, allowMissingColumns=True), inserted, inserted.limit(0))
 
 
+def _settle_chains(waiting: DataFrame, unique: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """The rows of ``waiting`` that go in, row after row within each group of rows that share values."""
+    ordered = materialize(waiting.orderBy("_turn").withColumn("_row", F.monotonically_increasing_id()), "ordered")
+    texts = [F.col(c).cast("string").alias(f"_{n}") for n, c in enumerate(unique)]
+    links = None
+    for c in unique:
+        held = ordered.filter(F.col(c).isNotNull()).select("_row", F.col(c).alias("_value"))
+        firsts = held.groupBy("_value").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
+        pairs = held.join(firsts, "_value").select(F.col("_first").alias("a"), F.col("_row").alias("b"))
+        links = pairs if links is None else links.unionByName(pairs)
+    roots = components(links).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    grouped = ordered.select("_row", *texts).join(roots, F.col("_row") == F.col("_node"), "left").withColumn(
+        "_root", F.coalesce("_root", "_row")).drop("_node")
+
+    def one_by_one(group: pd.DataFrame) -> pd.DataFrame:
+        seen: list[set] = [set() for _ in unique]
+        kept = []
+        for row, _, *values in group.sort_values("_row")[["_row", "_root", *[f"_{n}" for n in range(len(unique))]]].itertuples(index=False):
+            if all(v is None or v not in s for v, s in zip(values, seen)):
+                kept.append(row)
+                for v, s in zip(values, seen):
+                    s.add(v)
+        return pd.DataFrame({"_kept": kept}, dtype="int64")
+
+    kept = grouped.groupBy("_root").applyInPandas(one_by_one, "_kept bigint")
+    return ordered.join(kept, F.col("_row") == F.col("_kept"), "left_semi").select(*columns)
+
+
 def insert_unless_taken(existing: DataFrame, batch: DataFrame, table: Table, conflict: str,
                         order_by: Sequence[str] = (), as_of: Moment = None, mode: str = "fail",
                         parents: Mapping[str, DataFrame] | None = None) -> Change:

@@ -57,20 +57,24 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; one parent folder per Spark application, removed at its end."""
-    parent = f"{shared_folder(spark)}/tillmark-{spark.sparkContext.applicationId}"
+    parent = _steps_folder(spark)
     if parent not in _to_remove:
         _to_remove.add(parent)
-        atexit.register(remove_steps, spark, parent)
+        atexit.register(remove_steps, spark)
     return f"{parent}/{label}-{uuid.uuid4().hex}"
 
 
-def remove_steps(spark: SparkSession, parent: str) -> None:
-    """Delete the written steps of an application, if its session still runs; else they stay for the owner
-    of the folder to delete."""
+def _steps_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tillmark-{spark.sparkContext.applicationId}"
+
+
+def remove_steps(spark: SparkSession) -> None:
+    """Delete the written steps of this application, while its session still runs: at the end of a job, and
+    when Python ends. Frames made from them cannot be read after that."""
     context = spark.sparkContext
     if context._jsc is None or context._jsc.sc().isStopped():
         return
-    path = context._jvm.org.apache.hadoop.fs.Path(parent)
+    path = context._jvm.org.apache.hadoop.fs.Path(_steps_folder(spark))
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
