@@ -4,7 +4,8 @@ import pytest
 
 from tests.conftest import FOLDER
 from tests.llm import brute
-from tillmark.llm import components, order_minhash
+from tillmark.llm import order_minhash
+from tillmark.operators.components import components
 
 
 def planted():
@@ -75,7 +76,7 @@ def test_alignment_against_table():
 def test_components(spark):
     rng = random.Random(1)
     links = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 80)] + [(500 + i, 500 + rng.randrange(i + 1)) for i in range(50)]
-    found = {(r.node, r.root) for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    found = {(r.node, r.root) for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {(i, 0) for i in range(61)} | {(100 + i, 100) for i in range(80)} | {
         (i, min(j for j in range(500, 550) if j in group)) for group in _groups(links) for i in group if i >= 500}
 
