@@ -19,6 +19,8 @@ CASES = [
     ("<article><p>shadow <b class='shadow'>kept</b> <span hidden>gone</span></p><!-- note --><p>&lt;tag&gt; &#65;&nbsp;B</p></article>",
      "shadow kept\n\n<tag> A B"),
     ("<div role=navigation>no</div><main><table><tr><td>a<td>b<tr><td>c</table></main>", "a\n\nb\n\nc"),
+    ("<body><h1>Head</h1><div><p>" + "word, " * 30 + "</p><p>more, words</p></div><div><a href=x>link</a></div></body>",
+     "Head\n\n" + ("word, " * 30).strip() + "\n\nmore, words"),
     ("<article><p>unclosed <a href='x", "unclosed"), ("<header><h1>Site</h1></header><article><header><h1>T</h1></header><p>x</p></article>", "T\n\nx"),
 ]
 

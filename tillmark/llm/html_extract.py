@@ -4,7 +4,8 @@ The page is read into a tree. Elements that never hold article text go first: me
 notices, adverts, forms, scripts, styles, hidden parts and reader comments, by tag, role and class words. Every
 paragraph then passes points for its length and its commas to its ancestors, in full to the parent and less to
 those above. A container's points are discounted by its link density. The best container, widened to the
-article around it, is kept together with those siblings that score a fair part of its points or read like running text.
+article around it, is kept together with those siblings that score a fair part of its points, read like running text or
+are its headings.
 
 In the text character references are decoded, white space inside a block becomes one blank, and blocks are joined
 in page order by two line feeds. Nothing is cut off, whatever the length. Null, empty and text-free pages give an
@@ -41,7 +42,7 @@ JUNK_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner promo promoted promotion sponsor sponsored sidebar "
     "sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar cookie cookies "
     "consent gdpr notice notices popup modal overlay newsletter subscribe signup subscription share sharing social "
-    "related recommended recommendations comment comments disqus reply replies respond commentlist widget widgets "
+    "related recommended recommendations alert announcement comment comments disqus reply replies respond commentlist widget widgets "
     "toolbar pagination pager login search skip".split())
 GOOD_WORDS = frozenset("article body content entry main page post text story blog column".split())
 PROTECTED = frozenset("html body article main".split())
@@ -237,7 +238,8 @@ def best_containers(root: Node) -> list[Node]:
             continue
         density = sibling.linked / sibling.length if sibling.length else 1.0
         if sibling is best or sibling.points >= least and density < 0.5 or (
-                sibling.tag == "p" and density < 0.25 and sibling.length > 80):
+                sibling.tag == "p" and density < 0.25 and sibling.length > 80) or (
+                sibling.tag in ("h1", "h2") and density < 0.25):
             kept.append(sibling)
     return kept
 
