@@ -56,11 +56,10 @@ def test_keeping_the_unique_side(way, sides):
     assert join(True) == matched + alone + misses
 
 
-def test_keys_present_and_missing(way, sides):
+def test_keys_present(way, sides):
     facts, names, fact, dim = sides
     used = {k for _, k in facts if k is not None}
     assert {r[0] for r in keyed.keys_present(dim, "key", fact, "k").collect()} == used & set(names)
-    assert {r[0] for r in keyed.keys_missing(dim, "key", fact, "k").collect()} == used - set(names)
 
 
 def test_hot_keys_spread(spark, sides, monkeypatch):

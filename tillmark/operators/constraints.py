@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.operators.keyed import fits_broadcast, hot_keys, keys_missing, lookup_join
+from tillmark.operators.keyed import fits_broadcast, hot_keys, lookup_join
 from tillmark.schema import Reference, Table
 from tillmark.session import materialize
 
@@ -214,18 +214,41 @@ def tag_held(tagged: DataFrame, held: DataFrame, columns: Sequence[str], key: st
     return materialize(tagged, "judged")
 
 
+def missing_references(batch: DataFrame, references: Sequence[Reference], parents: Mapping[str, DataFrame]) -> DataFrame:
+    """Values of the references that no parent has: ``_place`` (of the reference) and ``_missing``.
+
+    The values of all references are gathered in one pass over the batch. Few of them are sent to the scans
+    of the parents; many meet the parents' keys in one join.
+    """
+    kinds = {batch.schema[r.column].dataType.simpleString() for r in references}
+    kind = kinds.pop() if len(kinds) == 1 else "string"
+    pairs = [F.struct(F.lit(n).alias("_place"), F.col(r.column).cast(kind).alias("_missing")) for n, r in enumerate(references)]
+    unfolded = batch.select(F.inline(F.array(*pairs))).filter(F.col("_missing").isNotNull())
+    wanted = materialize(unfolded.distinct(), "wanted")
+    small = fits_broadcast(wanted)
+    held = None
+    for n, r in enumerate(references):
+        keys = parents[r.parent].select(F.lit(n).alias("_place"), F.col(r.parent_key).cast(kind).alias("_missing"))
+        if small:
+            keys = keys.join(F.broadcast(wanted), ["_place", "_missing"], "left_semi")
+        held = keys if held is None else held.unionByName(keys)
+    return materialize(wanted.join(held, ["_place", "_missing"], "left_anti"), "missing")
+
+
 def tag_references(tagged: DataFrame, batch: DataFrame, table: Table, parents: Mapping[str, DataFrame],
                    spread: Sequence[str]) -> DataFrame:
     """Add the references that a row breaks; references to tables not in ``parents`` are not tested."""
-    for reference in table.references:
-        if reference.parent not in parents:
-            continue
+    tested = [r for r in table.references if r.parent in parents]
+    if not tested:
+        return tagged
+    missing = missing_references(batch, tested, parents)
+    small = fits_broadcast(missing)
+    for place, reference in enumerate(tested):
         before = tagged.columns
-        missing = keys_missing(parents[reference.parent], reference.parent_key, batch, reference.column)
-        missing = missing.select(F.col(reference.column).alias("_missing"))
-        small = fits_broadcast(missing)
+        own = missing.filter(F.col("_place") == place).select(
+            F.col("_missing").cast(batch.schema[reference.column].dataType).alias("_missing"))
         hot = None if small else hot_keys(batch, reference.column)
-        tagged = lookup_join(tagged, missing, reference.column, "_missing", "left", spread, small, hot)
+        tagged = lookup_join(tagged, own, reference.column, "_missing", "left", spread, small, hot)
         tagged = _with_rule(tagged, before, F.col("_missing").isNotNull(), f"reference {reference.column}")
     return tagged
 

@@ -166,11 +166,3 @@ def keys_present(table: DataFrame, table_key: str, keys: DataFrame, key: str) ->
     where it is read and never shuffled.
     """
     return materialize(_found(table, table_key, _distinct_values(keys, key), key), "present")
-
-
-def keys_missing(table: DataFrame, table_key: str, keys: DataFrame, key: str) -> DataFrame:
-    """The distinct values of ``keys.key``, NULL aside, that do not occur in ``table.table_key``."""
-    wanted = _distinct_values(keys, key)
-    found = _found(table, table_key, wanted, "_held")
-    missing = wanted.join(found, F.col("_wanted") == F.col("_held"), "left_anti")
-    return materialize(missing.select(F.col("_wanted").alias(key)), "missing")
