@@ -8,11 +8,13 @@ their words needs edits for at most 1 - ``threshold`` of the longer text. Classe
    Texts that share such an ordered tuple meet in a bucket.
 2. Identical texts count as one node, known by the MD5 of the text.
 3. Buckets of at most ``whole`` nodes are compared in full, at most (``whole`` - 1) / 2 pairs a node. In larger ones
-   every member is compared with the bucket's least node, never with all others. Members that do not match it go
-   into the next round with a leader among themselves; from the second round on their bucket is split by a
-   further minimum hash. Each round takes the leader out of every large bucket, so the rounds end without a cap on
-   buckets, members or rounds.
-4. Links become classes by star contraction.
+   every member is compared with the bucket's leader, never with all others. Members that do not match it go
+   into the next round, where buckets of at most ``rest`` nodes are compared in full and larger ones get a
+   leader again; from the second round on they are also split by a further minimum hash. Each round takes
+   the leader out of every large bucket, so the rounds end without a cap on buckets, members or rounds. Pairs
+   whose numbers of shingles alone rule out the similarity are not aligned.
+4. Links become classes by star contraction after each round. A bucket whose members are all in one class already is
+   done: no further link in it could change a class.
 
 Texts of one to four words have one shingle, all their words. Texts without any word are linked to identical texts
 only; null counts as empty. Rows with a null id are in a class like others but always stay. Rows that repeat an id
@@ -37,6 +39,7 @@ SHINGLE = 5
 WORD = re.compile(r"\w+")
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 CHUNK_CHARS = 2_000_000
+FEW_PAIRS = 20_000  # at most 40,000 digests of 16 bytes are broadcast
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -133,6 +136,7 @@ def edits_within(a: np.ndarray, b: np.ndarray, limit: int) -> bool:
     n, m = len(a), len(b)
     if abs(n - m) > limit:
         return False
+    first, second = a.tolist(), b.tolist()
     target = m - n
     reach = {0: run(0, 0)}
     for edits in range(limit + 1):
@@ -146,7 +150,9 @@ def edits_within(a: np.ndarray, b: np.ndarray, limit: int) -> bool:
             if i < 0 or i + d < 0:
                 continue
             i = min(i, n, m - d)
-            further[d] = i + run(i, i + d)
+            if i < n and i + d < m and first[i] == second[i + d]:  # on most diagonals it ends here
+                i += run(i, i + d)
+            further[d] = i
         reach = further
     return False
 
@@ -155,7 +161,10 @@ def near_copies(a: list[str], b: list[str], threshold: float) -> bool:
     """The definition of a link, see above."""
     if not a or not b:
         return False
-    x, y = word_hashes(a), word_hashes(b)
+    if a == b:
+        return True
+    numbers: dict[str, int] = {}
+    x, y = (np.array([numbers.setdefault(w, len(numbers)) for w in ws], dtype=np.uint64) for ws in (a, b))
     s, t = np.unique(labelled(shingle_hashes(x))), np.unique(labelled(shingle_hashes(y)))
     if min(len(s), len(t)) < threshold * max(len(s), len(t)):
         return False
@@ -166,34 +175,38 @@ def near_copies(a: list[str], b: list[str], threshold: float) -> bool:
 
 
 def sketch_rows(docs: DataFrame, id_col: str, text_col: str, sketches: int, picked: int, slots: int) -> DataFrame:
-    """doc_id, digest, keys, slots of every row; no keys where a text has no word."""
+    """doc_id, digest, keys, slots and number of shingles of every row; no keys where a text has no word."""
     base = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     seeds = mix(np.arange(1, sketches + 1, dtype=np.uint64) * GOLDEN)
 
-    @F.pandas_udf("keys array<long>, slots array<long>")
+    @F.pandas_udf("keys array<long>, slots array<long>, n int")
     def sketched(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            keys, least = [], []
+            keys, least, counts = [], [], []
             for part in chunks([len(t) for t in texts]):
                 words = [words_of(t) for t in texts.iloc[part]]
                 hashes = word_hashes([w for ws in words for w in ws])
                 ends = np.cumsum([len(ws) for ws in words])
                 for start, end in zip([0, *ends[:-1]], ends, strict=True):
-                    if start == end:
-                        keys.append([])
-                        least.append([])
-                        continue
-                    k, s = order_sketch(labelled(shingle_hashes(hashes[start:end])), seeds, picked)
+                    shingles = labelled(shingle_hashes(hashes[start:end]))
+                    counts.append(len(shingles))
+                    k, s = order_sketch(shingles, seeds, picked) if len(shingles) else ([], [])
                     keys.append(k)
                     least.append(s[:slots])
-            yield pd.DataFrame({"keys": keys, "slots": least})
+            yield pd.DataFrame({"keys": keys, "slots": least, "n": counts})
 
     return base.select("doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest"),
-                       sketched("text").alias("s")).select("doc_id", "digest", "s.keys", "s.slots")
+                       sketched("text").alias("s")).select("doc_id", "digest", "s.*")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """``pairs`` (leader, digest) with ``linked``."""
+    """``pairs`` (leader, digest), a written table, with ``linked``.
+
+    Only the texts of the pairs travel: a short list of digests is sent to the scan of the texts.
+    """
+    needed = pairs.select("digest").unionByName(pairs.select(F.col("leader").alias("digest"))).distinct()
+    if pairs.count() <= FEW_PAIRS:
+        texts = texts.join(F.broadcast(needed), "digest", "left_semi")
     first = texts.select(F.col("digest").alias("leader"), F.col("text").alias("a"))
     second = texts.select("digest", F.col("text").alias("b"))
 
@@ -204,16 +217,30 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return pairs.join(first, "leader").join(second, "digest").select("leader", "digest", linked("a", "b").alias("linked"))
 
 
+def _unsettled(missed: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, digest, n) of the buckets that hold nodes of several classes."""
+    own = roots.select(F.col("node").alias("digest"), F.col("root").alias("own"))
+    led = roots.select(F.col("node").alias("leader"), F.col("root").alias("led"))
+    classed = missed.join(own, "digest", "left").join(led, "leader", "left").select(
+        "key", "digest", "n", F.coalesce("own", "digest").alias("own"), F.coalesce("led", "leader").alias("led"))
+    mixed = classed.groupBy("key").agg(
+        F.min(F.least("own", "led")).alias("low"), F.max(F.greatest("own", "led")).alias("high")).where("low < high")
+    return classed.select("key", "digest", "n").join(mixed.select("key"), "key", "left_semi")
+
+
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,
-                           sketches: int = 16, picked: int = 3, slots: int = 8, whole: int = 8) -> DataFrame:
+                           sketches: int = 16, picked: int = 3, slots: int = 8, whole: int = 12, rest: int = 64, lanes: int = 4) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id (least id of the class), class_size, kept."""
     rows = materialize(sketch_rows(docs, id_col, text_col, sketches, picked, slots), "sketches")
     nodes = materialize(rows.where(F.size("keys") > 0).drop("doc_id").dropDuplicates(["digest"]), "nodes")
-    members = nodes.select("digest", F.explode("keys").alias("key"))
-    texts = links = None
+    members = nodes.select("digest", "n", F.explode("keys").alias("key"))
+    texts = roots = None
     turn = 0
     while True:
-        buckets = members.groupBy("key").agg(F.min("digest").alias("leader"), F.count("*").alias("size")).where("size > 1")
+        # a group that fills many buckets gets up to ``lanes`` leaders, so that its links meet
+        rank = F.struct(F.xxhash64("digest", F.pmod("key", F.lit(lanes))), "digest", "n")
+        buckets = members.groupBy("key").agg(F.min(rank).alias("first"), F.count("*").alias("size")).where("size > 1").select(
+            "key", "size", F.col("first.digest").alias("leader"), F.col("first.n").alias("leader_n"))
         pending = materialize(members.join(buckets, "key"), "pending")
         if pending.isEmpty():
             break
@@ -222,24 +249,32 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
             texts = materialize(
                 held.withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary"))))
                 .join(pending.select("digest").distinct(), "digest", "left_semi").dropDuplicates(["digest"]), "texts")
-        small = pending.where(F.col("size") <= whole).select("key", "digest")
-        large = pending.where(F.col("size") > whole)
-        pairs = small.withColumnRenamed("digest", "leader").join(small, "key").where("leader < digest").unionByName(
-            large.where("leader < digest"), allowMissingColumns=True).select("leader", "digest").distinct()
-        judged = materialize(_verified(pairs, texts, threshold), "judged")
-        found = judged.where("linked").select(F.col("leader").alias("a"), F.col("digest").alias("b"))
-        links = found if links is None else links.unionByName(found)
-        members = large.join(judged.where("NOT linked"), ["leader", "digest"]).select("digest", "key")
+        most = rest if turn else whole
+        small = pending.where(F.col("size") <= most).select("key", "digest", "n")
+        large = pending.where((F.col("size") > most) & (F.col("digest") != F.col("leader"))).drop("size")
+        alike = F.least("n", "leader_n") >= threshold * F.greatest("n", "leader_n")
+        led = small.select("key", F.col("digest").alias("leader"), F.col("n").alias("leader_n"))
+        pairs = led.join(small, "key").where("leader < digest").unionByName(large).where(alike).select("leader", "digest").distinct()
+        judged = materialize(_verified(materialize(pairs, "pairs"), texts, threshold), "judged")
+        links = judged.where("linked").select(F.col("leader").alias("a"), F.col("digest").alias("b"))
+        if roots is not None:
+            links = links.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b")))
+        roots = components(links)
+        missed = materialize(large.drop("leader_n").join(judged.where("linked"), ["leader", "digest"], "left_anti"), "missed")
+        if missed.isEmpty():
+            break
+        members = _unsettled(missed, roots)
         if turn:
             slot = F.element_at("slots", (turn - 1) % slots + 1)
-            members = members.join(nodes, "digest").select("digest", F.xxhash64("key", slot).alias("key"))
+            members = members.join(nodes.select("digest", "slots"), "digest").select(
+                "digest", "n", F.xxhash64("key", slot).alias("key"))
         turn += 1
     keyed = rows.select("doc_id", "digest")
-    if links is None:
+    if roots is None:
         classed = keyed.withColumn("class", F.col("digest"))
     else:
-        roots = components(links).select(F.col("node").alias("digest"), "root")
-        classed = keyed.join(roots, "digest", "left").select("doc_id", F.coalesce("root", "digest").alias("class"))
+        named = roots.select(F.col("node").alias("digest"), "root")
+        classed = keyed.join(named, "digest", "left").select("doc_id", F.coalesce("root", "digest").alias("class"))
     sizes = classed.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
     return classed.join(sizes, "class").select(
         "doc_id", "class_id", "class_size",
