@@ -26,10 +26,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.operators.components import components
@@ -39,6 +40,7 @@ SHINGLE = 5
 WORD = re.compile(r"\w+")
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 CHUNK_CHARS = 2_000_000
+BATCH_BYTES = 8 << 20  # of texts that a Python worker gets at once
 FEW_PAIRS = 20_000  # at most 40,000 digests of 16 bytes are broadcast
 
 
@@ -49,6 +51,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+@contextmanager
+def bounded_batches(spark: SparkSession) -> Iterator[None]:
+    """Steps written inside send texts to Python in batches of at most about ``BATCH_BYTES``."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def words_of(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if text else []
 
@@ -231,7 +245,8 @@ def _unsettled(missed: DataFrame, roots: DataFrame) -> DataFrame:
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,
                            sketches: int = 16, picked: int = 3, slots: int = 8, whole: int = 12, rest: int = 64, lanes: int = 4) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id (least id of the class), class_size, kept."""
-    rows = materialize(sketch_rows(docs, id_col, text_col, sketches, picked, slots), "sketches")
+    with bounded_batches(docs.sparkSession):
+        rows = materialize(sketch_rows(docs, id_col, text_col, sketches, picked, slots), "sketches")
     nodes = materialize(rows.where(F.size("keys") > 0).drop("doc_id").dropDuplicates(["digest"]), "nodes")
     members = nodes.select("digest", "n", F.explode("keys").alias("key"))
     texts = roots = None
@@ -255,7 +270,8 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
         alike = F.least("n", "leader_n") >= threshold * F.greatest("n", "leader_n")
         led = small.select("key", F.col("digest").alias("leader"), F.col("n").alias("leader_n"))
         pairs = led.join(small, "key").where("leader < digest").unionByName(large).where(alike).select("leader", "digest").distinct()
-        judged = materialize(_verified(materialize(pairs, "pairs"), texts, threshold), "judged")
+        with bounded_batches(docs.sparkSession):
+            judged = materialize(_verified(materialize(pairs, "pairs"), texts, threshold), "judged")
         links = judged.where("linked").select(F.col("leader").alias("a"), F.col("digest").alias("b"))
         if roots is not None:
             links = links.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b")))

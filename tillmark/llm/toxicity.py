@@ -40,6 +40,7 @@ SECOND_PERSON = frozenset(
 
 STEM_LENGTHS = (4, 5, 6, 8)
 FOLDS = 5
+COUNTED_ROWS = 250  # texts whose stems are held in memory at once
 NEAR = 5
 WORD = re.compile(r"\w+")
 MASKED = re.compile(r"[^\W\d_]+[0-9@$!*#]+[^\W\d_]+")
@@ -64,7 +65,7 @@ class Lexicon(dict):
         self.weights = weights
 
     def __missing__(self, word: str) -> float:
-        if len(self) > 300_000:
+        if len(self) > 100_000:
             self.clear()
         found = max((self.weights.get(s, 0.0) for s in stems(word)), default=0.0) if self.weights else 0.0
         self[word] = found
@@ -165,13 +166,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFr
 
 def _stem_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        counts: Counter = Counter()
-        for text, toxic, fold in zip(batch["text"], batch["toxic"], batch["fold"], strict=True):
-            found = set()
-            for word in set(WORD.findall(text.lower())):
-                found.update(stems(word))
-            counts.update((s, toxic, fold) for s in found)
-        yield pd.DataFrame([(s, t, f, n) for (s, t, f), n in counts.items()], columns=["stem", "toxic", "fold", "n"])
+        for part in range(0, len(batch), COUNTED_ROWS):
+            rows = batch.iloc[part:part + COUNTED_ROWS]
+            counts: Counter = Counter()
+            for text, toxic, fold in zip(rows["text"], rows["toxic"], rows["fold"], strict=True):
+                found = set()
+                for word in set(WORD.findall(text.lower())):
+                    found.update(stems(word))
+                counts.update((s, toxic, fold) for s in found)
+            yield pd.DataFrame([(s, t, f, n) for (s, t, f), n in counts.items()], columns=["stem", "toxic", "fold", "n"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 16_000) -> ToxicityModel:
