@@ -1,6 +1,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
 
 from tests.conftest import FOLDER
 from tests.llm import brute
@@ -89,3 +92,37 @@ def _groups(links):
         joined = [g for g in groups if a in g or b in g]
         groups = [g for g in groups if g not in joined] + [{a, b}.union(*joined)]
     return groups
+
+
+def edited_copies(number, size=100, words=300, seed=11):
+    """An original, and ``number`` copies with 5 or 6 of its words changed: most copies link to the original only."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    base = rng.choices(vocabulary, k=words)
+    rows = [(size, " ".join(base))]
+    for i in range(number):
+        copy = list(base)
+        for at in rng.sample(range(10, words - 10), rng.choice((5, 6))):
+            copy[at] = rng.choice(vocabulary)
+        rows.append((size + 1 + i, " ".join(copy)))
+    return rows
+
+
+@pytest.mark.parametrize("central", [True, False])
+def test_copies_of_one_original(spark, monkeypatch, central):
+    rows = edited_copies(300)
+    if not central:  # a leader picked at random: the rest is left to the full comparison
+        monkeypatch.setattr(order_minhash, "CELL_NODES", 40)
+        monkeypatch.setattr(order_minhash, "_led", lambda members, nodes: members.groupBy("key").agg(
+            F.min(F.struct("digest", "n")).alias("first")).select("key", "first.digest", "first.n").toDF("key", "leader", "leader_n"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    found = {r.doc_id: r.class_id for r in order_minhash.near_duplicate_classes(docs).collect()}
+    assert found == brute.near_classes(rows)
+    assert len(set(found.values())) < 10
+
+
+def test_pipeline_stage_on_copies_of_one_original(spark):
+    rows = edited_copies(400, seed=12)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, FOLDER).collect()}
+    assert kept == set(brute.near_classes(rows).values())

@@ -8,13 +8,15 @@ their words needs edits for at most 1 - ``threshold`` of the longer text. Classe
    Texts that share such an ordered tuple meet in a bucket.
 2. Identical texts count as one node, known by the MD5 of the text.
 3. Buckets of at most ``whole`` nodes are compared in full, at most (``whole`` - 1) / 2 pairs a node. In larger ones
-   every member is compared with the bucket's leader, never with all others. Members that do not match it go
-   into the next round, where buckets of at most ``rest`` nodes are compared in full and larger ones get a
-   leader again; from the second round on they are also split by a further minimum hash. Each round takes
-   the leader out of every large bucket, so the rounds end without a cap on buckets, members or rounds. Pairs
-   whose numbers of shingles alone rule out the similarity are not aligned.
-4. Links become classes by star contraction after each round. A bucket whose members are all in one class already is
-   done: no further link in it could change a class.
+   every member is first compared with one leader: the member whose ``slots`` least shingles are the most common ones,
+   so that copies made from one original meet the original. Pairs whose numbers of shingles alone rule out the
+   similarity are not aligned.
+4. Links become classes by star contraction. A bucket whose members are all in one class is done: no further link in
+   it could change a class.
+5. The other large buckets are compared in full, matched members included: cut into cells of like length and bounded
+   size, one task takes two cells, counts the shared shingles of all pairs by postings and aligns the pairs that
+   reach the similarity and are not in one class. So there are two rounds, whatever the size of a group, and no cap;
+   the pairs counted in step 5 grow with the square of a bucket whose members are not one class by step 3.
 
 Texts of one to four words have one shingle, all their words. Texts without any word are linked to identical texts
 only; null counts as empty. Rows with a null id are in a class like others but always stay. Rows that repeat an id
@@ -42,6 +44,8 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 CHUNK_CHARS = 2_000_000
 BATCH_BYTES = 8 << 20  # of texts that a Python worker gets at once
 FEW_PAIRS = 20_000  # at most 40,000 digests of 16 bytes are broadcast
+CELL_NODES = 256  # nodes in a cell of a large bucket, on average
+CELL_SHINGLES = 250_000  # and shingles, on average
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -100,7 +104,7 @@ def labelled(shingles: np.ndarray) -> np.ndarray:
 
 
 def order_sketch(shingles: np.ndarray, seeds: np.ndarray, picked: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per seed: a key of the ``picked`` least shingles in text order, and the least hash itself."""
+    """Per seed: a key of the ``picked`` least shingles in text order; and all hashes by the first seed."""
     hashes = mix(shingles[None, :] ^ seeds[:, None])
     count = min(picked, len(shingles))
     if count < len(shingles):
@@ -111,7 +115,7 @@ def order_sketch(shingles: np.ndarray, seeds: np.ndarray, picked: int) -> tuple[
     keys = seeds.copy()
     for k in range(count):
         keys = mix(keys * GOLDEN + chosen[:, k])
-    return keys.view(np.int64), hashes.min(axis=1).view(np.int64)
+    return keys.view(np.int64), hashes[0]
 
 
 def chunks(sizes: list[int], most: int = CHUNK_CHARS) -> Iterator[slice]:
@@ -189,7 +193,7 @@ def near_copies(a: list[str], b: list[str], threshold: float) -> bool:
 
 
 def sketch_rows(docs: DataFrame, id_col: str, text_col: str, sketches: int, picked: int, slots: int) -> DataFrame:
-    """doc_id, digest, keys, slots and number of shingles of every row; no keys where a text has no word."""
+    """doc_id, digest, keys, least shingles (slots) and number of shingles of every row; no keys where a text has no word."""
     base = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     seeds = mix(np.arange(1, sketches + 1, dtype=np.uint64) * GOLDEN)
 
@@ -204,9 +208,9 @@ def sketch_rows(docs: DataFrame, id_col: str, text_col: str, sketches: int, pick
                 for start, end in zip([0, *ends[:-1]], ends, strict=True):
                     shingles = labelled(shingle_hashes(hashes[start:end]))
                     counts.append(len(shingles))
-                    k, s = order_sketch(shingles, seeds, picked) if len(shingles) else ([], [])
+                    k, s = order_sketch(shingles, seeds, picked) if len(shingles) else ([], shingles)
                     keys.append(k)
-                    least.append(s[:slots])
+                    least.append((np.partition(s, slots - 1)[:slots] if len(s) > slots else s).view(np.int64))
             yield pd.DataFrame({"keys": keys, "slots": least, "n": counts})
 
     return base.select("doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest"),
@@ -231,70 +235,132 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return pairs.join(first, "leader").join(second, "digest").select("leader", "digest", linked("a", "b").alias("linked"))
 
 
-def _unsettled(missed: DataFrame, roots: DataFrame) -> DataFrame:
-    """(key, digest, n) of the buckets that hold nodes of several classes."""
+def _led(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(key, leader, leader_n) of each bucket: the member whose least shingles are the most common among the members."""
+    least = nodes.join(members.select("digest").distinct(), "digest", "left_semi").select("digest", F.explode("slots").alias("slot"))
+    least = materialize(least, "least")
+    common = least.groupBy("slot").agg(F.count("*").alias("times")).where("times > 1")
+    scores = least.join(common, "slot").groupBy("digest").agg(F.sum("times").alias("score"))
+    rank = F.struct(F.coalesce("score", F.lit(0)).alias("score"), F.xxhash64("digest", "key").alias("tie"), "digest", "n")
+    return members.join(scores, "digest", "left").groupBy("key").agg(F.max(rank).alias("first")).select(
+        "key", F.col("first.digest").alias("leader"), F.col("first.n").alias("leader_n"))
+
+
+def _unsettled(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, digest, n, own) of the buckets that hold nodes of several classes; ``own`` is the class."""
     own = roots.select(F.col("node").alias("digest"), F.col("root").alias("own"))
-    led = roots.select(F.col("node").alias("leader"), F.col("root").alias("led"))
-    classed = missed.join(own, "digest", "left").join(led, "leader", "left").select(
-        "key", "digest", "n", F.coalesce("own", "digest").alias("own"), F.coalesce("led", "leader").alias("led"))
-    mixed = classed.groupBy("key").agg(
-        F.min(F.least("own", "led")).alias("low"), F.max(F.greatest("own", "led")).alias("high")).where("low < high")
-    return classed.select("key", "digest", "n").join(mixed.select("key"), "key", "left_semi")
+    classed = members.join(own, "digest", "left").select("key", "digest", "n", F.coalesce("own", "digest").alias("own"))
+    mixed = classed.groupBy("key").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low < high")
+    return classed.join(mixed.select("key"), "key", "left_semi")
+
+
+def links_between(rows: pd.DataFrame, threshold: float) -> list[tuple[bytes, bytes]]:
+    """Links that join the classes of two cells; ``rows`` has digest, own, text, and side (0, 1; one cell by itself has 0).
+
+    Pairs of one class are passed over, also of a class that a link found before has joined.
+    """
+    texts = [words_of(t) for t in rows["text"]]
+    sets = [np.unique(labelled(shingle_hashes(word_hashes(ws)))) for ws in texts]
+    sizes = np.array([len(s) for s in sets])
+    side, digests = rows["side"].to_numpy(), [bytes(d) for d in rows["digest"]]
+    names: dict[bytes, int] = {}
+    own = np.array([names.setdefault(bytes(c), len(names)) for c in rows["own"]])
+    second = np.flatnonzero(side == side.max())
+    first = np.flatnonzero(side == 0)
+    posted = np.concatenate([sets[j] for j in second])
+    holder = np.repeat(second, sizes[second])
+    order = np.argsort(posted, kind="stable")
+    posted, holder = posted[order], holder[order]
+    links = []
+    for i in first:
+        low, high = np.searchsorted(posted, sets[i], "left"), np.searchsorted(posted, sets[i], "right")
+        counts = high - low
+        at = np.repeat(low - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
+        shared = np.bincount(holder[at], minlength=len(rows))
+        alike = (shared >= threshold * (sizes + sizes[i] - shared)) & (shared > 0) & (own != own[i])
+        for j in np.flatnonzero(alike):
+            if own[i] != own[j] and near_copies(texts[i], texts[j], threshold):
+                links.append((digests[i], digests[j]))
+                own[own == own[j]] = own[i]
+    return links
+
+
+def _compared(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) that join the classes within each bucket; ``members`` is (key, digest, n, own), a written table.
+
+    Nodes in classes of length next to each other only can be linked: the ratio of their numbers of shingles is
+    at least ``threshold`` else they are two classes apart.
+    """
+    reach = F.floor(F.log(F.col("n").cast("double")) / F.lit(-np.log(threshold * (1 - 1e-9)))).cast("int")
+    sized = members.withColumn("span", reach)
+    parts = sized.groupBy("key", "span").agg(
+        F.ceil(F.greatest(F.count("*") / CELL_NODES, F.sum("n") / CELL_SHINGLES)).cast("int").alias("parts"))
+    placed = materialize(sized.join(parts, ["key", "span"]).select(
+        "key", "span", F.pmod(F.xxhash64("digest"), "parts").cast("int").alias("part"), "digest", "own"), "cells")
+    cells = placed.groupBy("key", "span", "part").agg(F.min("own").alias("low"), F.max("own").alias("high"))
+    left = cells.select("key", *(F.col(c).alias(f"{c}_a") for c in ("span", "part", "low", "high")))
+    right = cells.select("key", *(F.col(c).alias(f"{c}_b") for c in ("span", "part", "low", "high")))
+    met = materialize(left.join(right, "key").where(
+        "((span_a = span_b AND part_a <= part_b) OR span_a + 1 = span_b) AND least(low_a, low_b) < greatest(high_a, high_b)"
+    ).select("key", "span_a", "part_a", "span_b", "part_b"), "met")
+    pair = ["key", "span_a", "part_a", "span_b", "part_b"]
+    sides = [met.withColumns({"span": F.col(f"span_{c}"), "part": F.col(f"part_{c}"), "side": F.lit(i)}) for i, c in enumerate("ab")]
+    sides[1] = sides[1].where("span_a != span_b OR part_a != part_b")
+    sent = sides[0].unionByName(sides[1]).join(placed, ["key", "span", "part"]).join(texts, "digest").select(
+        *pair, "side", "digest", "own", "text")
+
+    def linked(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(links_between(rows, threshold), columns=["a", "b"])
+
+    return sent.groupBy(*pair).applyInPandas(linked, "a binary, b binary")
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,
-                           sketches: int = 16, picked: int = 3, slots: int = 8, whole: int = 12, rest: int = 64, lanes: int = 4) -> DataFrame:
+                           sketches: int = 16, picked: int = 3, slots: int = 64, whole: int = 12) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id (least id of the class), class_size, kept."""
+    classed = _classed(docs, id_col, text_col, threshold, sketches, picked, slots, whole)
+    sizes = classed.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
+    return classed.join(sizes, "class").select(
+        "doc_id", "class_id", "class_size",
+        (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("class_id"))).alias("kept"))
+
+
+def _classed(docs: DataFrame, id_col: str, text_col: str, threshold: float,
+             sketches: int = 16, picked: int = 3, slots: int = 64, whole: int = 12) -> DataFrame:
+    """doc_id and class, a node's digest, of every row."""
     with bounded_batches(docs.sparkSession):
         rows = materialize(sketch_rows(docs, id_col, text_col, sketches, picked, slots), "sketches")
     nodes = materialize(rows.where(F.size("keys") > 0).drop("doc_id").dropDuplicates(["digest"]), "nodes")
+    keyed = rows.select("doc_id", "digest")
     members = nodes.select("digest", "n", F.explode("keys").alias("key"))
-    texts = roots = None
-    turn = 0
-    while True:
-        # a group that fills many buckets gets up to ``lanes`` leaders, so that its links meet
-        rank = F.struct(F.xxhash64("digest", F.pmod("key", F.lit(lanes))), "digest", "n")
-        buckets = members.groupBy("key").agg(F.min(rank).alias("first"), F.count("*").alias("size")).where("size > 1").select(
-            "key", "size", F.col("first.digest").alias("leader"), F.col("first.n").alias("leader_n"))
-        pending = materialize(members.join(buckets, "key"), "pending")
-        if pending.isEmpty():
-            break
-        if texts is None:  # the texts of all nodes that any round can compare
-            held = docs.select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-            texts = materialize(
-                held.withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary"))))
-                .join(pending.select("digest").distinct(), "digest", "left_semi").dropDuplicates(["digest"]), "texts")
-        most = rest if turn else whole
-        small = pending.where(F.col("size") <= most).select("key", "digest", "n")
-        large = pending.where((F.col("size") > most) & (F.col("digest") != F.col("leader"))).drop("size")
-        alike = F.least("n", "leader_n") >= threshold * F.greatest("n", "leader_n")
-        led = small.select("key", F.col("digest").alias("leader"), F.col("n").alias("leader_n"))
-        pairs = led.join(small, "key").where("leader < digest").unionByName(large).where(alike).select("leader", "digest").distinct()
+    buckets = members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    pending = materialize(members.join(buckets, "key"), "pending")
+    if pending.isEmpty():
+        return keyed.select("doc_id", F.col("digest").alias("class"))
+    held = docs.select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    texts = materialize(  # of all nodes that can be compared
+        held.withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary"))))
+        .join(pending.select("digest").distinct(), "digest", "left_semi").dropDuplicates(["digest"]), "texts")
+    small = pending.where(F.col("size") <= whole).select("key", "digest", "n")
+    large = materialize(pending.where(F.col("size") > whole).select("key", "digest", "n"), "large")
+    first = small.select("key", F.col("digest").alias("leader"), F.col("n").alias("leader_n"))
+    pairs = first.join(small, "key").where("leader < digest")
+    some = not large.isEmpty()
+    if some:
+        pairs = pairs.unionByName(large.join(_led(large, nodes), "key").where("leader != digest"))
+    alike = F.least("n", "leader_n") >= threshold * F.greatest("n", "leader_n")
+    pairs = pairs.where(alike).select(
+        F.least("leader", "digest").alias("leader"), F.greatest("leader", "digest").alias("digest")).distinct()
+    with bounded_batches(docs.sparkSession):
+        judged = materialize(_verified(materialize(pairs, "pairs"), texts, threshold), "judged")
+    roots = components(judged.where("linked").select(F.col("leader").alias("a"), F.col("digest").alias("b")))
+    left = materialize(_unsettled(large, roots), "unsettled") if some else None
+    if some and not left.isEmpty():
         with bounded_batches(docs.sparkSession):
-            judged = materialize(_verified(materialize(pairs, "pairs"), texts, threshold), "judged")
-        links = judged.where("linked").select(F.col("leader").alias("a"), F.col("digest").alias("b"))
-        if roots is not None:
-            links = links.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b")))
-        roots = components(links)
-        missed = materialize(large.drop("leader_n").join(judged.where("linked"), ["leader", "digest"], "left_anti"), "missed")
-        if missed.isEmpty():
-            break
-        members = _unsettled(missed, roots)
-        if turn:
-            slot = F.element_at("slots", (turn - 1) % slots + 1)
-            members = members.join(nodes.select("digest", "slots"), "digest").select(
-                "digest", "n", F.xxhash64("key", slot).alias("key"))
-        turn += 1
-    keyed = rows.select("doc_id", "digest")
-    if roots is None:
-        classed = keyed.withColumn("class", F.col("digest"))
-    else:
-        named = roots.select(F.col("node").alias("digest"), "root")
-        classed = keyed.join(named, "digest", "left").select("doc_id", F.coalesce("root", "digest").alias("class"))
-    sizes = classed.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
-    return classed.join(sizes, "class").select(
-        "doc_id", "class_id", "class_size",
-        (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("class_id"))).alias("kept"))
+            links = materialize(_compared(left, texts, threshold), "found")
+        roots = components(links.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))))
+    named = roots.select(F.col("node").alias("digest"), "root")
+    return keyed.join(named, "digest", "left").select("doc_id", F.coalesce("root", "digest").alias("class"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
