@@ -66,6 +66,14 @@ def test_odd_rows(spark):
     assert order_minhash.near_duplicate_classes(docs.limit(0)).count() == 0
 
 
+def test_repeated_ids(spark):
+    text, other, third = (" ".join(f"{c}{i}" for i in range(30)) for c in "vxy")
+    rows = [(5, text, 1), (7, text + " end", 2), (7, other, 3), (8, third, 4), (8, third, 5), (9, third + " end", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    kept = [(r.doc_id, r.text) for r in order_minhash.drop_near_copies(docs).collect()]
+    assert sorted(kept) == sorted([(5, text), (7, other), (8, third)])
+
+
 def test_alignment_against_table():
     rng = random.Random(9)
     for _ in range(300):

@@ -20,7 +20,7 @@ their words needs edits for at most 1 - ``threshold`` of the longer text. Classe
 
 Texts of one to four words have one shingle, all their words. Texts without any word are linked to identical texts
 only; null counts as empty. Rows with a null id are in a class like others but always stay. Rows that repeat an id
-and a text get the same class. An empty table gives an empty result. The buckets of a pair of similarity 0.8 meet
+and a text get the same class, and ``drop_near_copies`` keeps one of them. An empty table gives an empty result. The buckets of a pair of similarity 0.8 meet
 with probability 1 - (1 - 0.8**3)**16, over 0.9999.
 """
 
@@ -318,16 +318,22 @@ def _compared(members: DataFrame, texts: DataFrame, threshold: float) -> DataFra
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,
                            sketches: int = 16, picked: int = 3, slots: int = 64, whole: int = 12) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id (least id of the class), class_size, kept."""
-    classed = _classed(docs, id_col, text_col, threshold, sketches, picked, slots, whole)
-    sizes = classed.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
+    return _judged(_classed(docs, id_col, text_col, threshold, sketches, picked, slots, whole)).drop("digest")
+
+
+def _judged(classed: DataFrame) -> DataFrame:
+    """doc_id, digest, class_id, class_size, kept: of each class the least id stays, of its texts the least digest."""
+    least = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "digest")))
+    sizes = classed.groupBy("class").agg(least.alias("least"), F.count("*").alias("class_size"))
+    first = (F.col("doc_id") == F.col("least.doc_id")) & (F.col("digest") == F.col("least.digest"))
     return classed.join(sizes, "class").select(
-        "doc_id", "class_id", "class_size",
-        (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("class_id"))).alias("kept"))
+        "doc_id", "digest", F.col("least.doc_id").alias("class_id"), "class_size",
+        (F.col("doc_id").isNull() | first).alias("kept"))
 
 
 def _classed(docs: DataFrame, id_col: str, text_col: str, threshold: float,
              sketches: int = 16, picked: int = 3, slots: int = 64, whole: int = 12) -> DataFrame:
-    """doc_id and class, a node's digest, of every row."""
+    """doc_id, digest and class, a node's digest, of every row."""
     with bounded_batches(docs.sparkSession):
         rows = materialize(sketch_rows(docs, id_col, text_col, sketches, picked, slots), "sketches")
     nodes = materialize(rows.where(F.size("keys") > 0).drop("doc_id").dropDuplicates(["digest"]), "nodes")
@@ -336,7 +342,7 @@ def _classed(docs: DataFrame, id_col: str, text_col: str, threshold: float,
     buckets = members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     pending = materialize(members.join(buckets, "key"), "pending")
     if pending.isEmpty():
-        return keyed.select("doc_id", F.col("digest").alias("class"))
+        return keyed.withColumn("class", F.col("digest"))
     held = docs.select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     texts = materialize(  # of all nodes that can be compared
         held.withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary"))))
@@ -360,10 +366,23 @@ def _classed(docs: DataFrame, id_col: str, text_col: str, threshold: float,
             links = materialize(_compared(left, texts, threshold), "found")
         roots = components(links.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))))
     named = roots.select(F.col("node").alias("digest"), "root")
-    return keyed.join(named, "digest", "left").select("doc_id", F.coalesce("root", "digest").alias("class"))
+    return keyed.join(named, "digest", "left").select("doc_id", "digest", F.coalesce("root", "digest").alias("class"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns: of each class the row with the least id."""
-    going = near_duplicate_classes(docs, id_col, text_col, threshold).where("NOT kept").select(F.col("doc_id").alias(id_col))
-    return docs.join(materialize(going.distinct(), "going"), id_col, "left_anti")
+    """The rows of ``docs`` that stay, all columns: one of each class, with the least id, and those with a null id.
+
+    Rows go by id and text. Of rows that share both one stays, the least by a hash of all columns.
+    """
+    judged = materialize(_judged(_classed(docs, id_col, text_col, threshold)), "classes").where("doc_id IS NOT NULL")
+    going = judged.where("NOT kept").select("doc_id", "digest").distinct()
+    shared = materialize(judged.where("kept").groupBy("doc_id", "digest").count().where("count > 1"), "shared").drop("count")
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    named = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(f"`{id_col}`").alias("doc_id"),
+                        F.unhex(F.md5(text.cast("binary"))).alias("digest"))
+    kept = named.join(materialize(going, "going"), ["doc_id", "digest"], "left_anti")
+    if not shared.isEmpty():
+        one = kept.join(shared, ["doc_id", "digest"], "left_semi").groupBy("doc_id", "digest").agg(
+            F.min_by("row", F.xxhash64("row")).alias("row"))
+        kept = kept.join(shared, ["doc_id", "digest"], "left_anti").select("row").unionByName(one.select("row"))
+    return kept.select("row.*")
