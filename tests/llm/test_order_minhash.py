@@ -134,3 +134,11 @@ def test_pipeline_stage_on_copies_of_one_original(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
     kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, FOLDER).collect()}
     assert kept == set(brute.near_classes(rows).values())
+
+
+def test_two_rounds_whatever_the_group(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(order_minhash, "components", lambda links: rounds.append(1) or components(links))
+    docs = spark.createDataFrame(edited_copies(150, seed=13), "doc_id long, text string").repartition(7)
+    assert order_minhash.near_duplicate_classes(docs).count() == 151
+    assert len(rounds) <= 2
