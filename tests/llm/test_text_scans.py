@@ -152,3 +152,9 @@ def test_preference_segments(spark):
     assert preference.preference_segments(preference.neighbouring_pairs(talks.limit(0))).count() == 0
     more = preference.neighbouring_pairs(talks).withColumn("part", F.lit(1)).withColumn("head", F.lit(2))
     assert preference.preference_segments(more).count() == got.count()
+
+
+def test_every_line_of_a_repeated_short_notice():
+    ready = [licenses.Template("All-rights-reserved", licenses.TEMPLATES["All-rights-reserved"], 0.85)]
+    text = "All rights reserved.\n" * 6
+    assert [(f["start"], f["end"]) for f in licenses.scan(text, ready)] == [(21 * i, 21 * i + 19) for i in range(6)]

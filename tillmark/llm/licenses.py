@@ -128,6 +128,9 @@ class Template:
         for start in starts:
             low = max(0, start - slack)
             pairs = patience(self.words, words[low:start + size + slack])
+            if len(pairs) < self.least * size - 1e-9:  # repetitions on both sides leave no word that occurs once
+                low = max(0, start)
+                pairs = patience(self.words, words[low:start + size])
             if len(pairs) >= self.least * size - 1e-9:
                 found.append((len(pairs) / size, low + pairs[0][1], low + pairs[-1][1]))
         found.sort(key=lambda f: (-f[0], f[2] - f[1], f[1]))
