@@ -25,7 +25,7 @@ def test_same_as_sql(spark, con, name):
 def test_registered():
     entry = importlib.import_module("__spark_entry__")
     assert set(LLM_QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(q[2:].split("_")[0]) for q in LLM_QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in LLM_QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize(("name", "table", "column"), [

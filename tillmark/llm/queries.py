@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.llm import (
-    decontaminate, exact_dedup, html_extract, licenses, mixing, order_minhash, pii, preference, toxicity, warc)
+    decontaminate, exact_dedup, filter_audit, html_extract, lexical_search, licenses, mixing, order_minhash, pii, preference,
+    simhash, toxicity, warc)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -68,6 +69,19 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(docs, pii.fit(docs))
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op12_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicate_components(_table(spark, folder, "documents"))
+    return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+
+
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_toxicity": op2_toxicity,
@@ -79,6 +93,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_order_minhash": op8_order_minhash,
     "op9_license_scan": op9_license_scan,
     "op10_pii": op10_pii,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_simhash": op12_simhash,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 LLM_ORACLE: dict[str, str] = {
@@ -118,5 +135,61 @@ rendered AS (
 SELECT pair_id, part, turn, role, head || body || chr(10) AS rendered, n_rows, length(head) AS train_from,
        CASE WHEN part <> 'prompt' AND role = 'assistant' THEN length(head) + length(body) ELSE length(head) END AS train_to
 FROM rendered
+""",
+    "op11_filter_audit": r"""
+WITH RECURSIVE facts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id
+  FROM documents),
+marks AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS bad FROM labels GROUP BY doc_id),
+fails AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad,
+         CASE WHEN len(words) < 200 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN facts.doc_id > first_id THEN 'E' ELSE '' END AS failed
+  FROM facts LEFT JOIN marks ON facts.doc_id = marks.doc_id),
+counted AS (SELECT part, failed, count(*) AS n, sum(good) AS good, sum(bad) AS bad FROM fails GROUP BY part, failed),
+orders AS (
+  SELECT '' AS o UNION ALL SELECT o || l FROM orders, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) t(l) WHERE NOT contains(o, l)),
+steps AS (SELECT o AS filter_order, s::INT AS step, o[1:s - 1] AS before, o[s] AS letter FROM orders, range(1, 6) r(s) WHERE length(o) = 5),
+judged AS (
+  SELECT *, contains(failed, letter) AS hit, regexp_matches(failed, '[' || before || '0]') AS gone
+  FROM counted, steps),
+summed AS (
+  SELECT part, filter_order, step, letter, sum(n) FILTER (NOT gone AND NOT hit) AS kept, sum(n) FILTER (hit AND NOT gone) AS removed,
+         sum(n) FILTER (hit AND gone) AS redundant, sum(n) FILTER (failed = letter) AS unique_fails,
+         sum(good) FILTER (hit AND NOT gone) AS good_lost, sum(bad) FILTER (hit AND NOT gone) AS toxic_lost
+  FROM judged GROUP BY ALL)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       coalesce(sum(removed) OVER (PARTITION BY part, letter), 0)::BIGINT AS shapley
+FROM summed
+""",
+    "op13_lexical_search": r"""
+WITH doc_terms AS (
+  SELECT doc_id, term, count(*) AS tf FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents)
+  GROUP BY doc_id, term),
+item_terms AS (
+  SELECT DISTINCT item_id, term FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)),
+sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM doc_terms GROUP BY doc_id),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM sizes),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM doc_terms GROUP BY term), totals),
+scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // total))))::BIGINT AS score
+  FROM item_terms JOIN doc_terms USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), totals
+  GROUP BY item_id, doc_id),
+ranked AS (SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
+           FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 50
 """,
 }
