@@ -1,7 +1,9 @@
 """Files, tables, views, the report job, the stream and the plans."""
 
+import csv as pycsv
 import datetime as dt
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from tests.conftest import FOLDER
 from tests.seed import shop
 from tillmark import session
-from tillmark.operators import relational, reports
+from tillmark.operators import keyed, relational, reports, writes
 from tillmark.plans.measure import explain_query, explain_run, timed_queries
 from tillmark.plans.queries import QUERIES
 from tillmark.schema import SALES, SHIPMENTS, TABLES
@@ -63,6 +65,80 @@ def test_csv_line_breaks(spark, tmp_path):
     assert {tuple(r) for r in back.collect()} == {(1, "two\nlines"), (2, "one")}
 
 
+def _write_awkward(folder, n, seed=1, ends="\n", signs=("x", '"', "\n", ",", "é", " ", "\n\n")):
+    """Files of records with quotes, commas and line breaks in their values; the rows as written."""
+    draw, rows = random.Random(seed), []
+    with open(folder / f"f{seed}.csv", "w", newline="") as out:
+        writer = pycsv.writer(out, lineterminator=ends)
+        writer.writerow(["a", "b c", "d.e"])
+        for i in range(n):
+            rows.append((str(i), "".join(draw.choice(signs) for _ in range(draw.randrange(40))), draw.choice(["", "z", "  p "])))
+            writer.writerow(rows[-1])
+    return rows
+
+
+@pytest.mark.parametrize("split", [300, 20_000, 10**8])
+def test_line_breaks_over_splits(spark, tmp_path, split):
+    """Values longer than a split, splits that begin inside a value: the same rows as Spark's own reader, in file order."""
+    rows = _write_awkward(tmp_path, 400) + _write_awkward(tmp_path, 200, 2)
+    (tmp_path / "f3.csv").write_text('a,b c,d.e\n900,"' + "long\n,\n" * 300 + '",z\n\n901,"",\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        reader = spark.read.option("header", True).option("escape", '"').option("nullValue", csv.NO_TEXT).option("multiLine", True)
+        own = sorted((tuple(r) for r in reader.csv(str(tmp_path)).collect()), key=str)
+        found = csv.scan_csv_text(spark, str(tmp_path), position="at")
+        got = sorted(found.collect(), key=lambda r: r["at"])
+        assert sorted((tuple(r)[:3] for r in got), key=str) == own
+        assert [int(r[0]) for r in got] == [int(r[0]) for r in rows] + [900, 901]
+        if split == 300:
+            assert csv.quoted_records(spark, str(tmp_path)).select("file", "start").distinct().count() > 50
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_line_breaks_with_carriage_returns(spark, tmp_path):
+    """Values come back as they were written, also where lines end with carriage return and line feed."""
+    rows = _write_awkward(tmp_path, 300, 3, "\r\n", ("x", '"', "\r\n", "\n", ","))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 700)
+    try:
+        got = csv.scan_csv_text(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted((r[0], r[1] or "", r[2] or "") for r in got) == sorted(rows)
+
+
+def test_more_open_splits_than_can_be_sent(spark, tmp_path, monkeypatch):
+    rows = _write_awkward(tmp_path, 200, 4)
+    monkeypatch.setattr(keyed, "BROADCAST_ROWS", 0)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 300)
+    try:
+        assert csv.quoted_records(spark, str(tmp_path)) is None
+        got = csv.scan_csv_text(spark, str(tmp_path), position="at").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r[0] for r in sorted(got, key=lambda r: r["at"])] == [r[0] for r in rows]
+
+
+def test_empty_files(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("a,b\n")
+    assert csv.scan_csv_text(spark, str(tmp_path)).collect() == []
+    assert csv.scan_csv_text(spark, str(tmp_path)).columns == ["a", "b"]
+
+
+def test_import_in_file_order(spark, tmp_path):
+    """Of rows that collide the first in the file goes in, also where a record crosses splits."""
+    lines = [f'{i},"name\n{i}",n{i // 2}@x.y,{i},"c\nd"' for i in range(60)]
+    (tmp_path / "in.csv").write_text("\n".join(["customer_id,name,email,phone,city", *lines]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 100)
+    try:
+        texts = csv.scan_csv_text(spark, str(tmp_path), position="at")
+        change = writes.import_ignore(spark.createDataFrame([], TABLES["customers"].columns), texts, TABLES["customers"], place="at")
+        assert sorted(r["customer_id"] for r in change.rows.collect()) == list(range(0, 60, 2))
+        assert change.state.columns == TABLES["customers"].columns.names
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_sorted_export_keeps_its_order(spark, tmp_path):
     df = spark.range(1000).withColumn("v", F.col("id") * 37 % 1000).orderBy(F.desc("v"), "id")
     path = files.export_csv(df, str(tmp_path / "sorted"))

@@ -141,18 +141,64 @@ def test_insert_ignore_is_row_after_row(spark, way, seed, columns):
     assert change.state.count() == 5 + len(expected)
 
 
-def test_long_chains_end_in_a_few_rounds(spark, monkeypatch):
+def _counted_steps(monkeypatch):
+    """Labels of the steps that ``settle`` writes."""
+    labels, plain = [], writes.written
+    monkeypatch.setattr(writes, "written", lambda df, label: labels.append(label) or plain(df, label))
+    return labels
+
+
+def test_a_long_chain_is_settled_by_doubled_pointers(spark, monkeypatch):
     """Each row clashes with the one before, on two columns in turn: every other row goes in."""
-    chain = [{"id": i, "a": i // 2, "b": (i + 1) // 2} for i in range(1000)]
+    chain = [{"id": i, "a": i // 2, "b": (i + 1) // 2} for i in range(4000)]
     other = [{"id": 5000 + i, "a": 9000 + i % 3, "b": None} for i in range(10)]
     schema = "id bigint, a bigint, b bigint"
-    rounds = []
-    counted = writes.value_turns
-    monkeypatch.setattr(writes, "value_turns", lambda *args: rounds.append(1) or counted(*args))
+    labels = _counted_steps(monkeypatch)
     change = writes.insert_ignore(spark.createDataFrame([], schema), spark.createDataFrame(chain + other, schema), ["a", "b"], ["id"])
     expected = [row["id"] for row in _row_after_row([], chain + other, ["a", "b"])]
     assert sorted(r["id"] for r in change.rows.collect()) == sorted(expected)
-    assert len(rounds) <= 8
+    assert labels.count("standing") + labels.count("chains") < 15
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_tangled_rows_are_settled_as_row_after_row(spark, seed):
+    """Short and long chains, values that hold many rows, and rows that hang on several others."""
+    draw = random.Random(seed)
+    spread = [3, 12, 40, 90][seed]
+    batch = [{"id": i, "a": draw.choice([None, i // 2, draw.randrange(spread)]), "b": draw.choice([i // 3, (i + 1) // 2, 1]),
+              "c": draw.choice([None, None, draw.randrange(spread)])} for i in range(120)]
+    schema = "id bigint, a bigint, b bigint, c bigint"
+    change = writes.insert_ignore(spark.createDataFrame([], schema), spark.createDataFrame(batch, schema), ["a", "b", "c"], ["id"])
+    expected = [row["id"] for row in _row_after_row([], batch, ["a", "b", "c"])]
+    assert sorted(r["id"] for r in change.rows.collect()) == sorted(expected)
+
+
+def test_rows_of_a_common_value_are_not_gathered(spark):
+    """A value that most rows share gives each task two rows at most to the shuffle, and no step grows with its square."""
+    rows = spark.range(20_000).select("id", F.when(F.col("id") % 10 < 9, 7).otherwise(F.col("id")).cast("bigint").alias("a"),
+                                      (F.col("id") % 5_000).alias("b"))
+    change = writes.insert_ignore(rows.limit(0), rows, ["a", "b"], ["id"])
+    plain = [{"id": i, "a": 7 if i % 10 < 9 else i, "b": i % 5_000} for i in range(20_000)]
+    assert change.rows.count() == len(_row_after_row([], plain, ["a", "b"]))
+    ranked = writes._openers(constraints.written(rows.select(F.col("id").alias("turn"), F.col("a").cast("string").alias("entry")), "x"))
+    assert ranked.filter("_shared = '7'").collect()[0][1:] == (0, 1)
+
+
+@pytest.mark.parametrize("line", [100_000, 0])
+def test_all_keys_and_references_in_one_probe(spark, line, monkeypatch):
+    """Rows that break several rules at once; few or many breaking values (sent to the rows, or joined once)."""
+    monkeypatch.setattr(keyed, "BROADCAST_ROWS", line)
+    schema = TABLES["orders"].columns
+    parents = {"customers": frame(spark, "customers", [(1, "A", "a@b.c", "1", "X")]), "stores": frame(spark, "stores", [(1, "S", "L", None)])}
+    day = dt.datetime(2024, 1, 1)
+    stored = spark.createDataFrame([(10, 1, 1, day, Decimal(1))], schema)
+    news = [(10, 1, 1), (11, 1, 1), (11, 9, 1), (12, 9, 9), (None, 9, None), (13, None, None), (14, 1, 9)]
+    batch = spark.createDataFrame([(*r, day, Decimal(1)) for r in news], schema)
+    change = writes.append_rows(stored, batch, TABLES["orders"], parents, "quarantine", ["customer_id"])
+    assert sorted(r["order_id"] for r in change.rows.collect()) == [11, 13]
+    assert sorted(((r["order_id"], tuple(r["violations"])) for r in change.refused.collect()), key=str) == sorted([
+        (10, ("primary key",)), (11, ("primary key", "reference customer_id")), (12, ("reference customer_id", "reference store_id")),
+        (None, ("primary key", "reference customer_id")), (14, ("reference store_id",))], key=str)
 
 
 def test_insert_unless_taken_keeps_the_other_rules(spark, t, way):

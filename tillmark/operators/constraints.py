@@ -8,13 +8,13 @@ the map side. A rule with a NULL operand holds, as in SQL: only a FALSE outcome
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.operators.keyed import fits_broadcast, hot_keys, lookup_join
+from tillmark.operators.keyed import fits_broadcast, hot_keys, lookup_join, row_count, sized_like, written
 from tillmark.schema import Reference, Table
-from tillmark.session import materialize
 
 VIOLATIONS = "violations"
 
@@ -117,14 +117,22 @@ def violations(df: DataFrame, table: Table, parents: Mapping[str, DataFrame]) ->
     return found
 
 
+ARRIVAL = "_arrival"  # place of arrival, written with the rows
+
+
+def with_arrival(batch: DataFrame, label: str = "batch") -> DataFrame:
+    """The batch, written down, with each row's place of arrival."""
+    return written(batch.withColumn(ARRIVAL, F.monotonically_increasing_id()), label)
+
+
 def in_order(batch: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     """The batch, written down, with its turn: by ``order_by``, then by place of arrival."""
-    arrived = materialize(batch.withColumn("_arrival", F.monotonically_increasing_id()), "batch")
-    turn = F.struct(*order_by, "_arrival") if order_by else F.col("_arrival")
-    return arrived.withColumn("_turn", turn).drop("_arrival")
+    arrived = with_arrival(batch)
+    turn = F.struct(*order_by, ARRIVAL) if order_by else F.col(ARRIVAL)
+    return sized_like(arrived.withColumn("_turn", turn).drop(ARRIVAL), arrived)
 
 
-def _key_values(df: DataFrame, columns: Sequence[str], *extra: str | Column) -> DataFrame:
+def key_values(df: DataFrame, columns: Sequence[str], *extra: str | Column) -> DataFrame:
     """One row ``_column``, ``_value`` per unique column of each row, NULLs left out: all unique
     columns are then tested in one pass over the table."""
     pairs = [F.struct(F.lit(c).alias("_column"), F.col(c).cast("string").alias("_value")) for c in columns]
@@ -133,8 +141,8 @@ def _key_values(df: DataFrame, columns: Sequence[str], *extra: str | Column) ->
 
 def value_turns(batch: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per unique column and value of the batch: its rows and the turn of the first of them."""
-    grouped = _key_values(batch, columns, "_turn").groupBy("_column", "_value")
-    return materialize(grouped.agg(F.min("_turn").alias("_first"), F.count(F.lit(1)).alias("_rows")), "turns")
+    grouped = key_values(batch, columns, "_turn").groupBy("_column", "_value")
+    return written(grouped.agg(F.min("_turn").alias("_first"), F.count(F.lit(1)).alias("_rows")), "turns")
 
 
 def stored_values(existing: DataFrame, columns: Sequence[str], turns: DataFrame) -> DataFrame:
@@ -143,12 +151,12 @@ def stored_values(existing: DataFrame, columns: Sequence[str], turns: DataFrame)
     The values of a small batch are sent to the scan of the stored table, which is then filtered
     where it is read; a large batch is joined to it on the values.
     """
-    wanted, held = turns.select("_column", "_value"), _key_values(existing, columns)
-    if fits_broadcast(wanted):
+    wanted, held = turns.select("_column", "_value"), key_values(existing, columns)
+    if fits_broadcast(turns):
         found = held.join(F.broadcast(wanted), ["_column", "_value"], "left_semi").distinct()
     else:
         found = wanted.join(held, ["_column", "_value"], "left_semi")
-    return materialize(found, "stored")
+    return written(found, "stored")
 
 
 def values_of(clashes: DataFrame, column: str, like: DataFrame) -> DataFrame:
@@ -158,29 +166,101 @@ def values_of(clashes: DataFrame, column: str, like: DataFrame) -> DataFrame:
     return clashes.filter(F.col("_column") == column).select(value, *rest)
 
 
-def tag_keys(tagged: DataFrame, batch: DataFrame, rules: Sequence[tuple[str, str]], key: str,
-             existing: DataFrame | None, spread: Sequence[str]) -> DataFrame:
-    """Add the key rules that a row breaks against stored rows and earlier rows of the batch."""
-    columns = [column for _, column in rules]
-    if not columns:
+class Probe(NamedTuple):
+    """A rule that is decided by looking a column's value up: a key (``parent`` is None) or a reference."""
+
+    name: str
+    column: str
+    parent: DataFrame | None = None
+    parent_key: str = ""
+
+
+def probes_of(table: Table, parents: Mapping[str, DataFrame], settled: Sequence[str] = ()) -> list[Probe]:
+    """The keys of ``table`` but for the ``settled`` columns, then its references to the given parents."""
+    keys = [Probe(name, column) for name, column in key_rules(table) if column not in settled]
+    return keys + [Probe(f"reference {r.column}", r.column, parents[r.parent], r.parent_key)
+                   for r in table.references if r.parent in parents]
+
+
+def _kind(df: DataFrame, columns: Sequence[str]) -> str:
+    kinds = {df.schema[c].dataType.simpleString() for c in columns if c}
+    return kinds.pop() if len(kinds) == 1 else "string"
+
+
+def _probe_values(df: DataFrame, columns: Sequence[str], *extra: str) -> DataFrame:
+    """``_rule`` (number of the probe) and ``_value`` of each row, NULLs left out; values of several types are texts."""
+    kind = _kind(df, columns)
+    pairs = [F.struct(F.lit(n).alias("_rule"), F.col(c).cast(kind).alias("_value")) for n, c in enumerate(columns) if c]
+    return df.select(F.inline(F.array(*pairs)), *extra).filter(F.col("_value").isNotNull())
+
+
+def breaches(batch: DataFrame, probes: Sequence[Probe], existing: DataFrame | None) -> DataFrame:
+    """``_rule``, ``_value``, ``_first`` (turn) and ``_held`` of the values that break a rule for some row of the batch.
+
+    All keys and references are looked up at once: the batch unfolds into (rule, value) entries, which are reduced to
+    one row per value, and meet the entries of the stored rows and of the parents in one grouping. The entries of a
+    small batch are sent to the scans, so that only those asked for leave them.
+    """
+    columns = [p.column for p in probes]
+    kind = _kind(batch, columns)
+    grouped = _probe_values(batch, columns, "_turn").groupBy("_rule", "_value")
+    wanted = written(grouped.agg(F.min("_turn").alias("_first"), F.count(F.lit(1)).alias("_rows")), "wanted")
+    held = []
+    if existing is not None and any(p.parent is None for p in probes):
+        held.append(_probe_values(existing, [p.column if p.parent is None else "" for p in probes]))
+    for n, probe in enumerate(probes):
+        if probe.parent is not None:
+            key = F.col(probe.parent_key).cast(batch.schema[probe.column].dataType).cast(kind)
+            held.append(probe.parent.select(F.lit(n).alias("_rule"), key.alias("_value")).filter(F.col("_value").isNotNull()))
+    met = wanted.withColumn("_held", F.lit(False))
+    small = fits_broadcast(wanted)
+    for entries in held:
+        entries = entries.withColumn("_value", F.col("_value").cast(kind))
+        if small:
+            entries = entries.join(F.broadcast(wanted.select("_rule", "_value")), ["_rule", "_value"], "left_semi")
+        met = met.unionByName(entries.withColumn("_held", F.lit(True)), allowMissingColumns=True)
+    met = met.groupBy("_rule", "_value").agg(F.min("_first").alias("_first"), F.max("_rows").alias("_rows"), F.max("_held").alias("_held"))
+    refers = F.col("_rule").isin([n for n, p in enumerate(probes) if p.parent is not None])
+    broken = F.when(refers, ~F.col("_held")).otherwise(F.col("_held") | (F.col("_rows") > 1))
+    return written(met.filter(F.col("_rows").isNotNull() & broken).drop("_rows"), "breaches")
+
+
+def tag_breaches(tagged: DataFrame, found: DataFrame, probes: Sequence[Probe], key: str) -> DataFrame:
+    """Add the rules that a row breaks by ``found``, in the order of the probes; ``tagged`` has a ``_turn``.
+
+    Where few values break rules, they are sent to the rows, for the rules that occur. Many meet the rows' entries in
+    one join, and each row's rules are folded back into one list.
+    """
+    columns = tagged.columns
+    late = lambda n: F.col("_held") | (F.col("_turn") != F.col("_first")) if probes[n].parent is None else F.lit(True)
+    if fits_broadcast(found):
+        occurring = {r["_rule"] for r in found.select("_rule").distinct().collect()} if row_count(found) else ()
+        for n, probe in enumerate(probes):
+            broken = F.col(probe.column).isNull() if probe.column == key and probe.parent is None else F.lit(False)
+            if n in occurring:
+                own = found.filter(F.col("_rule") == n).select(
+                    F.col("_value").cast(tagged.schema[probe.column].dataType).alias("_clash"), "_first", "_held")
+                tagged = lookup_join(tagged, own, probe.column, "_clash", "left", small=True)
+                broken = broken | (F.col("_clash").isNotNull() & late(n))
+            elif not (probe.column == key and probe.parent is None):
+                continue
+            tagged = _with_rule(tagged, columns, broken, probe.name)
         return tagged
-    turns = value_turns(batch, columns)
-    if existing is None:
-        clashes = turns.withColumn("_stored", F.lit(False))
-    else:
-        stored = stored_values(existing, columns, turns).withColumn("_stored", F.lit(True))
-        clashes = turns.join(stored, ["_column", "_value"], "left")
-    clashes = materialize(clashes.filter((F.col("_rows") > 1) | F.col("_stored")), "clashes")
-    small = fits_broadcast(clashes)
-    for name, column in rules:
-        before = tagged.columns
-        hot = None if small else hot_keys(batch, column)
-        tagged = lookup_join(tagged, values_of(clashes, column, batch), column, "_clash", "left", spread, small, hot)
-        broken = F.col("_stored") | (F.col("_turn") != F.col("_first"))
-        if column == key:
-            broken = F.col(column).isNull() | broken
-        tagged = _with_rule(tagged, before, broken, name)
-    return tagged
+    entry = F.concat(F.col("_rule").cast("string"), F.lit(":"), F.col("_value").cast("string"))
+    entries = _probe_values(tagged, [p.column for p in probes], "_turn").select(
+        "_rule", "_turn", entry.alias("_entry"))
+    met = lookup_join(entries, found.select(entry.alias("_clash"), "_first", "_held"), "_entry", "_clash", "inner", ["_turn"])
+    broken = F.lit(False)
+    for n in range(len(probes)):
+        broken = broken | ((F.col("_rule") == n) & late(n))
+    folded = met.filter(broken).groupBy(F.col("_turn").alias("_own")).agg(F.sort_array(F.collect_set("_rule")).alias("_rules"))
+    names = F.array(*[F.lit(p.name) for p in probes])
+    missing = F.when(F.col(key).isNull(), F.array(F.lit("primary key"))).otherwise(F.array().cast("array<string>"))
+    more = F.transform(F.coalesce("_rules", F.array().cast("array<int>")), lambda n: F.get(names, n))
+    keyed = any(p.column == key and p.parent is None for p in probes)
+    more = F.concat(VIOLATIONS, missing, more) if keyed else F.concat(VIOLATIONS, more)
+    joined = tagged.join(folded, F.col("_turn") == F.col("_own"), "left")
+    return joined.select(*[more.alias(c) if c == VIOLATIONS else F.col(c) for c in columns])
 
 
 def held_values(existing: DataFrame, changes: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
@@ -189,15 +269,15 @@ def held_values(existing: DataFrame, changes: DataFrame, columns: Sequence[str],
 
     Only the values of the changes are looked up in the stored table, see ``stored_values``.
     """
-    pairs = _key_values(changes, columns, key)
-    wanted = materialize(pairs.groupBy("_column", "_value").agg(F.count(F.lit(1)).alias("_rows")), "wanted")
-    held = _key_values(existing, columns, F.col(key).alias("_holder"))
+    pairs = key_values(changes, columns, key)
+    wanted = written(pairs.groupBy("_column", "_value").agg(F.count(F.lit(1)).alias("_rows")), "wanted")
+    held = key_values(existing, columns, F.col(key).alias("_holder"))
     values = wanted.select("_column", "_value")
-    found = held.join(F.broadcast(values) if fits_broadcast(values) else values, ["_column", "_value"], "left_semi")
+    found = held.join(F.broadcast(values) if fits_broadcast(wanted) else values, ["_column", "_value"], "left_semi")
     now = pairs.select("_column", F.col(key).alias("_holder"), F.col("_value").alias("_now"))
     freed = F.col("_now").isNotNull() & (F.col("_now") != F.col("_value"))
     holders = found.join(now, ["_column", "_holder"], "left").withColumn("_freed", freed).drop("_now")
-    return materialize(wanted.join(holders, ["_column", "_value"], "left"), "held")
+    return written(wanted.join(holders, ["_column", "_value"], "left"), "held")
 
 
 def tag_held(tagged: DataFrame, held: DataFrame, columns: Sequence[str], key: str, freed: bool) -> DataFrame:
@@ -211,46 +291,7 @@ def tag_held(tagged: DataFrame, held: DataFrame, columns: Sequence[str], key: st
         if freed:
             other = other & ~F.col("_freed")
         tagged = _with_rule(tagged, before, (F.col("_rows") > 1) | other, f"unique {column}")
-    return materialize(tagged, "judged")
-
-
-def missing_references(batch: DataFrame, references: Sequence[Reference], parents: Mapping[str, DataFrame]) -> DataFrame:
-    """Values of the references that no parent has: ``_place`` (of the reference) and ``_missing``.
-
-    The values of all references are gathered in one pass over the batch. Few of them are sent to the scans
-    of the parents; many meet the parents' keys in one join.
-    """
-    kinds = {batch.schema[r.column].dataType.simpleString() for r in references}
-    kind = kinds.pop() if len(kinds) == 1 else "string"
-    pairs = [F.struct(F.lit(n).alias("_place"), F.col(r.column).cast(kind).alias("_missing")) for n, r in enumerate(references)]
-    unfolded = batch.select(F.inline(F.array(*pairs))).filter(F.col("_missing").isNotNull())
-    wanted = materialize(unfolded.distinct(), "wanted")
-    small = fits_broadcast(wanted)
-    held = None
-    for n, r in enumerate(references):
-        keys = parents[r.parent].select(F.lit(n).alias("_place"), F.col(r.parent_key).cast(kind).alias("_missing"))
-        if small:
-            keys = keys.join(F.broadcast(wanted), ["_place", "_missing"], "left_semi")
-        held = keys if held is None else held.unionByName(keys)
-    return materialize(wanted.join(held, ["_place", "_missing"], "left_anti"), "missing")
-
-
-def tag_references(tagged: DataFrame, batch: DataFrame, table: Table, parents: Mapping[str, DataFrame],
-                   spread: Sequence[str]) -> DataFrame:
-    """Add the references that a row breaks; references to tables not in ``parents`` are not tested."""
-    tested = [r for r in table.references if r.parent in parents]
-    if not tested:
-        return tagged
-    missing = missing_references(batch, tested, parents)
-    small = fits_broadcast(missing)
-    for place, reference in enumerate(tested):
-        before = tagged.columns
-        own = missing.filter(F.col("_place") == place).select(
-            F.col("_missing").cast(batch.schema[reference.column].dataType).alias("_missing"))
-        hot = None if small else hot_keys(batch, reference.column)
-        tagged = lookup_join(tagged, own, reference.column, "_missing", "left", spread, small, hot)
-        tagged = _with_rule(tagged, before, F.col("_missing").isNotNull(), f"reference {reference.column}")
-    return tagged
+    return written(tagged, "judged")
 
 
 def _with_rule(tagged: DataFrame, columns: Sequence[str], broken: Column, name: str) -> DataFrame:
@@ -260,22 +301,26 @@ def _with_rule(tagged: DataFrame, columns: Sequence[str], broken: Column, name:
 
 def split_valid(batch: DataFrame, table: Table, parents: Mapping[str, DataFrame] | None = None,
                 existing: DataFrame | None = None, order_by: Sequence[str] = (),
-                numbered: bool = False) -> tuple[DataFrame, DataFrame]:
+                numbered: bool = False, settled: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected) rows of a batch; rejected rows name their rules in ``violations``.
 
     Tested are the row rules and, for rows that keep them, the references to the given ``parents``, and keys
     against the ``existing`` rows and earlier such rows of the batch. ``numbered`` says that the key was just
-    assigned in order beyond all stored keys: it cannot clash and gives the order.
+    assigned in order beyond all stored keys: it cannot clash and gives the order. The values of the unique columns
+    in ``settled`` are known not to clash.
     """
     batch = batch.withColumn("_turn", F.col(table.key)) if numbered else in_order(batch, order_by)
     columns = [c for c in batch.columns if c != "_turn"]
-    rules = [(name, key) for name, key in key_rules(table) if not (numbered and key == table.key)]
+    probes = probes_of(table, parents or {}, [*settled, *([table.key] if numbered else [])])
     own = tag_rows(batch, row_rules(table))
-    sound = own.filter(F.size(VIOLATIONS) == 0)  # only these reach the joins, and only these hold a value
-    tagged = tag_keys(sound, sound.drop(VIOLATIONS), rules, table.key, existing, columns)
-    tagged = tag_references(tagged, sound.drop(VIOLATIONS), table, parents or {}, columns)
-    broken = own.filter(F.size(VIOLATIONS) > 0).select(*columns, VIOLATIONS)
-    judged = materialize(tagged.select(*columns, VIOLATIONS).unionByName(broken), "judged")
+    judged = own.select(*columns, VIOLATIONS)
+    if probes:
+        sound = own.filter(F.size(VIOLATIONS) == 0)  # only these reach the joins, and only these hold a value
+        found = breaches(sound, probes, existing)
+        tagged = tag_breaches(sound, found, probes, table.key)
+        judged = tagged.select(*columns, VIOLATIONS).unionByName(judged.filter(F.size(VIOLATIONS) > 0))
+        if not fits_broadcast(found):
+            judged = written(judged, "judged")  # else judging again, without a shuffle, costs less than to write the rows
     return judged.filter(F.size(VIOLATIONS) == 0).drop(VIOLATIONS), judged.filter(F.size(VIOLATIONS) > 0)
 
 

@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions.temporal import Moment, moment
-from tillmark.operators.constraints import RuleBroken
+from tillmark.operators.constraints import ARRIVAL, RuleBroken, with_arrival
 from tillmark.operators.relational import stock_of_items
-from tillmark.session import materialize
 
 
 def is_short() -> Column:
@@ -31,11 +30,16 @@ def guard_stock(order_items: DataFrame, products: DataFrame, mode: str = "fail")
     """(accepted, rejected) items; in mode ``fail`` one rejected item refuses all."""
     if mode not in ("fail", "quarantine"):
         raise ValueError(f"unknown mode {mode!r}")
-    judged = materialize(stock_of_items(order_items, products), "guarded")  # looked up once, used twice
-    rejected = judged.filter(is_short())
+    accepted, rejected = guard_arrivals(order_items, products)
     if mode == "fail" and not rejected.isEmpty():
         raise RuleBroken("cannot place order: out of stock")
-    return judged.filter(~is_short()).select(*order_items.columns), rejected
+    return accepted.select(*order_items.columns), rejected
+
+
+def guard_arrivals(order_items: DataFrame, products: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) items; the accepted ones, a written table, keep their place of arrival."""
+    judged = with_arrival(stock_of_items(order_items, products), "guarded")  # looked up once, used twice
+    return judged.filter(~is_short()).drop("stock"), judged.filter(is_short()).drop(ARRIVAL)
 
 
 def audit_rows(deleted: DataFrame, as_of: Moment) -> DataFrame:

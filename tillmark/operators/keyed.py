@@ -19,8 +19,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from typing import NamedTuple
+from weakref import WeakKeyDictionary
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,16 +40,51 @@ HOT_MIN_ROWS = 500  # fewer rows than this never make a key hot
 _HOT, _COPIES, _SALT = "_hot_key", "_copies", "_salt"
 
 
+class Size(NamedTuple):
+    rows: int
+    text_bytes: int
+
+
+_sizes: WeakKeyDictionary[DataFrame, Size] = WeakKeyDictionary()
+
+
+def _text_weight(df: DataFrame) -> Column:
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    weight = sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in texts), F.lit(0))
+    return F.coalesce(F.sum(weight.cast("bigint")), F.lit(0))
+
+
+def written(df: DataFrame, label: str = "step") -> DataFrame:
+    """``materialize``, with the rows and the bytes of text counted on the way: checks of the step's size need no job."""
+    seen = Observation()
+    step = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows"), _text_weight(df).alias("text_bytes")), label)
+    _sizes[step] = Size(**seen.get)
+    return step
+
+
+def sized_like(df: DataFrame, step: DataFrame) -> DataFrame:
+    """``df``, which has the rows and no more text than the written ``step``."""
+    _sizes[df] = _sizes[step]
+    return df
+
+
+def row_count(df: DataFrame) -> int:
+    """The number of rows, known already of a step that was ``written``."""
+    known = _sizes.get(df)
+    return known.rows if known else df.count()
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Counted and weighed: few enough rows and few enough bytes to send to every executor."""
-    rows = df.count()
+    known = _sizes.get(df)
+    rows = known.rows if known else df.count()
     if rows > BROADCAST_ROWS:
         return False
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     size = rows * 16 * len(df.columns)
-    if texts and rows:
-        weight = sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in texts), F.lit(0))
-        size += df.agg(F.sum(weight.cast("bigint"))).first()[0]
+    if known:
+        size += known.text_bytes
+    elif rows and any(isinstance(f.dataType, T.StringType) for f in df.schema.fields):
+        size += df.agg(_text_weight(df)).first()[0]
     return size <= BROADCAST_BYTES
 
 
@@ -58,7 +95,7 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame | None:
     whichever is less, so no task of the join gets more than that of one key. At most 500 rows, or a
     third as many as there are shuffle tasks.
     """
-    rows = df.count()
+    rows = row_count(df)
     if rows < HOT_MIN_ROWS:
         return None
     line = min(HOT_SHARE, HOT_FAIR_SHARES / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -149,7 +186,7 @@ def lookup_join_keeping(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key:
 def _distinct_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct values other than NULL, written once: they are counted and then joined."""
     values = df.select(F.col(column).alias("_wanted")).filter(F.col("_wanted").isNotNull()).distinct()
-    return materialize(values, "keys")
+    return written(values, "keys")
 
 
 def _found(table: DataFrame, table_key: str, wanted: DataFrame, key: str) -> DataFrame:
@@ -165,4 +202,4 @@ def keys_present(table: DataFrame, table_key: str, keys: DataFrame, key: str) ->
     A small key set is sent to the scan of ``table``, so that the large table is filtered
     where it is read and never shuffled.
     """
-    return materialize(_found(table, table_key, _distinct_values(keys, key), key), "present")
+    return written(_found(table, table_key, _distinct_values(keys, key), key), "present")

@@ -6,36 +6,40 @@ changed in place. ``as_of`` stands for the time of the statement.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmark.functions.money import scaled
 from tillmark.functions.temporal import Moment, before, moment
 from tillmark.functions.text import from_text
-from tillmark.operators.components import components
 from tillmark.operators.constraints import (
+    ARRIVAL,
     VIOLATIONS,
     RuleBroken,
+    breaches,
     held_values,
     in_order,
     key_rules,
+    key_values,
+    probes_of,
     refuse_if_any,
     row_rules,
     split_valid,
     stored_values,
+    tag_breaches,
     tag_held,
-    tag_references,
     tag_rows,
     value_turns,
     values_of,
+    with_arrival,
 )
-from tillmark.operators.guards import audit_rows, guard_stock
-from tillmark.operators.keyed import fits_broadcast, hot_keys, keys_present, lookup_join
+from tillmark.operators.guards import audit_rows, guard_arrivals
+from tillmark.operators.keyed import fits_broadcast, hot_keys, keys_present, lookup_join, row_count, written
 from tillmark.operators.relational import stale_customers
 from tillmark.schema import TABLES, Table
 from tillmark.session import materialize
@@ -62,19 +66,22 @@ def assign_keys(batch: DataFrame, key: str, order_by: Sequence[str] = (), after:
     ``order_by`` are split by place of arrival, which is written down first: a task that runs
     again after a lost executor then sorts by the same values.
     """
-    ranged = in_order(batch, order_by).orderBy(*order_by, "_turn").drop("_turn") if order_by else batch
-    placed = ranged.select("*", F.spark_partition_id().alias("_range"),
+    columns = [c for c in batch.columns if c != ARRIVAL]
+    if order_by:
+        arrived = batch if ARRIVAL in batch.columns else with_arrival(batch)
+        batch = arrived.orderBy(*order_by, ARRIVAL)
+    placed = batch.select(*columns, F.spark_partition_id().alias("_range"),
                            F.monotonically_increasing_id().alias("_place"))
     # The place counts up from 2^33 times the number of the range.
     placed = materialize(placed.withColumn("_place", F.col("_place") % (1 << 33)), "numbered")
-    sizes = sorted((row["_range"], row["count"]) for row in placed.groupBy("_range").count().collect())
+    sizes = {row["_range"]: row["count"] for row in placed.groupBy("_range").count().collect()}
     starts, total = [], after
-    for number, size in sizes:
-        starts.append((number, total))
-        total += size
-    offsets = batch.sparkSession.createDataFrame(starts, "_numbered int, _start bigint")
-    numbered = placed.join(F.broadcast(offsets), F.col("_range") == F.col("_numbered"))
-    return numbered.select((F.col("_start") + F.col("_place") + 1).alias(key), *batch.columns)
+    for number in range(max(sizes, default=-1) + 1):
+        starts.append(total)
+        total += sizes.get(number, 0)
+    # a number per task goes along with the plan, so that reading the numbered rows again needs no join
+    start = F.get(F.from_json(F.lit(json.dumps(starts)), "array<bigint>"), F.col("_range"))
+    return placed.select((start + F.col("_place") + 1).alias(key), *columns)
 
 
 def fill_defaults(batch: DataFrame, table: Table, as_of: Moment) -> DataFrame:
@@ -120,7 +127,13 @@ def append_rows(existing: DataFrame, batch: DataFrame, table: Table,
 def append_order_items(existing: DataFrame, batch: DataFrame, products: DataFrame, orders: DataFrame,
                        mode: str = "fail", order_by: Sequence[str] = ()) -> Change:
     """Insert order items behind the stock guard."""
-    accepted, short = guard_stock(batch, products, mode)
+    if mode not in ("fail", "quarantine"):
+        raise ValueError(f"unknown mode {mode!r}")
+    accepted, short = guard_arrivals(batch, products)
+    if mode == "fail" and not short.isEmpty():
+        raise RuleBroken("cannot place order: out of stock")
+    if TABLES["order_items"].key in batch.columns:
+        accepted = accepted.drop(ARRIVAL)
     parents = {"products": products, "orders": orders}
     change = append_rows(existing, accepted, TABLES["order_items"], parents, mode, order_by)
     return Change(change.state, change.rows, change.refused.unionByName(
@@ -128,89 +141,123 @@ def append_order_items(existing: DataFrame, batch: DataFrame, products: DataFram
 
 
 def insert_ignore(existing: DataFrame, batch: DataFrame, unique: Sequence[str],
-                  order_by: Sequence[str] = (), rounds: int = 6) -> Change:
+                  order_by: Sequence[str] = ()) -> Change:
     """Insert the rows that collide on no ``unique`` column with a stored row or with an earlier
     inserted row of the batch, as if row after row; NULLs never collide.
 
-    Values that occur once are settled at once. Among rows that repeat a value, the first of each
-    value goes in. With several columns a row may be first for one value and not for another,
-    and a skipped row does not block later ones, so the rows whose fate still hangs on another
-    row play again, up to ``rounds`` times. What is left then are chains in which each row hangs on the
-    one before; they are found as connected components and each is settled row after row by one task.
+    Rows that hold a stored value go first. Of the others, rows whose values occur once go in at once. With one
+    column the first row of each value goes in; with several a row may be first for one value and not for
+    another, and a skipped row does not block later ones: see ``settle``.
     """
     columns = batch.columns
     waiting = in_order(batch, order_by)
     turns = value_turns(waiting, unique)
     stored = stored_values(existing, unique, turns)
-    if not stored.isEmpty():
+    if row_count(stored):
         small, arrived = fits_broadcast(stored), waiting
         for key in unique:
             hot = None if small else hot_keys(arrived, key)
             waiting = lookup_join(waiting, values_of(stored, key, batch), key, "_clash", "left_anti", columns, small, hot)
+        waiting = written(waiting, "free")
         turns = value_turns(waiting, unique)
-    settled: list[DataFrame] = []
-    for number in range(rounds + 1):
-        if number == rounds:
-            settled.append(_settle_chains(waiting, unique, columns))
-            break
-        repeated = turns.filter(F.col("_rows") > 1).drop("_rows")
-        keys = [row["_column"] for row in repeated.select("_column").distinct().collect()]  # at most one per column
-        if not keys:
-            settled.append(waiting.select(*columns))
-            break
-        small = fits_broadcast(repeated)
-        judged, first = waiting, F.lit(True)
-        for key in keys:
-            leaders = values_of(repeated, key, batch).withColumnRenamed("_first", "_leader")
-            hot = None if small else hot_keys(waiting, key)
-            judged = lookup_join(judged, leaders, key, "_clash", "left", columns, small, hot)
-            first = first & (F.col(f"_leads_{key}") | F.col(f"_leads_{key}").isNull())
-            judged = judged.withColumn(f"_leads_{key}", F.col("_turn") == F.col("_leader")).drop("_clash", "_leader")
-        judged = materialize(judged.withColumn("_goes_in", first), "judged")
-        goes_in = judged.filter("_goes_in")
-        settled.append(goes_in.select(*columns))
-        if len(keys) == 1:
-            break  # whoever is left repeats a value whose first row went in
-        waiting = judged.filter("NOT _goes_in").select(*columns, "_turn")
-        for key in keys:
-            taken = goes_in.filter(F.col(f"_leads_{key}")).select(F.col(key).alias("_taken"))
-            waiting = lookup_join(waiting, taken, key, "_taken", "left_anti", columns)
-        waiting = materialize(waiting, "waiting")
-        if waiting.isEmpty():
-            break
-        turns = value_turns(waiting, unique)
-    inserted = settled[0]
-    for part in settled[1:]:
-        inserted = inserted.unionByName(part)
+    repeated = written(turns.filter(F.col("_rows") > 1).select("_column", "_value", "_first"), "repeated")
+    if not row_count(repeated):
+        inserted = waiting.select(*columns)
+    elif len(unique) == 1:
+        key = unique[0]
+        leaders = values_of(repeated, key, batch)
+        led = lookup_join(waiting, leaders, key, "_clash", "left", columns, fits_broadcast(repeated))
+        inserted = led.filter(F.col("_first").isNull() | (F.col("_first") == F.col("_turn"))).select(*columns)
+    else:
+        skipped = settle(_clashing_entries(waiting, unique, repeated))
+        inserted = lookup_join(waiting, skipped, "_turn", "_skipped", "left_anti", hot=None).select(*columns)
     return Change(existing.unionByName(inserted, allowMissingColumns=True), inserted, inserted.limit(0))
 
 
-def _settle_chains(waiting: DataFrame, unique: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """The rows of ``waiting`` that go in, row after row within each group of rows that share values."""
-    ordered = materialize(waiting.orderBy("_turn").withColumn("_row", F.monotonically_increasing_id()), "ordered")
-    texts = [F.col(c).cast("string").alias(f"_{n}") for n, c in enumerate(unique)]
-    links = None
-    for c in unique:
-        held = ordered.filter(F.col(c).isNotNull()).select("_row", F.col(c).alias("_value"))
-        firsts = held.groupBy("_value").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
-        pairs = held.join(firsts, "_value").select(F.col("_first").alias("a"), F.col("_row").alias("b"))
-        links = pairs if links is None else links.unionByName(pairs)
-    roots = components(links).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-    grouped = ordered.select("_row", *texts).join(roots, F.col("_row") == F.col("_node"), "left").withColumn(
-        "_root", F.coalesce("_root", "_row")).drop("_node")
-
-    def one_by_one(group: pd.DataFrame) -> pd.DataFrame:
-        seen: list[set] = [set() for _ in unique]
-        kept = []
-        for row, _, *values in group.sort_values("_row")[["_row", "_root", *[f"_{n}" for n in range(len(unique))]]].itertuples(index=False):
-            if all(v is None or v not in s for v, s in zip(values, seen)):
-                kept.append(row)
-                for v, s in zip(values, seen):
-                    s.add(v)
-        return pd.DataFrame({"_kept": kept}, dtype="int64")
-
-    kept = grouped.groupBy("_root").applyInPandas(one_by_one, "_kept bigint")
-    return ordered.join(kept, F.col("_row") == F.col("_kept"), "left_semi").select(*columns)
+def _clashing_entries(waiting: DataFrame, unique: Sequence[str], repeated: DataFrame) -> DataFrame:
+    """(turn, entry) of each row and each of its values that other rows hold too, a written table."""
+    entry = F.concat_ws(":", "_column", "_value")
+    values = repeated.select(entry.alias("_shared"))
+    entries = key_values(waiting, unique, F.col("_turn").alias("turn")).select("turn", entry.alias("entry"))
+    return written(lookup_join(entries, values, "entry", "_shared", "left_semi", ["turn"], fits_broadcast(repeated)), "entries")
+
+
+def _openers(entries: DataFrame) -> DataFrame:
+    """Per entry its first row (``first``) and the second (``second``, NULL if there is none), a written table.
+
+    Rows are ranked within each task before the shuffle too, so at most two rows per entry and task travel.
+    """
+    rank = F.row_number().over(Window.partitionBy("entry").orderBy("turn")).alias("rank")
+    two = entries.select("turn", "entry", rank).filter("rank <= 2")
+    first, second = (F.min(F.when(F.col("rank") == n, F.col("turn"))) for n in (1, 2))
+    return written(two.groupBy(F.col("entry").alias("_shared")).agg(first.alias("first"), second.alias("second")), "openers")
+
+
+def _standing(entries: DataFrame) -> DataFrame:
+    """Per row ``node``: ``many`` (several earlier rows share a value with it), or else the one that does as ``up``,
+    NULL if there is none; a written table."""
+    openers = _openers(entries)
+    placed = lookup_join(entries, openers, "entry", "_shared", "inner", ["turn"])
+    leads, follows = F.col("turn") == F.col("first"), F.col("turn") == F.coalesce("second", "first")
+    before = F.when(~leads, F.col("first"))  # the one row before, if it is the only one
+    return written(placed.groupBy(F.col("turn").alias("node")).agg(
+        F.max(~leads & ~follows).alias("crowd"), F.min(before).alias("up"), F.max(before).alias("other")
+    ).select("node", "up", (F.col("crowd") | F.coalesce(F.col("up") != F.col("other"), F.lit(False))).alias("many")), "standing")
+
+
+def settle(entries: DataFrame) -> DataFrame:
+    """Rows that do not go in (``_skipped``) when rows go in turn after turn, unless an earlier one that went in
+    shares an entry; ``entries`` (turn, entry) is a written table.
+
+    Nothing is gathered into one group. In every round, a row that no earlier row shares an entry with goes in. A row
+    with one such earlier row goes in exactly if that one does not, so along such rows the outcome alternates:
+    each points to the one before, and pointers are doubled until they reach a row that goes in, which settles it by
+    the parity of the distance, or a row with several earlier ones, which waits. Then all who share an entry with
+    those that went in are skipped, and the rows left play again. A chain of n rows takes log2(n) steps of one
+    round; rounds are needed only where rows hang on several others, and every round settles a row at least.
+    """
+    skipped = None
+    while True:
+        standing = _standing(entries)
+        open_ends = standing.filter("NOT many AND up IS NOT NULL")
+        goes_in = standing.filter("NOT many AND up IS NULL").select("node")
+        reached = _ends(standing, open_ends)
+        if reached is not None:
+            goes_in = goes_in.unionByName(reached.filter("NOT odd").select("node"))
+        goes_in = written(goes_in, "goes_in")
+        small = fits_broadcast(goes_in)
+        own = lookup_join(entries, goes_in, "turn", "node", "left_semi", small=small, hot=None)
+        taken = written(own.select(F.col("entry").alias("_taken")).distinct(), "taken")
+        rest = lookup_join(entries, goes_in, "turn", "node", "left_anti", small=small, hot=None)
+        blocked = lookup_join(rest, taken, "entry", "_taken", "left_semi", ["turn"])
+        blocked = written(blocked.select(F.col("turn").alias("_skipped")).distinct(), "blocked")
+        skipped = blocked if skipped is None else skipped.unionByName(blocked)
+        entries = written(lookup_join(rest, blocked, "turn", "_skipped", "left_anti", hot=None), "entries")
+        if not row_count(entries):
+            return written(skipped, "skipped")
+
+
+def _ends(standing: DataFrame, chained: DataFrame) -> DataFrame | None:
+    """(node, odd) of the rows whose chain of single earlier rows begins at one that goes in; ``odd`` is the parity
+    of its length. None where there is no chain."""
+    ends = standing.select(F.col("node").alias("_node"), F.col("up").alias("_up"), F.col("many").alias("_many"))
+    step = lookup_join(chained, ends, "up", "_node", "inner", ["node"])
+    # ``to`` is the row reached, ``open`` says that it hangs on one row itself, ``roots`` that it goes in
+    state = written(step.select("node", F.col("up").alias("to"), F.lit(True).alias("odd"),
+                                (~F.col("_many") & F.col("_up").isNotNull()).alias("open"),
+                                (~F.col("_many") & F.col("_up").isNull()).alias("roots")), "chains")
+    if not row_count(state):
+        return None
+    done = state.filter("NOT open")
+    moving = written(state.filter("open"), "moving")
+    while row_count(moving):
+        targets = done.unionByName(moving).select(*[F.col(c).alias(f"_{c}") for c in ("node", "to", "odd", "open", "roots")])
+        moved = written(lookup_join(moving, targets, "to", "_node", "inner", ["node"]).select(
+            "node", F.col("_to").alias("to"), (F.col("odd") != F.col("_odd")).alias("odd"), F.col("_open").alias("open"),
+            F.col("_roots").alias("roots")), "chains")
+        done = done.unionByName(moved.filter("NOT open"))
+        moving = written(moved.filter("open"), "moving")
+    return done.filter("roots")
 
 
 def insert_unless_taken(existing: DataFrame, batch: DataFrame, table: Table, conflict: str,
@@ -233,54 +280,60 @@ def insert_unless_taken(existing: DataFrame, batch: DataFrame, table: Table, con
     sound = tagged.filter(F.size(VIOLATIONS) == 0).drop(VIOLATIONS)
     rows = insert_ignore(existing, sound.drop(table.key) if numbered else sound, [conflict], order_by).rows
     ready = prepare(existing, rows, table, order_by, as_of)
-    accepted, rejected = split_valid(ready, table, parents, existing, order_by, numbered)
+    accepted, rejected = split_valid(ready, table, parents, existing, order_by, numbered, [conflict])
     if mode == "fail":
         refuse_if_any(rejected, f"insert into {table.name} refused")
     return Change(existing.unionByName(accepted), accepted, unsound.unionByName(rejected))
 
 
-def _typed(texts: DataFrame, table: Table, values: Sequence[Column], strict: bool) -> DataFrame:
-    """Text values as the columns of a table. A value that does not fit its type raises or, when
-    ``strict`` is off, is NULL and named in ``_types``."""
+def _typed(texts: DataFrame, table: Table, values: Sequence[Column], strict: bool, keep: Sequence[str] = ()) -> DataFrame:
+    """Text values as the columns of a table, and the columns ``keep`` as they are. A value that does not fit its
+    type raises or, when ``strict`` is off, is NULL and named in ``_types``."""
     fields = table.columns.fields
     if strict:
         cast = [v.cast(f.dataType).alias(f.name) for v, f in zip(values, fields)]
-        return texts.select(*cast, F.array().cast("array<string>").alias("_types"))
+        return texts.select(*cast, *keep, F.array().cast("array<string>").alias("_types"))
     tried = [v.try_cast(f.dataType) for v, f in zip(values, fields)]
     unfit = [F.when(v.isNotNull() & t.isNull(), F.lit(f"type {f.name}")) for v, t, f in zip(values, tried, fields)]
-    return texts.select(*[t.alias(f.name) for t, f in zip(tried, fields)], F.array_compact(F.array(*unfit)).alias("_types"))
+    return texts.select(*[t.alias(f.name) for t, f in zip(tried, fields)], *keep,
+                        F.array_compact(F.array(*unfit)).alias("_types"))
 
 
-def by_position(texts: DataFrame, table: Table, strict: bool = True) -> DataFrame:
+def by_position(texts: DataFrame, table: Table, strict: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     """Text columns as the columns of a table, matched by position and cast to their types, with
-    the misfits in ``_types``."""
-    if len(texts.columns) != len(table.columns.fields):
-        raise ValueError(f"{table.name} has {len(table.columns.fields)} columns, the input {len(texts.columns)}")
-    return _typed(texts, table, [F.col(f"`{name}`") for name in texts.columns], strict)
+    the misfits in ``_types``; the columns ``keep`` are no part of it and stay."""
+    names = [name for name in texts.columns if name not in keep]
+    if len(names) != len(table.columns.fields):
+        raise ValueError(f"{table.name} has {len(table.columns.fields)} columns, the input {len(names)}")
+    return _typed(texts, table, [F.col(f"`{name}`") for name in names], strict, keep)
 
 
 def import_ignore(existing: DataFrame, texts: DataFrame, table: Table,
                   parents: Mapping[str, DataFrame] | None = None, mode: str = "fail",
-                  order_by: Sequence[str] = ()) -> Change:
+                  order_by: Sequence[str] = (), place: str | None = None) -> Change:
     """Insert file rows by position, skipping rows that collide on any unique column.
 
-    Only collisions are skipped. A row with a malformed value, without a key or against a rule of its own, or
+    Rows go in by ``order_by``, then by ``place``, the column with a row's place in its file (see ``scan_csv_text``);
+    without one in order of arrival. Only collisions are skipped. A row with a malformed value, without a key or against a rule of its own, or
     an inserted row that breaks a reference, refuses the whole file in mode ``fail`` and only itself in
     ``quarantine``.
     """
-    typed = by_position(texts, table, strict=mode == "fail")
+    held = [place] if place else []
+    order_by = [*order_by, *held]
+    typed = by_position(texts, table, strict=mode == "fail", keep=held)
     tagged = tag_rows(typed, [("primary key", F.col(table.key).isNull()), *row_rules(table)])
     tagged = tagged.withColumn(VIOLATIONS, F.concat("_types", VIOLATIONS)).drop("_types")
-    typed = typed.drop("_types")
-    refused = tagged.filter(F.size(VIOLATIONS) > 0)
+    refused = tagged.filter(F.size(VIOLATIONS) > 0).drop(*held)
     if mode == "fail":
         refuse_if_any(refused, f"import into {table.name} refused")
     sound = tagged.filter(F.size(VIOLATIONS) == 0).drop(VIOLATIONS)
-    change = insert_ignore(existing, sound, [key for _, key in key_rules(table)], order_by)
+    rows = insert_ignore(existing, sound, [key for _, key in key_rules(table)], order_by).rows
     if not parents:
-        return Change(change.state, change.rows, refused)
-    referring = tag_references(tag_rows(change.rows, []), change.rows, table, parents, typed.columns)
-    referring = materialize(referring, "referring")
+        rows = rows.drop(*held)
+        return Change(existing.unionByName(rows, allowMissingColumns=True), rows, refused)
+    probes = probes_of(table, parents, [key for _, key in key_rules(table)])
+    arrived = in_order(rows, order_by).drop(*held)
+    referring = tag_breaches(tag_rows(arrived, []), breaches(arrived, probes, None), probes, table.key).drop("_turn")
     orphans = referring.filter(F.size(VIOLATIONS) > 0)
     if mode == "fail":
         refuse_if_any(orphans, f"import into {table.name} refused")
@@ -383,10 +436,10 @@ def update_customers(customers: DataFrame, changes: DataFrame, mode: str = "fail
     known = keys_present(customers, key, changes, key).withColumnRenamed(key, "_known")
     listed = lookup_join(changes.select(*table.columns.names), known, key, "_known", "left_semi")
     counts = listed.groupBy(F.col(key).alias("_named")).agg(F.count(F.lit(1)).alias("_times"))
-    repeated = materialize(counts.filter("_times > 1"), "repeated")
+    repeated = written(counts.filter("_times > 1"), "repeated")
     joined = lookup_join(listed, repeated, key, "_named", "left", table.columns.names)
     tagged = tag_rows(joined, [(f"repeated {key}", F.col("_times").isNotNull()), *row_rules(table)])
-    tagged = materialize(tagged.select(*table.columns.names, VIOLATIONS), "changes")
+    tagged = written(tagged.select(*table.columns.names, VIOLATIONS), "changes")
     refused = tagged.filter(F.size(VIOLATIONS) > 0)
     sound = tagged.filter(F.size(VIOLATIONS) == 0)
     held = held_values(customers, sound, table.unique, key)
@@ -394,7 +447,7 @@ def update_customers(customers: DataFrame, changes: DataFrame, mode: str = "fail
     taken = judged.filter(F.size(VIOLATIONS) > 0)
     if mode == "fail":
         refuse_if_any(refused.unionByName(taken), f"update of {table.name} refused")
-    elif not taken.isEmpty():
+    elif row_count(judged) and not taken.isEmpty():
         judged = tag_held(sound, held, table.unique, key, freed=False)
         taken = judged.filter(F.size(VIOLATIONS) > 0)
     accepted = judged.filter(F.size(VIOLATIONS) == 0).drop(VIOLATIONS)
