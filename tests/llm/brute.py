@@ -34,11 +34,12 @@ def edit_distance(a, b, free_ends=False):
 
 
 def near(a, b, threshold=0.8):
-    s, t = shingles(a), shingles(b)
-    if not s or not t or sum((s & t).values()) < threshold * sum((s | t).values()):
-        return False
+    """Whether the words of a and b differ by edits for at most 1 - threshold of the longer text."""
     x, y = words(a), words(b)
-    return edit_distance(x, y) <= (1 - threshold) * max(len(x), len(y)) + 1e-9
+    most = (1 - threshold) * max(len(x), len(y)) + 1e-9
+    if not x or not y or max(len(x), len(y)) - sum((Counter(x) & Counter(y)).values()) > most:
+        return False  # words that the other text lacks take an edit each
+    return edit_distance(x, y) <= most
 
 
 def near_classes(docs):

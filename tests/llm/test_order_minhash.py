@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,9 @@ from tillmark.llm import order_minhash
 from tillmark.llm.components import components
 
 
+TENTH = "/root/testdata/sf0.01"
+
+
 def planted():
     rng = random.Random(3)
     vocabulary = [f"w{i}" for i in range(500)]
@@ -80,8 +84,84 @@ def test_alignment_against_table():
         a = [rng.choice("abc") for _ in range(rng.randrange(0, 12))]
         b = [rng.choice("abc") for _ in range(rng.randrange(0, 12))]
         limit = rng.randrange(0, 8)
-        x, y = order_minhash.word_hashes(a), order_minhash.word_hashes(b)
-        assert order_minhash.edits_within(x, y, limit) == (brute.edit_distance(a, b) <= limit)
+        assert order_minhash.edits_within(a, b, limit) == (brute.edit_distance(a, b) <= limit)
+
+
+def test_alignment_of_longer_texts():
+    """Bands that are wider and narrower than the distance, and masks that are built anew along the text."""
+    rng = random.Random(10)
+    for _ in range(30):
+        a = [rng.choice("abcdefgh") for _ in range(rng.randrange(40, 120))]
+        b = list(a)
+        for _ in range(rng.randrange(1, 40)):
+            place = rng.randrange(len(b))
+            b[place:place + rng.randrange(2)] = rng.choice(["", "a", "bc"])
+        distance = brute.edit_distance(a, b)
+        for limit in (0, distance - 1, distance, distance + 1, 50):
+            assert order_minhash.edits_within(a, b, max(limit, 0)) == (distance <= max(limit, 0))
+
+
+def test_the_count_of_shared_runs_rules_out_no_close_pair():
+    rng = random.Random(12)
+    for _ in range(300):
+        a = [rng.choice("abcdefghij") for _ in range(rng.randrange(1, 60))]
+        b = list(a)
+        for _ in range(rng.randrange(14)):
+            place = rng.randrange(len(b) + 1)
+            b[place:place + rng.randrange(2)] = rng.choice([[], ["a"], ["x"]])
+        assert order_minhash.near_copies(a, b, 0.8) == brute.near(" ".join(a), " ".join(b))
+
+
+def test_very_long_texts_are_aligned_in_a_band():
+    rng = random.Random(13)
+    a = [str(rng.randrange(5_000)) for _ in range(40_000)]
+    b = [w if rng.random() > 0.05 else "new" for w in a]
+    assert order_minhash.near_copies(a, b, 0.8)
+    assert not order_minhash.near_copies(a, b, 0.99)
+
+
+@pytest.mark.parametrize(("share", "least"), [(0.02, 0.99), (0.05, 0.99), (0.1, 0.85)])
+def test_recall_by_edits(share, least):
+    """Pairs with a share of their words replaced that meet in a bucket; the bound is below the docstring's formula."""
+    rng = random.Random(int(share * 100))
+    seeds = order_minhash.mix(order_minhash.np.arange(1, 33, dtype="uint64") * order_minhash.GOLDEN) | order_minhash.np.uint64(1)
+
+    def keys(words):
+        return set(order_minhash.order_sketch(order_minhash.labelled(order_minhash.shingle_hashes(
+            order_minhash.word_hashes(words))), seeds, 3).tolist())
+
+    met = 0
+    for _ in range(300):
+        a = [str(rng.randrange(3_000)) for _ in range(rng.choice((100, 200, 600)))]
+        changed = set(rng.sample(range(len(a)), round(share * len(a))))
+        b = ["new" if i in changed else w for i, w in enumerate(a)]
+        met += bool(keys(a) & keys(b))
+    assert met / 300 >= least
+
+
+def test_recall_on_the_test_table(spark):
+    """Of all pairs of different texts with an edit similarity of 0.9 or more, at least 0.9 are in one class, and no pair
+    below 0.8 makes a class of its own."""
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{TENTH}/documents.parquet").select("doc_id", "text").collect()]
+    found = {r.doc_id: r.class_id for r in order_minhash.near_duplicate_classes(spark.read.parquet(f"{TENTH}/documents.parquet")).collect()}
+    held, holders = {i: brute.words(t) for i, t in docs}, {}
+    for i, ws in held.items():
+        for k in range(len(ws) - 2):
+            holders.setdefault(tuple(ws[k:k + 3]), []).append(i)
+    shared = Counter((a, b) for ids in holders.values() for a in set(ids) for b in set(ids) if a < b)
+    close = [(a, b) for (a, b), n in shared.items() if held[a] != held[b] and min(len(held[a]), len(held[b])) >= 10
+             and n >= 0.2 * max(len(held[a]), len(held[b])) and brute.near(docs[a][1], docs[b][1], 0.9)]
+    assert len(close) > 50
+    assert sum(found[a] == found[b] for a, b in close) >= 0.9 * len(close)
+    groups = {}
+    for i, root in found.items():
+        groups.setdefault(root, []).append(i)
+    for members in groups.values():
+        joined = {members[0]}
+        while more := [i for i in members if i not in joined and any(
+                docs[i][1] == docs[j][1] or order_minhash.near_copies(held[i], held[j], 0.8) for j in joined)]:
+            joined |= set(more)
+        assert joined == set(members)
 
 
 def test_components(spark):
@@ -121,7 +201,7 @@ def test_copies_of_one_original(spark, monkeypatch, central):
     rows = edited_copies(300)
     if not central:  # a leader picked at random: the rest is left to the full comparison
         monkeypatch.setattr(order_minhash, "CELL_NODES", 40)
-        monkeypatch.setattr(order_minhash, "_led", lambda members, nodes: members.groupBy("key").agg(
+        monkeypatch.setattr(order_minhash, "_led", lambda members: members.groupBy("key").agg(
             F.min(F.struct("digest", "n")).alias("first")).select("key", "first.digest", "first.n").toDF("key", "leader", "leader_n"))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
     found = {r.doc_id: r.class_id for r in order_minhash.near_duplicate_classes(docs).collect()}
