@@ -94,6 +94,58 @@ def test_repeated_content_gets_its_label(field):
     assert "123" not in added and "77" not in added
 
 
+@pytest.mark.parametrize("times", [1, 2, 3, 5, 10, 40, 100])
+@pytest.mark.parametrize("gap", [" ", " some words between them "])
+def test_every_repetition_of_a_base_span_is_labelled(field, times, gap):
+    cases = {"jane.roe7@mail.example.com": ("jane.roe7", "email"), "+1 (512) 555-4564": ("512-555-4564", "phone"),
+             "john.smith@mail.example.com": ("john.smith", "email"), "+49 170 5554564": ("5554564", "phone"),
+             "192.168.10.25": ("192-168-10-25", "ip")}
+    for first, (again, kind) in cases.items():
+        for text in (f"See {first} here." + f"{gap}{again}" * times, f"{again}{gap}" * times + first):
+            added = pii.added_spans(text, pii.base_spans(text), field)
+            assert [text[a:b] for a, b, _ in added] == [again] * times and {k for *_, k in added} == {kind}, (text[:80], added[:3])
+
+
+@pytest.mark.parametrize("times", [1, 2, 5, 10, 40])
+def test_repetition_alone_is_no_evidence(field, times):
+    for token in ("1234567", "192-168-10-25", "jane.roe7", "4111-1111"):
+        for gap in (" ", " and more words "):
+            text = f"{token}{gap}" * times
+            assert pii.added_spans(text, pii.base_spans(text), field) == []
+            text = "Write to mary.major1@mail.example.com. " + "w " * 50 + text
+            assert pii.added_spans(text, pii.base_spans(text), field) == []
+
+
+def test_messages_settle_on_loops():
+    """Strong conflicting links in loops: the shrinking steps end, with beliefs that are probabilities."""
+    import numpy as np
+
+    field = pii.Field(np.zeros((pii.WIDTH, 5)), -5 * np.eye(5), 9 * np.eye(5) - 4)
+    n = 12
+    g = pii.Graph([(0, 1)] * n, np.ones((n, pii.WIDTH)), np.array([1, 2] + [-1] * (n - 2)),
+                  [(i, i + 1) for i in range(n - 1)], [(i, j, 1.0) for i in range(n) for j in range(i + 2, n)])
+    beliefs = field.beliefs(g)
+    assert np.isfinite(beliefs).all() and np.allclose(beliefs.sum(1), 1)
+
+
+def test_ip_with_very_many_digits():
+    """More digits than Python turns into a number."""
+    assert pii.base_spans("0" * 5_000 + ".1.1.1") == [(0, 5_006, "ip")]
+    assert pii.base_spans("1" * 5_000 + ".1.1.1") == []
+    assert pii.base_spans("0.00.000.0") == [(0, 10, "ip")]
+
+
+def test_sample_of_any_number_of_rows(spark):
+    """The share stays above zero and true to the bound where rows are counted in hundreds of billions."""
+    keys = spark.range(200_000)
+    share = lambda rows, most: keys.where(pii.sampled(F.col("id"), rows, most)).count() / 200_000
+    assert share(200_000, 200_000) == share(0, 10) == 1.0
+    assert share(10**11, 10**10) == pytest.approx(0.1, rel=0.05)
+    assert share(10**15, 10**12) == pytest.approx(0.001, rel=0.5)
+    column = str(pii.sampled(F.col("id"), 10**11, 20_000))
+    assert "<= 0" not in column and str(((1 << 63) - 1) * 20_000 // 10**11) in column
+
+
 def test_pii_rows(spark, field):
     rows = [(1, "mail a@b.co, ip 10.0.0.1 and 10.0.0.999"), (1, "mail a@b.co, ip 10.0.0.1 and 10.0.0.999"), (2, None), (None, ""), (3, "é" * 5 + " +1 (512) 555-4564")]
     docs = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, spans string")
@@ -118,16 +170,16 @@ def test_beliefs_match_enumeration():
 
     rng = np.random.default_rng(3)
     field = pii.Field(rng.normal(size=(pii.WIDTH, 5)), *(lambda m: (m + m.T, np.eye(5) * 2))(rng.normal(size=(5, 5))))
-    g = pii.Graph([(0, 1)] * 4, rng.normal(size=(4, pii.WIDTH)), np.array([-1, 2, -1, -1]), [(0, 1), (1, 2)], [(0, 3)])
+    g = pii.Graph([(0, 1)] * 4, rng.normal(size=(4, pii.WIDTH)), np.array([-1, 2, -1, -1]), [(0, 1), (1, 2)], [(0, 3, 0.5)])
     own = g.features @ field.weights
     total = np.zeros((4, 5))
     for y in itertools.product(range(5), repeat=4):
         if y[1] == 2:
             weight = np.exp(sum(own[i, y[i]] for i in (0, 2, 3)) + sum(field.chain[y[i], y[j]] for i, j in g.chain)
-                            + sum(field.skip[y[i], y[j]] for i, j in g.skip))
+                            + sum(w * field.skip[y[i], y[j]] for i, j, w in g.skip))
             for i in range(4):
                 total[i, y[i]] += weight
-    assert np.allclose(field.beliefs(g, rounds=100, damping=0.0), total / total.sum(1, keepdims=True), atol=1e-3)
+    assert np.allclose(field.beliefs(g, step=1.0), total / total.sum(1, keepdims=True), atol=1e-3)
 
 
 def test_preference_segments(spark):

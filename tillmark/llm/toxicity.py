@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.llm.boosting import BoostedTrees, fit_isotonic, fit_trees, sigmoid
+from tillmark.llm.sampling import sampled
 from tillmark.session import materialize
 
 # Common insults, and second-person words, of four languages.
@@ -155,8 +156,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFr
         .groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     )
     usable = materialize(usable, "labels")
-    share = min(1.0, max_rows / max(1, usable.count()))
-    picked = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    picked = usable.where(sampled(F.col("doc_id"), usable.count(), max_rows))
     texts = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     # the ids are at most about max_rows; their broadcast keeps the texts where they are read
     sample = texts.join(F.broadcast(picked), "doc_id")
