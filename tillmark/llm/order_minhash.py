@@ -16,8 +16,9 @@ of the links.
    it could change a class.
 5. The other large buckets are compared in full, matched members included: cut into cells of like length and bounded
    size, one task takes two cells, counts the shared runs of all pairs by postings and aligns the pairs that share
-   enough and are not in one class. So there are two rounds, whatever the size of a group, and no cap; the pairs
-   counted in step 5 grow with the square of a bucket whose members are not one class by step 3.
+   enough and are not in one class; cells of one and the same class do not meet. So there are two rounds, whatever the
+   size of a group, and no cap; the pairs counted in step 5 grow with the square of those members of a bucket that are
+   in no large class by step 3.
 
 Texts of one to four words have one shingle, all their words. Texts without any word are linked to identical texts
 only; null counts as empty. Rows with a null id are in a class like others but always stay. Rows that repeat an id
@@ -37,7 +38,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillmark.llm.components import components
@@ -255,9 +256,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
 def _led(members: DataFrame) -> DataFrame:
     """(key, leader, leader_n) of each bucket of ``members`` (key, digest, n, size): the member whose buckets are the
     largest altogether. One row per member goes in and comes out; the leader is a first try, so a tie may go any way."""
-    own = members.groupBy("digest").agg(F.sum("size").alias("score"))
-    rank = F.struct("score", F.xxhash64("digest", "key").alias("tie"), "digest", "n")
-    return members.join(own, "digest").groupBy("key").agg(F.max(rank).alias("first")).select(
+    score = F.sum("size").over(Window.partitionBy("digest"))  # a node has a bucket per sketch at most
+    rank = F.struct("score", F.xxhash64("digest").alias("tie"), "digest", "n")
+    return members.withColumn("score", score).groupBy("key").agg(F.max(rank).alias("first")).select(
         "key", F.col("first.digest").alias("leader"), F.col("first.n").alias("leader_n"))
 
 
@@ -306,14 +307,21 @@ def _compared(members: DataFrame, texts: DataFrame, threshold: float) -> DataFra
     """Links (a, b) that join the classes within each bucket; ``members`` is (key, digest, n, own), a written table.
 
     Nodes in classes of length next to each other only can be linked: the ratio of their numbers of words is
-    at least ``threshold`` else they are two classes apart.
+    at least ``threshold`` else they are two classes apart. The nodes of a large class have cells of their own, which
+    do not meet each other: of a group of copies with a few strays, only the strays meet the rest.
     """
     reach = F.floor(F.log(F.col("n").cast("double")) / F.lit(-np.log(threshold * (1 - 1e-9)))).cast("int")
     sized = members.withColumn("span", reach)
-    parts = sized.groupBy("key", "span").agg(
-        F.ceil(F.greatest(F.count("*") / CELL_NODES, F.sum("n") / CELL_WORDS)).cast("int").alias("parts"))
-    placed = materialize(sized.join(parts, ["key", "span"]).select(
-        "key", "span", F.pmod(F.xxhash64("digest"), "parts").cast("int").alias("part"), "digest", "own"), "cells")
+    kinds = sized.groupBy("key", "span", "own").agg(F.count("*").alias("nodes"), F.sum("n").alias("words")).withColumn(
+        "kin", F.when(F.col("nodes") >= CELL_NODES // 8, F.col("own")).otherwise(F.lit(b"")))
+    parts = materialize(kinds.groupBy("key", "span", "kin").agg(
+        F.ceil(F.greatest(F.sum("nodes") / CELL_NODES, F.sum("words") / CELL_WORDS)).cast("int").alias("parts")), "parts")
+    # a row per large class, and one for all others, of a bucket's span; at most 8 / CELL_NODES as many as nodes
+    named = parts.where(F.col("kin") != F.lit(b"")).select("key", "span", F.col("kin").alias("own"), "kin")
+    held = sized.join(named, ["key", "span", "own"], "left").withColumn("kin", F.coalesce("kin", F.lit(b"")))
+    placed = materialize(held.join(parts, ["key", "span", "kin"]).select(
+        "key", "span", F.struct("kin", F.pmod(F.xxhash64("digest"), "parts").cast("int").alias("part")).alias("part"),
+        "digest", "own"), "cells")
     cells = placed.groupBy("key", "span", "part").agg(F.min("own").alias("low"), F.max("own").alias("high"))
     left = cells.select("key", *(F.col(c).alias(f"{c}_a") for c in ("span", "part", "low", "high")))
     right = cells.select("key", *(F.col(c).alias(f"{c}_b") for c in ("span", "part", "low", "high")))
