@@ -2,6 +2,7 @@
 
 import hashlib
 import html as entities
+import random
 import re
 
 import pytest
@@ -21,6 +22,18 @@ CASES = [
     ("<div role=navigation>no</div><main><table><tr><td>a<td>b<tr><td>c</table></main>", "a\n\nb\n\nc"),
     ("<body><h1>Head</h1><div><p>" + "word, " * 30 + "</p><p>more, words</p></div><div><a href=x>link</a></div></body>",
      "Head\n\n" + ("word, " * 30).strip() + "\n\nmore, words"),
+    ("<div class='content has-sidebar'><p>Kept.</p></div>", "Kept."),
+    ("<div class='site-header-wrap'><p>Kept.</p></div>", "Kept."), ("<div class='cookie-notice'><p>Gone.</p></div><div id=sidebar>Gone</div>", ""),
+    ("<article><h2 id='related-work'>R</h2><p class='market-share'>a</p><h2 id='search'>S</h2><section id=search><p>b</p></section>"
+     "<div class='social-share'><a href=x>Share</a></div><span class=nav-link>c</span></article>", "R\n\na\n\nS\n\nb\n\nc"),
+    ("<body><h1>Head</h1><p>Short.</p><div class=x><p>" + "word, " * 30 + "</p></div>bare <b>text</b><ul><li>i</ul><table><tr><td>t</table>"
+     "<ul><li><a href=x>link</a></ul></body>", "Head\n\nShort.\n\n" + ("word, " * 30).strip() + "\n\nbare text\n\ni\n\nt"),
+    ("<div id=wrap><h1>Head</h1><div><p>" + "word, " * 30 + "</p></div><div><p>End.</p></div></div><div class=footer>(c)</div>",
+     "Head\n\n" + ("word, " * 30).strip() + "\n\nEnd."),
+    ("<article><p>text</p></article><section id=comments><article class=comment><p>" + "nice, " * 30 + "</p></article></section>", "text"),
+    ("<section class=comment-list><article class='comment-body'><p>" + "nice, " * 90 + "</p></article></section><div><p>text</p></div>", "text"),
+    ("<form id=page><div><input name=x><label>Name</label><p>" + "word, " * 40 + "</p></div></form>", ("word, " * 40).strip()),
+    ("<form><p>Name</p></form>", ""),
     ("<article><p>unclosed <a href='x", "unclosed"), ("<header><h1>Site</h1></header><article><header><h1>T</h1></header><p>x</p></article>", "T\n\nx"),
 ]
 
@@ -30,6 +43,37 @@ def test_main_text(page, text):
     assert html_extract.main_text(page) == text
 
 
+KEPT = [  # markup round the words of a block of the article
+    "<p>{}</p>", "<p class='market-share'>{}</p>", "<h2 id='related-work'>{}</h2>", "<h3 id=search>{}</h3>", "<ul><li>{}</li></ul>",
+    "<blockquote id=comment-1><p>{}</p></blockquote>", "<table><tr><td>{}</td></tr></table>", "<pre>{}</pre>", "<div class=text>{}</div>",
+    "<section id=related-methods><p>{}</p></section>", "<p><b>{}</b></p>", "<p id=footer>{}</p>", "<div class='no-ads'><p>{}</p></div>"]
+GONE = [  # markup round words that are not the article's
+    "<nav><p>{}</p></nav>", "<aside><p>{}</p></aside>", "<footer><p>{}</p></footer>", "<form><p>{}</p></form>", "<script>{}</script>",
+    "<style>{}</style>", "<div class='cookie-notice'><p>{}</p></div>", "<div class='ad'><p>{}</p></div>", "<div id=comments><p>{}</p></div>",
+    "<div role=navigation><p>{}</p></div>", "<div hidden><p>{}</p></div>", "<ul class=menu><li>{}</li></ul>", "<!-- {} -->",
+    "<ol class='comment-list'><li><article class='comment'><p>{}</p></article></ol>", "<div class='newsletter-signup'><p>{}</p></div>"]
+FRAMES = [
+    "<body><article>{}</article></body>", "<body><main><h1>Title</h1>{}</main></body>", "<body><div class='content has-sidebar'>{}</div></body>",
+    "<body><div id=wrap><div class='post comments-open'>{}</div></div></body>", "<body class='no-sidebar'>{}</body>"]
+
+
+@pytest.mark.parametrize("seed", range(300))
+def test_made_pages(seed):
+    """Pages put together from parts that are known to belong to the article or not."""
+    rng = random.Random(seed)
+    frame, parts, expected = rng.choice(FRAMES), [], []
+    for i in range(rng.randrange(3, 12)):
+        words = f"w{i} " + ", ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(rng.choice([1, 3, 20, 60])))
+        keep = rng.random() < 0.6 or not expected
+        part = rng.choice(KEPT if keep else GONE)
+        if "related-methods" in part and "no-sidebar" in frame:  # nothing tells such a section from a list of links
+            part = "<p>{}</p>"
+        parts.append(part.format(words))
+        expected += [words] if keep else []
+    title = ["Title"] if "Title" in frame else []
+    assert html_extract.main_text(frame.format("\n".join(parts))) == "\n\n".join(title + expected)
+
+
 def test_deep_and_long_pages():
     assert html_extract.main_text("<div>" * 20_000 + "deep" + "</div>" * 20_000) == "deep"
     assert len(html_extract.main_text("<article>" + "<p>some words</p>" * 50_000 + "</article>")) == 12 * 50_000 - 2

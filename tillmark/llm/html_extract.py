@@ -1,11 +1,14 @@
 """Main text of web pages by tree scoring.
 
 The page is read into a tree. Elements that never hold article text go first: menus, page headers, footers, sidebars,
-notices, adverts, forms, scripts, styles, hidden parts and reader comments, by tag, role and class words. Every
-paragraph then passes points for its length and its commas to its ancestors, in full to the parent and less to
-those above. A container's points are discounted by its link density. The best container, widened to the
-article around it, is kept together with those siblings that score a fair part of its points, read like running text or
-are its headings.
+notices, adverts, forms, scripts, styles, hidden parts and reader comments, by tag, role and class words. Paragraphs,
+headings, list items, quotes and inline elements are judged by whole class names only, never by their id. Names that
+tell of a page's layout (``has-sidebar``, ``related-work``) count for less: a content name beside them outweighs them, and
+so does running text within an article, or in a section of a container with a content name. If no text is left, such names are passed over, and forms that hold running text
+are opened. Every paragraph then passes points for its length and its commas to its ancestors, in full to the parent and
+less to those above. A container's points are discounted by its link density. The best container, widened to the
+article around it, is kept with those siblings that score a fair part of its points, are its headings, or hold text that
+is not mostly links, of any length; outside an article the same holds for what stands beside the containers around it.
 
 In the text character references are decoded, white space inside a block becomes one blank, and blocks are joined
 in page order by two line feeds. Nothing is cut off, whatever the length. Null, empty and text-free pages give an
@@ -45,7 +48,15 @@ JUNK_WORDS = frozenset(
     "related recommended recommendations alert announcement comment comments disqus reply replies respond commentlist widget widgets "
     "toolbar pagination pager login search skip".split())
 GOOD_WORDS = frozenset("article body content entry main page post text story blog column".split())
+LAYOUT_WORDS = frozenset(
+    "sidebar sidebars menu menus nav navbar navigation header masthead topbar banner share sharing social related "
+    "recommended widget widgets toolbar login search skip announcement alert alerts".split())
+COMMENT_WORDS = frozenset("comment comments disqus reply replies respond commentlist".split())
+STATES = frozenset("has with no without enabled disabled open closed".split())
 PROTECTED = frozenset("html body article main".split())
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote figcaption caption summary".split())
+BESIDE = TEXT_TAGS | frozenset("ul ol dl table figure details".split())
+SOFT, NAMED, HARD, COMMENT = 1, 2, 3, 4
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -59,13 +70,26 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 class Node:
     """An element; ``parts`` holds texts and elements in page order."""
 
-    __slots__ = ("tag", "parent", "parts", "junk", "good", "points", "length", "linked")
+    __slots__ = ("tag", "parent", "parts", "junk", "good", "points", "length", "linked", "texts")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent, self.parts = tag, parent, []
-        self.junk = self.good = False
+        self.junk = 0
+        self.good = False
         self.points = 0.0
-        self.length = self.linked = 0
+        self.length = self.linked = self.texts = 0
+
+
+def _mark(name: str, whole_only: bool) -> int:
+    """How strongly a class name or id speaks against its element."""
+    words = set(WORDS.findall(name))
+    if whole_only:
+        words &= {name}
+    if not words & JUNK_WORDS or words & STATES:
+        return 0
+    if words & COMMENT_WORDS:
+        return COMMENT if name in COMMENT_WORDS or words & GOOD_WORDS else HARD
+    return SOFT if name not in JUNK_WORDS and words & JUNK_WORDS <= LAYOUT_WORDS else HARD
 
 
 def _judge(node: Node, raw: str) -> None:
@@ -73,13 +97,22 @@ def _judge(node: Node, raw: str) -> None:
     if not raw or raw.isspace():
         return
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(raw)}
-    words = set(WORDS.findall(f"{found.get('class', '')} {found.get('id', '')}".lower()))
-    node.good = bool(words & GOOD_WORDS)
+    classes, name = found.get("class", "").lower().split(), found.get("id", "").strip().lower()
+    node.good = bool(set(WORDS.findall(" ".join([*classes, name]))) & GOOD_WORDS)
+    text_like = node.tag in TEXT_TAGS or node.tag not in BLOCK
+    junk = max((_mark(c, text_like) for c in classes), default=0)
+    if not text_like:
+        mark = _mark(name, False)
+        junk = max(junk, NAMED if mark == HARD and name in LAYOUT_WORDS else mark)
+        content = any(set(WORDS.findall(c)) and set(WORDS.findall(c)) <= GOOD_WORDS for c in [*classes, name])
+        if junk == SOFT and content:
+            junk = 0
     if node.tag in PROTECTED:
+        node.junk = COMMENT if junk == COMMENT and node.tag == "article" else 0
         return
-    node.junk = (
-        bool(words & JUNK_WORDS) or found.get("role", "").lower() in ROLES or "hidden" in found
-        or found.get("aria-hidden", "").lower() == "true" or bool(HIDDEN.search(found.get("style", ""))))
+    hidden = (found.get("role", "").lower() in ROLES or "hidden" in found
+              or found.get("aria-hidden", "").lower() == "true" or bool(HIDDEN.search(found.get("style", ""))))
+    node.junk = max(junk, HARD if hidden else 0)
 
 
 def parse(html: str) -> Node:
@@ -164,24 +197,59 @@ def _ordered(root: Node) -> list[Node]:
     return out
 
 
-def prune(root: Node) -> None:
-    """Take out what never holds article text, except around an article or main element."""
+def _measure(nodes: list[Node]) -> None:
+    """Characters, characters within links, and paragraphs of all elements; ``nodes`` has parents first."""
+    for x in reversed(nodes):
+        x.length = sum(len(p.strip()) if isinstance(p, str) else 0 if p.tag in RAW else p.length for p in x.parts)
+        inner = [p for p in x.parts if isinstance(p, Node)]
+        x.linked = x.length if x.tag == "a" else sum(p.linked for p in inner)
+        x.texts = sum(p.texts for p in inner) + (x.tag == "p" and x.length > 0)
+
+
+def _running(x: Node, least: int) -> bool:
+    """Whether an element holds paragraphs that are not mostly links."""
+    return x.texts > 0 and x.length >= least and x.linked < 0.25 * x.length
+
+
+def prune(root: Node, loose: bool = False) -> None:
+    """Take out what never holds article text, except around an article or main element.
+
+    ``loose`` passes over names that only tell of the layout, and opens forms with running text.
+    """
     nodes = _ordered(root)
+    _measure(nodes)
+    commented: set[int] = set()
+    inside: set[int] = set()
     holds: set[int] = set()
+    named: set[int] = set()
     for x in nodes:
-        if x.tag in ("article", "main"):
-            y = x.parent
+        above = id(x.parent) if x.parent is not None else None
+        if x.junk == COMMENT or above in commented:
+            commented.add(id(x))
+        elif x.tag in ("article", "main") or above in inside:
+            inside.add(id(x))
+            y = x.parent if x.tag in ("article", "main") else None
             while y is not None and id(y) not in holds:
                 holds.add(id(y))
                 y = y.parent
-    inside: set[int] = set()
-    for x in nodes:
-        if x.tag in ("article", "main") or x.parent is not None and id(x.parent) in inside:
-            inside.add(id(x))
+        if x.good and not x.junk and x.tag not in ("body", "html") or above in named:
+            named.add(id(x))
+
+    def goes(p: Node) -> bool:
+        if p.junk == COMMENT:
+            return True
+        if id(p) in holds:
+            return False
+        if p.tag in DROPPED:
+            return not (loose and p.tag == "form" and p.junk < HARD and _running(p, 200))
+        if p.tag == "header" and id(p) not in inside:
+            return True
+        if (id(p) in inside or p.tag == "section" and id(p) in named) and _running(p, 1):
+            return p.junk == HARD
+        return p.junk >= NAMED or p.junk == SOFT and not loose
+
     for x in nodes:
-        x.parts = [
-            p for p in x.parts if isinstance(p, str)
-            or not ((p.tag in DROPPED or p.junk) and id(p) not in holds or p.tag == "header" and id(p) not in inside | holds)]
+        x.parts = [p for p in x.parts if isinstance(p, str) or not goes(p)]
 
 
 def _direct_text(x: Node) -> str:
@@ -201,9 +269,8 @@ def _direct_text(x: Node) -> str:
 def grade(root: Node) -> list[Node]:
     """Lengths, link lengths and points of all elements; returned parents first."""
     nodes = _ordered(root)
+    _measure(nodes)
     for x in reversed(nodes):
-        x.length = sum(len(p.strip()) if isinstance(p, str) else p.length for p in x.parts)
-        x.linked = x.length if x.tag == "a" else sum(p.linked for p in x.parts if isinstance(p, Node))
         if x.tag in BLOCK and x.length:
             text = " ".join(unescape(_direct_text(x)).split())
             if text:
@@ -219,8 +286,16 @@ def grade(root: Node) -> list[Node]:
     return nodes
 
 
-def best_containers(root: Node) -> list[Node]:
-    """The best container and the siblings that belong to it, in page order."""
+def _belongs(x: Node, least: float) -> bool:
+    """Whether an element beside the best container is part of the article."""
+    density = x.linked / x.length if x.length else 1.0
+    if x.tag in ("h1", "h2"):
+        return density < 0.25
+    return density < 0.5 and (x.points >= least or x.good or x.texts > 0 or x.tag in BESIDE or x.tag not in BLOCK)
+
+
+def best_containers(root: Node) -> list[Node | str]:
+    """The best container and what belongs to it beside and around it, in page order."""
     nodes = grade(root)
     best = max(nodes, key=lambda x: x.points)  # of equal ones the outermost, first one
     x = best
@@ -229,23 +304,22 @@ def best_containers(root: Node) -> list[Node]:
             best = x
             break
         x = x.parent
-    if best.parent is None or best.tag in ("body", "html"):
-        return [best]
     least = max(10.0, 0.2 * best.points)
-    kept = []
-    for sibling in best.parent.parts:
-        if isinstance(sibling, str):
-            continue
-        density = sibling.linked / sibling.length if sibling.length else 1.0
-        if sibling is best or sibling.points >= least and density < 0.5 or (
-                sibling.tag == "p" and density < 0.25 and sibling.length > 80) or (
-                sibling.tag in ("h1", "h2") and density < 0.25):
-            kept.append(sibling)
+    kept: list[Node | str] = [best]
+    at = best
+    while at.parent is not None and at.tag not in ("body", "html"):
+        place = next(i for i, p in enumerate(at.parent.parts) if p is at)
+        before, after = ([p for p in side if (p.strip() if isinstance(p, str) else p.length and _belongs(p, least))]
+                         for side in (at.parent.parts[:place], at.parent.parts[place + 1:]))
+        kept = before + kept + after
+        if best.tag in ("article", "main"):
+            break
+        at = at.parent
     return kept
 
 
-def blocks(container: Node) -> list[str]:
-    """The texts of the blocks of a container, in page order."""
+def blocks(containers: list[Node | str]) -> list[str]:
+    """The texts of the blocks of containers, in page order; bare text and inline elements join up."""
     out: list[str] = []
     held: list[str] = []
 
@@ -255,7 +329,7 @@ def blocks(container: Node) -> list[str]:
             out.append(text)
         held.clear()
 
-    stack: list = [container]
+    stack: list = containers[::-1]
     while stack:
         x = stack.pop()
         if x is None:
@@ -277,9 +351,13 @@ def main_text(html: str | None) -> str:
     """The main text of one page."""
     if not html:
         return ""
-    root = parse(html)
-    prune(root)
-    return "\n\n".join(b for c in best_containers(root) for b in blocks(c))
+    for loose in (False, True):
+        root = parse(html)
+        prune(root, loose)
+        text = "\n\n".join(blocks(best_containers(root)))
+        if text:
+            break
+    return text
 
 
 def extract(pages: DataFrame, html_col: str = "html", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
