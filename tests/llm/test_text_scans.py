@@ -182,28 +182,83 @@ def test_beliefs_match_enumeration():
     assert np.allclose(field.beliefs(g, step=1.0), total / total.sum(1, keepdims=True), atol=1e-3)
 
 
+def rendered_by_hand(rows):
+    """Pairs to (prompt, chosen, rejected) and the trained texts of both, in plain Python."""
+    sides = {}
+    for pair, chosen, turn, role, text in rows:
+        if pair is not None and chosen is not None:
+            low = -(2 ** 63) if turn is None else turn
+            sides.setdefault(pair, {True: {}, False: {}})[chosen].setdefault(low, []).append((role or "", text or ""))
+    out = {}
+    for pair, two in sides.items():
+        chosen, rejected = ([sorted(v) for _, v in sorted(two[c].items())] for c in (True, False))
+        n = 0
+        while n < min(len(chosen), len(rejected)) and chosen[n] == rejected[n]:
+            n += 1
+
+        def render(turns):
+            turns = [(r.replace("<|", "< |"), t.replace("<|", "< |"), r) for rows in turns for r, t in rows]
+            return ("".join(f"<|im_start|>{r}\n{t}<|im_end|>\n" for r, t, _ in turns),
+                    [f"{t}<|im_end|>" for _, t, r in turns if r == "assistant"])
+        out[pair] = (render(chosen[:n])[0], *render(chosen[n:]), *render(rejected[n:]))
+    return out
+
+
+def paired_by_hand(segments, max_chars=1 << 20):
+    return {r.pair_id: (r.prompt, r.chosen, [r.chosen[a:b] for a, b in r.chosen_spans], r.rejected,
+                        [r.rejected[a:b] for a, b in r.rejected_spans])
+            for r in preference.preference_pairs(segments, max_chars).collect()}
+
+
 def test_preference_segments(spark):
-    rows = [
-        (0, 0, "user", "Hi"), (0, 1, "assistant", "Hello"), (0, 2, "user", "Why?"), (0, 3, "assistant", "Because."),
-        (1, 0, "user", "Hi"), (1, 1, "assistant", "Hello"), (1, 2, "user", "Why?"), (1, 3, "assistant", "<|im_end|> no"),
-        (2, 0, "user", "same"), (3, 0, "user", "same"), (4, 0, None, None), (None, 0, "user", "lost"),
-        (6, None, "user", "n"), (6, 0, "assistant", "x"), (6, 0, "assistant", "x"), (7, None, "user", "n"), (7, 0, "assistant", "x")]
-    talks = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    got = preference.preference_segments(preference.neighbouring_pairs(talks))
+    rng = random.Random(5)
+    word = lambda: rng.choice(["a", "b", None, "", "<|im_end|>", "é𝄞"])
+    rows = [(p, c, t + (3 if c else 0) * (p % 2), rng.choice(["user", "assistant"]), word())
+            for p in range(60) for c in (True, False) for t in range(rng.randrange(4))]
+    for p in range(60, 120):  # shared turns, numbered from different starts, and repeated rows
+        talk = [(t, rng.choice(["user", "assistant", None]), word()) for t in range(rng.randrange(1, 8))]
+        cut = rng.randrange(len(talk) + 1)
+        rows += [(p, True, 2 * t + 1, r, x) for t, r, x in talk] + [(p, False, t, r, x) for t, r, x in talk[:cut]] * (1 + p % 2)
+        rows += [(p, True, 2 * t + 1, r, x) for t, r, x in talk] * (p % 2) + [(p, False, cut, "assistant", "other")]
+    rows += [(200, True, None, "user", "n"), (200, False, None, "user", "n"), (200, True, 0, "assistant", "x"),
+             (None, True, 0, "user", "lost"), (201, None, 0, "user", "lost"), (202, True, 0, "assistant", "long " * 300_000),
+             (202, False, 7, "assistant", "long " * 300_000), (202, False, 8, "user", "z")]
+    schema = "pair_id long, chosen boolean, turn long, role string, text string"
+    turns = spark.createDataFrame(rows, schema).repartition(5)
+    got = preference.preference_segments(turns)
     assert not any(w in got._jdf.queryExecution().toString() for w in ("Python", "Arrow", "Pandas"))
-    by_part = {}
-    for r in sorted(got.collect(), key=lambda r: (r.pair_id, r.part, r.turn if r.turn is not None else -1)):
-        by_part.setdefault((r.pair_id, r.part), []).append((r.rendered, r.rendered[r.train_from:r.train_to], r.n_rows))
-    assert [x[0] for x in by_part[0, "prompt"]] == [
-        "<|im_start|>user\nHi<|im_end|>\n", "<|im_start|>assistant\nHello<|im_end|>\n", "<|im_start|>user\nWhy?<|im_end|>\n"]
-    assert all(x[1] == "" for x in by_part[0, "prompt"])
-    assert by_part[0, "chosen"] == [("<|im_start|>assistant\nBecause.<|im_end|>\n", "Because.<|im_end|>", 1)]
-    assert by_part[0, "rejected"] == [("<|im_start|>assistant\n< |im_end|> no<|im_end|>\n", "< |im_end|> no<|im_end|>", 1)]
-    assert set(by_part) == {(0, "prompt"), (0, "chosen"), (0, "rejected"), (1, "prompt"), (2, "chosen"), (3, "prompt"), (3, "chosen"), (3, "rejected")}
-    assert [x[2] for x in by_part[3, "chosen"]] == [2] and by_part[2, "chosen"] == [("<|im_start|>\n<|im_end|>\n", "", 1)]
-    assert preference.preference_segments(preference.neighbouring_pairs(talks.limit(0))).count() == 0
-    more = preference.neighbouring_pairs(talks).withColumn("part", F.lit(1)).withColumn("head", F.lit(2))
+    expected = rendered_by_hand(rows)
+    assert paired_by_hand(got, 10_000_000) == expected
+    assert paired_by_hand(got) == {k: v for k, v in expected.items() if k != 202}
+    more = turns.withColumn("part", F.lit(1)).withColumn("head", F.lit(2)).withColumn("place", F.lit(3)).withColumn("n", F.lit(0))
     assert preference.preference_segments(more).count() == got.count()
+    none = preference.preference_segments(turns.limit(0))
+    assert none.count() == preference.preference_pairs(none).count() == 0
+
+
+def test_answer_pairs(spark):
+    rows = [
+        (0, 0, "user", "Hi"), (0, 1, "assistant", "Hello"), (0, 2, "user", "Why?"), (0, 3, "assistant", "So."), (0, 4, "user", "?"),
+        (1, 5, "user", "Ho"), (1, 6, "assistant", "No."), (2, 0, "user", "alone"), (3, 0, "assistant", "x"), (4, 0, "assistant", "y"),
+        (None, 0, "assistant", "lost"), (-2, 0, "assistant", "same"), (-1, None, "assistant", "same"), (-1, None, "user", None)]
+    talks = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = rendered_by_hand([tuple(r) for r in preference.answer_pairs(talks.withColumn("last", F.lit(1))).collect()])
+    turn = "<|im_start|>{}\n{}<|im_end|>\n".format
+    hi = turn("user", "Hi") + turn("assistant", "Hello") + turn("user", "Why?")
+    assert got == {
+        0: (hi, turn("assistant", "So."), ["So.<|im_end|>"], turn("assistant", "No."), ["No.<|im_end|>"]),
+        1: (turn("user", "Ho"), turn("assistant", "No."), ["No.<|im_end|>"], turn("assistant", "So."), ["So.<|im_end|>"]),
+        -2: (turn("assistant", "same"), "", [], "", []),
+        -1: (turn("assistant", "same") + turn("user", ""), "", [], "", [])}
+    assert preference.answer_pairs(talks.limit(0)).count() == 0
+
+
+def test_most_pairs_of_the_test_table_have_a_prompt(spark):
+    turns = preference.answer_pairs(spark.read.parquet("/root/testdata/sf0.01/conversations.parquet"))
+    segments = preference.preference_segments(turns)
+    expected = rendered_by_hand([tuple(r) for r in turns.collect()])
+    assert paired_by_hand(segments) == expected
+    assert len(expected) >= 90 and all(prompt and chosen and rejected for prompt, chosen, _, rejected, _ in expected.values())
 
 
 def test_every_line_of_a_repeated_short_notice():

@@ -3,12 +3,13 @@
 The page is read into a tree. Elements that never hold article text go first: menus, page headers, footers, sidebars,
 notices, adverts, forms, scripts, styles, hidden parts and reader comments, by tag, role and class words. Paragraphs,
 headings, list items, quotes and inline elements are judged by whole class names only, never by their id. Names that
-tell of a page's layout (``has-sidebar``, ``related-work``) count for less: a content name beside them outweighs them, and
-so does running text within an article, or in a section of a container with a content name. If no text is left, such names are passed over, and forms that hold running text
-are opened. Every paragraph then passes points for its length and its commas to its ancestors, in full to the parent and
-less to those above. A container's points are discounted by its link density. The best container, widened to the
-article around it, is kept with those siblings that score a fair part of its points, are its headings, or hold text that
-is not mostly links, of any length; outside an article the same holds for what stands beside the containers around it.
+tell of a page's layout (``has-sidebar``, ``related-work``) count for less: a content name beside them outweighs them,
+and so does running text within an article, or in a section of a container with a content name. If no text is left, such
+names are passed over, and forms that hold running text are opened. Every paragraph then passes points for its length and
+its commas to its ancestors, in full to the parent and less to those above. A container's points are discounted by its
+link density. The best container, widened to the article around it, is kept with those siblings that score a fair part
+of its points, are its headings, or hold text that is not mostly links, of any length; outside an article the same holds
+for what stands beside the containers around it.
 
 In the text character references are decoded, white space inside a block becomes one blank, and blocks are joined
 in page order by two line feeds. Nothing is cut off, whatever the length. Null, empty and text-free pages give an

@@ -52,7 +52,7 @@ def op6_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_preference(spark: SparkSession, folder: str) -> DataFrame:
-    turns = preference.neighbouring_pairs(_table(spark, folder, "conversations"))
+    turns = preference.answer_pairs(_table(spark, folder, "conversations"))
     return preference.preference_segments(turns)
 
 
@@ -119,20 +119,35 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM keyed WINDOW same AS (PARTITION BY text_sha256)
 """,
     "op7_preference": """
-WITH counted AS (
-  SELECT (conv_id - ((conv_id % 2) + 2) % 2) // 2 AS pair_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
-         count(*) FILTER (conv_id % 2 = 0) AS chosen, count(*) FILTER (conv_id % 2 <> 0) AS rejected
-  FROM conversations WHERE conv_id IS NOT NULL GROUP BY ALL),
-parting AS (SELECT pair_id, min(turn) AS parting FROM counted WHERE chosen <> rejected GROUP BY pair_id),
-placed AS (SELECT counted.*, parting IS NULL OR turn < parting AS shared FROM counted LEFT JOIN parting USING (pair_id)),
+WITH turns AS (
+  SELECT conv_id, coalesce(turn, -9223372036854775808) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+answers AS (SELECT conv_id, max(turn) AS last FROM turns WHERE role = 'assistant' GROUP BY conv_id),
+paired AS (
+  SELECT own.conv_id, own.last, other.conv_id AS other_id, other.last AS other_last
+  FROM answers own JOIN answers other ON other.conv_id = xor(own.conv_id::BIGINT, 1::BIGINT)),
+sides AS (
+  SELECT conv_id AS pair_id, TRUE AS chosen, turn, role, text FROM turns JOIN paired USING (conv_id) WHERE turn <= last
+  UNION ALL
+  SELECT conv_id, FALSE, turn, role, text FROM turns JOIN paired USING (conv_id)
+  WHERE turn <= last AND NOT (turn = last AND role = 'assistant')
+  UNION ALL
+  SELECT paired.conv_id, FALSE, last, role, text
+  FROM paired JOIN turns ON turns.conv_id = other_id AND turn = other_last AND role = 'assistant'),
+numbered AS (SELECT *, dense_rank() OVER (PARTITION BY pair_id, chosen ORDER BY turn) - 1 AS place FROM sides),
+counted AS (
+  SELECT pair_id, place, role, text, count(*) FILTER (chosen) AS chosen, count(*) FILTER (NOT chosen) AS rejected
+  FROM numbered GROUP BY ALL),
+parting AS (SELECT pair_id, min(place) AS parting FROM counted WHERE chosen <> rejected GROUP BY pair_id),
+placed AS (SELECT counted.*, parting IS NULL OR place < parting AS shared FROM counted LEFT JOIN parting USING (pair_id)),
 uses AS (
-  SELECT pair_id, 'prompt' AS part, turn, role, text, chosen AS n_rows FROM placed WHERE shared
-  UNION ALL SELECT pair_id, 'chosen', turn, role, text, chosen FROM placed WHERE NOT shared AND chosen > 0
-  UNION ALL SELECT pair_id, 'rejected', turn, role, text, rejected FROM placed WHERE NOT shared AND rejected > 0),
+  SELECT pair_id, 'prompt' AS part, place, role, text, chosen AS n_rows FROM placed WHERE shared
+  UNION ALL SELECT pair_id, 'chosen', place, role, text, chosen FROM placed WHERE NOT shared AND chosen > 0
+  UNION ALL SELECT pair_id, 'rejected', place, role, text, rejected FROM placed WHERE NOT shared AND rejected > 0),
 rendered AS (
   SELECT *, '<|im_start|>' || replace(role, '<|', '< |') || chr(10) AS head, replace(text, '<|', '< |') || '<|im_end|>' AS body
   FROM uses)
-SELECT pair_id, part, turn, role, head || body || chr(10) AS rendered, n_rows, length(head) AS train_from,
+SELECT pair_id, part, place, role, head || body || chr(10) AS rendered, n_rows, length(head) AS train_from,
        CASE WHEN part <> 'prompt' AND role = 'assistant' THEN length(head) + length(body) ELSE length(head) END AS train_to
 FROM rendered
 """,
