@@ -5,6 +5,7 @@ import html as entities
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,6 +146,31 @@ def test_damaged_archive(spark, tmp_path):
         warc.read_archives(spark.createDataFrame([(str(broken),)], "archive string")).collect()
 
 
+def test_lost_trailer(tmp_path):
+    """An archive without the last bytes of its last gzip member is refused, though all of its payload is there."""
+    writer = warc.ArchiveWriter(str(tmp_path), 1 << 30)
+    for i in range(3):
+        writer.add({"target": str(i), "url": "u", "size": 3, "digest": hashlib.sha256(b"abc").hexdigest(), "refers_to": None,
+                    "chunk_no": 0, "data": b"abc", "last": True})
+    writer.close()
+    data = open(writer.done[0][0], "rb").read()
+    for cut in range(9):
+        source = pa.BufferReader(data[:len(data) - cut])
+        if cut:
+            with pytest.raises(ValueError, match="ends inside"):
+                list(warc.archive_rows("a", source, 100, True))
+        else:
+            assert [r["data"] for r in warc.archive_rows("a", source, 100, True)] == [b"abc"] * 3
+
+
+def test_revisits_name_the_record_they_refer_to():
+    fields = lambda head: dict(x.split(b": ", 1) for x in head.split(b"\r\n\r\n")[0].split(b"\r\n")[1:])
+    first = fields(warc.record_head("1", "u", 200, "d", None))
+    later = [fields(warc.record_head("2", "u", 200, "d", "1")) for _ in range(2)]
+    assert [x[b"WARC-Refers-To"] for x in later] == [first[b"WARC-Record-ID"]] * 2
+    assert len({x[b"WARC-Record-ID"] for x in [first, *later]}) == 3
+
+
 def test_no_pages(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     manifest = warc.write_archives(warc.record_chunks(pages))

@@ -69,12 +69,18 @@ def record_chunks(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
         ((F.col("chunk_no") + 1) * F.lit(chunk_bytes).cast("long") >= F.col("body")).alias("last"))
 
 
+def record_id(target: str | None, digest: str) -> str:
+    """The id of the response that revisits of a payload refer to, or of a row's own record."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{target} {digest}')}>"
+
+
 def record_head(target: str | None, url: str | None, size: int, digest: str, refers_to: str | None) -> bytes:
     """The WARC header of a record and the HTTP header that its block begins with."""
     http = (f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n").encode()
     fields = [
         ("WARC-Type", "revisit" if refers_to is not None else "response"),
-        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{target} {digest}')}>"),
+        # a revisit is referred to by no record, so its id can be drawn and differs between repeated rows
+        ("WARC-Record-ID", record_id(target, digest) if refers_to is None else f"<urn:uuid:{uuid.uuid4()}>"),
         ("WARC-Date", "1970-01-01T00:00:00Z"),
         ("WARC-Target-URI", (url or "").replace("\r", "%0D").replace("\n", "%0A")),
         ("WARC-Payload-Digest", f"sha256:{digest}"),
@@ -87,7 +93,7 @@ def record_head(target: str | None, url: str | None, size: int, digest: str, ref
         fields.append(("X-No-URI", "1"))
     if refers_to is not None:
         fields += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-                   ("X-Refers-To-Id", refers_to)]
+                   ("WARC-Refers-To", record_id(refers_to, digest)), ("X-Refers-To-Id", refers_to)]
     return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields).encode() + LINE + http
 
 
@@ -150,16 +156,17 @@ def write_archives(chunks: DataFrame, folder: str | None = None, archive_bytes:
 def member_bytes(source: pa.NativeFile) -> Iterator[bytes]:
     """The bytes of all gzip members of a file, in pieces of bounded size."""
     inflate = zlib.decompressobj(wbits=31)
-    pending = b""
+    pending, begun = b"", False
     while True:
         if not pending:
             pending = source.read(BUFFER)
             if not pending:
-                if inflate.unused_data == b"" and not inflate.eof and inflate.unconsumed_tail:
+                if begun and not inflate.eof:
                     raise ValueError("archive ends inside a record")
                 return
         if inflate.eof:
             inflate = zlib.decompressobj(wbits=31)
+        begun = True
         piece = inflate.decompress(pending, BUFFER)
         pending = inflate.unused_data if inflate.eof else inflate.unconsumed_tail
         if piece:
