@@ -43,3 +43,10 @@ def test_only_plain_functions(spark):
     for df in (exact_dedup.dedup_decisions(docs), exact_dedup.drop_exact_copies(docs)):
         plan = df._jdf.queryExecution().toString()
         assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "CartesianProduct"))
+
+
+def test_names_with_dots(spark):
+    docs = spark.createDataFrame([(1, "a", 1), (2, "A", 1)], "`doc.id` long, `a.text` string, doc long")
+    found = exact_dedup.dedup_decisions(docs, "doc.id", "a.text").collect()
+    assert {(r.doc_id, r.keep_id, r.kept) for r in found} == {(1, 2, False), (2, 2, True)}
+    assert [tuple(r) for r in exact_dedup.drop_exact_copies(docs, "doc.id", "a.text").collect()] == [(2, "A", 1)]

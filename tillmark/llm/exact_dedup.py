@@ -60,7 +60,7 @@ def verified_winners(keyed: DataFrame, tracked: int = 8192) -> DataFrame:
 def dedup_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tracked: int = 8192) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, digest."""
     keyed = materialize(docs.select(
-        F.col(id_col).alias("doc_id"), text_digest(F.col(text_col)).alias("digest"),
+        F.col(f"`{id_col}`").alias("doc_id"), text_digest(F.col(f"`{text_col}`")).alias("digest"),
         F.monotonically_increasing_id().alias("row_no")), "digests")
     winners = verified_winners(keyed, tracked)
     frequent = keyed.join(F.broadcast(winners), "digest")
