@@ -305,6 +305,8 @@ ORACLE: dict[str, str] = {
     # updates
     "update_price": _with("goods", """SELECT * REPLACE (CAST(CASE category WHEN 'PROMO' THEN price * 1.10 ELSE price END
         AS DECIMAL(10,2)) AS price) FROM goods"""),
+    "publish_price_changes": _with("goods", """SELECT * REPLACE (CAST(CASE category WHEN 'PROMO' THEN price * 1.10 ELSE price END
+        AS DECIMAL(10,2)) AS price) FROM goods"""),
     "add_column_default": _with("staff", "SELECT *, DATE '1995-08-01' AS hire_date FROM staff"),
     "update_salary": _with("staff", """SELECT employee_id, name, role, store_id,
         CAST(CASE WHEN hire_date <= TIMESTAMP '1995-06-01' THEN salary * 1.15 ELSE salary END AS DECIMAL(10,2)) AS salary,

@@ -17,6 +17,7 @@ from tillmark.schema import PAYMENT_METHODS, TABLES, Reference
 from tillmark.session import scratch_path
 from tillmark.sinks import files, jobs
 from tillmark.sinks.tables import create_report_functions, create_report_views, create_table
+from tillmark.sinks.versions import publish_changes, publish_whole
 from tillmark.sources import csv, tables
 from tillmark.sources.retail import Retail
 from tillmark.streaming.stock import guard_arriving_items
@@ -549,6 +550,15 @@ def update_price(r: Retail) -> DataFrame:
     return writes.raise_prices(r.products, "PROMO")
 
 
+@query
+def publish_price_changes(r: Retail) -> DataFrame:
+    """The price rise as a new version that takes over the files of all other categories."""
+    base = _scratch(r, "versions")
+    stored = publish_whole(r.products.repartitionByRange(8, "category", "product_id"), "priced_products", base, "1")
+    promoted = stored.filter(F.col("category") == "PROMO")
+    return publish_changes(stored, "priced_products", base, "2", "product_id", writes.raise_prices(promoted, "PROMO"))
+
+
 @query
 def add_column_default(r: Retail) -> DataFrame:
     return writes.add_hire_date(r.employees, TODAY)
