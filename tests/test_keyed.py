@@ -6,14 +6,15 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tillmark.operators import keyed
+from tillmark.operators import keyed, writes
 
-WAYS = {"small": (100_000, 500), "plain": (0, 10**9), "hot": (0, 20)}
+WAYS = {"small": (100_000, 500, 0), "bitmap": (0, 20, 1 << 26), "plain": (0, 10**9, 0), "hot": (0, 20, 0)}
 
 
 @pytest.fixture(params=sorted(WAYS))
 def way(request, monkeypatch):
-    limit, least = WAYS[request.param]
+    limit, least, bitmap = WAYS[request.param]
+    monkeypatch.setattr(keyed, "BITMAP_BYTES", bitmap)
     monkeypatch.setattr(keyed, "BROADCAST_ROWS", limit)
     monkeypatch.setattr(keyed, "HOT_MIN_ROWS", least)
     return request.param
@@ -117,3 +118,44 @@ def test_size_check_weighs_text(spark, monkeypatch):
 def test_shared_names_are_refused(spark):
     with pytest.raises(ValueError):
         keyed.lookup_join(spark.range(1), spark.range(1), "id", "id")
+
+
+def test_bitmap_holds_exactly_its_keys(spark):
+    draw = random.Random(9)
+    edges = [0, 1, 63, 64, 4095, 4096, -1, -64, -65, -4096, -4097, 2**62, -(2**63), 2**63 - 1]
+    keys = [k for k in edges if draw.random() < 0.5] + [draw.randrange(-9000, 9000) for _ in range(3000)] + [None, 5, 5]
+    asked = [*edges, None, *range(-9500, 9500)]
+    bitmap = keyed.key_bitmap(spark.createDataFrame([(k,) for k in keys], "k bigint"), "k")
+    fact = spark.createDataFrame([(a,) for a in asked], "a bigint")
+    held = set(keys) - {None}
+    for how, wanted in (("left_semi", [a for a in asked if a in held]), ("left_anti", [a for a in asked if a not in held])):
+        found = keyed.lookup_join(fact, bitmap.select(F.col(bitmap.columns[0]).alias("k")), "a", "k", how, small=False, bitmap=bitmap)
+        assert bag(found) == collections.Counter((a,) for a in wanted)
+    assert keyed.key_bitmap(spark.createDataFrame([("x",)], "k string"), "k") is None
+    assert keyed.key_bitmap(spark.range(0), "id").isEmpty()
+
+
+def test_a_large_dense_key_set_reaches_the_scan(spark, monkeypatch):
+    """300,000 keys: no exchange of the large side; keys too thinly spread take the shuffle join."""
+    fact = spark.range(0, 1_000_000, 1, 8).select(F.col("id").alias("n"), (F.col("id") % 600_000).alias("k"))
+    keys = spark.range(0, 600_000, 2, 4).toDF("key")
+    for how, rows in (("left_semi", 500_000), ("left_anti", 500_000)):
+        found = keyed.lookup_join(fact, keys, "k", "key", how)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+        assert found.count() == rows
+    monkeypatch.setattr(keyed, "BITMAP_BYTES", 600 * 100)
+    assert keyed.key_bitmap(keys, "key") is None
+    assert keyed.lookup_join(fact, keys, "k", "key", "left_semi", hot=None).count() == 500_000
+
+
+def test_cascade_over_many_keys_does_not_shuffle_the_items(spark, monkeypatch):
+    monkeypatch.setattr(keyed, "BROADCAST_ROWS", 100)
+    orders = spark.range(0, 20_000, 1, 4).select(F.col("id").alias("order_id"), (F.col("id") % 50).alias("customer_id"))
+    items = spark.range(0, 60_000, 1, 8).select(F.col("id").alias("order_item_id"), (F.col("id") % 20_000).alias("order_id"))
+    doomed = orders.filter("order_id % 3 = 0").select("order_id")
+    states = writes.cascade_delete({"orders": orders, "order_items": items}, {"orders": doomed})
+    plan = states["order_items"]._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert bag(states["order_items"]) == collections.Counter((n, n % 20_000) for n in range(60_000) if n % 20_000 % 3)
+    assert states["orders"].count() == 13_333

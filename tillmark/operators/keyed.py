@@ -1,16 +1,18 @@
 """Joins on one key against a table where that key is unique.
 
 Every join of this library looks up rows of a large table (orders, items) in a table
-with a unique key (customers, products, a set of keys). Three ways, by measured size:
+with a unique key (customers, products, a set of keys). Four ways, by measured size:
 
 1. the unique side is small (counted and weighed): broadcast it, no shuffle at all;
-2. no key is hot: leave the shuffle join to Catalyst and adaptive execution;
-3. some keys are hot (one customer may own a third of all orders, or a third may have a
+2. only a set of whole numbers is asked for (semi and anti joins) and its bitmap is small: broadcast
+   that, 64 keys to a word, so that dense keys of a hundred million rows reach the scan;
+3. no key is hot: leave the shuffle join to Catalyst and adaptive execution;
+4. some keys are hot (one customer may own a third of all orders, or a third may have a
    NULL customer): rows of a hot key are spread over several salts, and only the
    matching rows of the unique side are repeated, once per salt.
 
 Hot keys are estimated on a sample of the key column. The estimate decides how rows are
-spread, never which rows come out: every row takes part in the join in all three ways.
+spread, never which rows come out: every row takes part in the join in all four ways.
 
 The two sides must not share column names (rename before the join).
 """
@@ -30,6 +32,8 @@ from tillmark.session import materialize
 
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+BITMAP_BYTES = 64 * 1024 * 1024
+BITMAP_BUCKET_BYTES = 600  # 64 words of 64 keys, and what a broadcast row costs beside them
 HOT_SHARE = 0.002  # a key with a larger share of the rows is hot ...
 HOT_FAIR_SHARES = 3  # ... and so is one with more rows than this many tasks get on average
 HOT_SAMPLE_ROWS = 1_000_000
@@ -38,6 +42,7 @@ MEASURE = "measure"  # hot keys are to be looked for
 HOT_MIN_ROWS = 500  # fewer rows than this never make a key hot
 
 _HOT, _COPIES, _SALT = "_hot_key", "_copies", "_salt"
+_BUCKET, _WORDS = "_bitmap_bucket", "_bitmap_words"
 
 
 class Size(NamedTuple):
@@ -88,6 +93,37 @@ def fits_broadcast(df: DataFrame) -> bool:
     return size <= BROADCAST_BYTES
 
 
+def key_bitmap(keys: DataFrame, key: str) -> DataFrame | None:
+    """The set of whole numbers in ``keys.key`` as buckets of 64 words of 64 bits; NULLs are left out.
+
+    None if the keys are of another type, or so thinly spread that the bitmap would be more than ``BITMAP_BYTES``: that
+    is estimated before it is built, and counted when it is written.
+    """
+    if not isinstance(keys.schema[key].dataType, T.IntegralType):
+        return None
+    number = F.col(key).cast("bigint")
+    line = BITMAP_BYTES // BITMAP_BUCKET_BYTES
+    if keys.agg(F.approx_count_distinct(F.shiftright(number, 12), 0.02)).first()[0] > 1.1 * line:
+        return None
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), number.bitwiseAND(F.lit(63)).cast("int"))
+    words = keys.filter(F.col(key).isNotNull()).groupBy(F.shiftright(number, 6).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    place = F.col("_word").bitwiseAND(F.lit(63)).cast("int")
+    buckets = words.groupBy(F.shiftright("_word", 6).alias(_BUCKET)).agg(
+        F.map_from_entries(F.collect_list(F.struct(place, F.col("_bits")))).alias("_held"))
+    filled = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.coalesce(F.try_element_at("_held", i), F.lit(0).cast("bigint")))
+    bitmap = written(buckets.select(_BUCKET, filled.alias(_WORDS)), "bitmap")
+    return bitmap if row_count(bitmap) <= line else None
+
+
+def _by_bitmap(fact: DataFrame, bitmap: DataFrame, fact_key: str, how: str) -> DataFrame:
+    number = F.col(fact_key).cast("bigint")
+    word = F.get(F.col(_WORDS), F.shiftright(number, 6).bitwiseAND(F.lit(63)).cast("int"))
+    bit = F.call_function("shiftright", word, number.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1))
+    listed = F.coalesce(bit == 1, F.lit(False))
+    marked = fact.join(F.broadcast(bitmap), F.shiftright(number, 12) == F.col(_BUCKET), "left")
+    return marked.filter(listed if how == "left_semi" else ~listed).drop(_BUCKET, _WORDS)
+
+
 def hot_keys(df: DataFrame, key: str) -> DataFrame | None:
     """Frequent values of ``key`` (NULL included) and the number of salts for each.
 
@@ -138,13 +174,15 @@ def _salted(fact: DataFrame, dim: DataFrame, on: Column, fact_key: str, dim_key:
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: str = "inner",
-                spread: Sequence[str] = (), small: bool | None = None, hot: DataFrame | str | None = MEASURE) -> DataFrame:
+                spread: Sequence[str] = (), small: bool | None = None, hot: DataFrame | str | None = MEASURE,
+                bitmap: DataFrame | str | None = MEASURE) -> DataFrame:
     """Join ``fact`` to ``dim``, whose ``dim_key`` is unique.
 
     ``how``: inner, left (keep all of ``fact``), left_semi or left_anti. ``spread`` names
     columns of ``fact`` that differ between rows of one key, such as its own key.
     ``small`` is the outcome of the size check and ``hot`` that of ``hot_keys``, where the
     caller knows them already: a key that is unique in ``fact`` too has no hot values (None).
+    ``bitmap`` is that of ``key_bitmap``, likewise.
     """
     shared = set(fact.columns) & set(dim.columns)
     if shared:
@@ -152,6 +190,10 @@ def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, ho
     on = F.col(fact_key) == F.col(dim_key)
     if fits_broadcast(dim) if small is None else small:
         return fact.join(F.broadcast(dim), on, how)
+    if how in ("left_semi", "left_anti") and isinstance(fact.schema[fact_key].dataType, T.IntegralType):
+        bitmap = key_bitmap(dim, dim_key) if isinstance(bitmap, str) else bitmap
+        if bitmap is not None:
+            return _by_bitmap(fact, bitmap, fact_key, how)
     if isinstance(hot, str):
         hot = hot_keys(fact, fact_key)
     if hot is None:
@@ -193,6 +235,8 @@ def _found(table: DataFrame, table_key: str, wanted: DataFrame, key: str) -> Dat
     held = table.select(F.col(table_key).alias(key)).filter(F.col(key).isNotNull())
     if fits_broadcast(wanted):
         return held.join(F.broadcast(wanted), F.col(key) == F.col("_wanted"), "left_semi").distinct()
+    if isinstance(held.schema[key].dataType, T.IntegralType) and (bitmap := key_bitmap(wanted, "_wanted")) is not None:
+        return _by_bitmap(held, bitmap, key, "left_semi").distinct()
     return held.distinct().join(wanted, F.col(key) == F.col("_wanted"), "left_semi")
 
 

@@ -39,7 +39,7 @@ from tillmark.operators.constraints import (
     with_arrival,
 )
 from tillmark.operators.guards import audit_rows, guard_arrivals
-from tillmark.operators.keyed import fits_broadcast, hot_keys, keys_present, lookup_join, row_count, written
+from tillmark.operators.keyed import fits_broadcast, hot_keys, key_bitmap, keys_present, lookup_join, row_count, written
 from tillmark.operators.relational import stale_customers
 from tillmark.schema import TABLES, Table
 from tillmark.session import materialize
@@ -534,13 +534,13 @@ def cascade_delete(tables: Mapping[str, DataFrame], doomed: Mapping[str, DataFra
         if not causes:
             continue
         # The rows of one cause are looked for twice: to keep the others and to pass their keys on.
-        measured = {column: None if cause.small or column == table.key else hot_keys(rows, column)
+        measured = {column: None if cause.reaches_scan or column == table.key else hot_keys(rows, column)
                     for column, cause in causes}
 
         def hit(source: DataFrame, column: str, cause: _Gone, how: str) -> DataFrame:
             spread = [table.key] if table.key in source.columns else source.columns
             return lookup_join(source, cause.as_column("_own"), column, "_own", how, spread, cause.small,
-                               measured[column])
+                               measured[column], cause.bitmap)
 
         kept = rows
         for column, cause in causes:
@@ -566,11 +566,13 @@ def cascade_delete(tables: Mapping[str, DataFrame], doomed: Mapping[str, DataFra
 
 
 class _Gone:
-    """Deleted keys of one table, measured once."""
+    """Deleted keys of one table, measured once; many of them are sent to the scans as a bitmap."""
 
     def __init__(self, keys: DataFrame):
         self.keys = keys
         self.small = fits_broadcast(keys)
+        self.bitmap = None if self.small else key_bitmap(keys, keys.columns[0])
+        self.reaches_scan = self.small or self.bitmap is not None
 
     def as_column(self, name: str) -> DataFrame:
         return self.keys.select(F.col(self.keys.columns[0]).alias(name))
