@@ -18,11 +18,13 @@ def t(spark):
     return shop(spark)
 
 
-@pytest.fixture(params=["small", "hot"])
+@pytest.fixture(params=["small", "bitmap", "hot"])
 def way(request, monkeypatch):
-    if request.param == "hot":
+    if request.param != "small":
         monkeypatch.setattr(keyed, "BROADCAST_ROWS", 0)
         monkeypatch.setattr(keyed, "HOT_MIN_ROWS", 3)
+    if request.param == "hot":
+        monkeypatch.setattr(keyed, "BITMAP_BYTES", 0)
 
 
 def frame(spark, name, rows):
