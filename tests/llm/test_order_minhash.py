@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -222,3 +223,26 @@ def test_two_rounds_whatever_the_group(spark, monkeypatch):
     docs = spark.createDataFrame(edited_copies(150, seed=13), "doc_id long, text string").repartition(7)
     assert order_minhash.near_duplicate_classes(docs).count() == 151
     assert len(rounds) <= 2
+
+
+def test_pairs_of_several_buckets_meet_in_the_first(monkeypatch):
+    """Over all buckets, links join the same nodes as all pairs that share a bucket, and no pair is aligned twice."""
+    rows = [(bytes([i]), text) for i, (_, text) in enumerate(edited_copies(40, words=60, seed=14))]
+    rng = random.Random(15)
+    held = {digest: sorted(rng.sample(range(6), 3)) for digest, _ in rows}
+    aligned = Counter()
+    real = order_minhash.near_copies
+
+    def counted(a, b, threshold):
+        aligned[frozenset((" ".join(a), " ".join(b)))] += 1
+        return real(a, b, threshold)
+
+    monkeypatch.setattr(order_minhash, "near_copies", counted)
+    links = []
+    for key in range(6):
+        inside = [(d, d, text, [k for k in held[d] if k < key], 0) for d, text in rows if key in held[d]]
+        links += order_minhash.links_between(pd.DataFrame(inside, columns=["digest", "own", "text", "earlier", "side"]), 0.9)
+    wanted = [(a, b) for a, x in rows for b, y in rows if a < b and set(held[a]) & set(held[b])
+              and real(brute.words(x), brute.words(y), 0.9)]
+    assert wanted and max(aligned.values()) == 1
+    assert {frozenset(g) for g in _groups(links)} == {frozenset(g) for g in _groups(wanted)}

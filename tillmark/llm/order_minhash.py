@@ -11,12 +11,12 @@ of the links.
 3. Buckets of at most ``whole`` nodes are compared in full, at most (``whole`` - 1) / 2 pairs a node. In larger ones
    every member is first compared with one leader: the member whose buckets hold the most nodes, so that copies made
    from one original meet the original. Pairs whose lengths, or whose shared runs of three words, rule out the
-   similarity are not aligned: e edits leave all but 3 e of the runs of three words untouched.
+   similarity are not aligned: e edits leave all but 3 e of the runs of three words untouched, and all but e words.
 4. Links become classes by star contraction. A bucket whose members are all in one class is done: no further link in
    it could change a class.
 5. The other large buckets are compared in full, matched members included: cut into cells of like length and bounded
    size, one task takes two cells, counts the shared runs of all pairs by postings and aligns the pairs that share
-   enough and are not in one class; cells of one and the same class do not meet. So there are two rounds, whatever the
+   enough and are not in one class, each pair in the first of its common buckets only; cells of one and the same class do not meet. So there are two rounds, whatever the
    size of a group, and no cap; the pairs counted in step 5 grow with the square of those members of a bucket that are
    in no large class by step 3.
 
@@ -142,9 +142,10 @@ def chunks(sizes: list[int], most: int = CHUNK_CHARS) -> Iterator[slice]:
         yield slice(start, len(sizes))
 
 
-def edits_within(a: list, b: list, limit: int) -> bool:
-    """Whether at most ``limit`` edits turn a into b: bands of growing width, so that close texts are aligned fast."""
-    band = min(FIRST_BAND, limit)
+def edits_within(a: list, b: list, limit: int, least: int = 0) -> bool:
+    """Whether at most ``limit`` edits turn a into b, known to need ``least``: bands of growing width, so that close texts
+    are aligned fast."""
+    band = limit if 2 * least > limit else min(max(FIRST_BAND, least), limit)
     while True:
         if abs(len(a) - len(b)) <= band and banded_distance(a, b, band) <= band:
             return True
@@ -200,14 +201,13 @@ def near_copies(a: list[str], b: list[str], threshold: float) -> bool:
         return False
     if a == b:
         return True
-    if longest - RUN + 1 > RUN * edits and shared_runs(a, b) < longest - RUN + 1 - RUN * edits:
-        return False
-    return edits_within(a, b, edits)
+    least = max(-((shared_runs(a, b, size) - longest + size - 1) // size) for size in (1, RUN))
+    return least <= edits and edits_within(a, b, edits, least)
 
 
-def shared_runs(a: list[str], b: list[str]) -> int:
-    """Runs of ``RUN`` words that both texts hold, repetitions included."""
-    first, second = (Counter(zip(*(words[i:] for i in range(RUN)), strict=False)) for words in (a, b))
+def shared_runs(a: list[str], b: list[str], size: int = RUN) -> int:
+    """Runs of ``size`` words that both texts hold, repetitions included."""
+    first, second = (Counter(zip(*(words[i:] for i in range(size)), strict=False)) for words in (a, b))
     if len(second) < len(first):
         first, second = second, first
     return sum(min(n, second[run]) for run, n in first.items() if run in second)
@@ -270,13 +270,26 @@ def _unsettled(members: DataFrame, roots: DataFrame) -> DataFrame:
     return classed.join(mixed.select("key"), "key", "left_semi")
 
 
+def coded(lists: list[np.ndarray]) -> tuple[list[np.ndarray], int]:
+    """The values of the lists as numbers from 0, and how many there are."""
+    values, codes = np.unique(np.concatenate(lists), return_inverse=True)
+    return np.split(codes, np.cumsum([len(one) for one in lists])[:-1]), len(values)
+
+
 def links_between(rows: pd.DataFrame, threshold: float) -> list[tuple[bytes, bytes]]:
-    """Links that join the classes of two cells; ``rows`` has digest, own, text, and side (0, 1; one cell by itself has 0).
+    """Links that join the classes of two cells; ``rows`` has digest, own, text, earlier, and side (0, 1; one cell by
+    itself has 0).
 
-    Pairs of one class are passed over, also of a class that a link found before has joined.
+    Pairs of one class are passed over, also of a class that a link found before has joined, and so are pairs that share
+    an ``earlier`` bucket: they are compared there. An edit takes at most one word and ``RUN`` runs of words from those
+    that two texts share, so pairs that share too few of either are not aligned.
     """
     texts = [words_of(t) for t in rows["text"]]
-    sets = [np.unique(labelled(shingle_hashes(word_hashes(ws), RUN))) for ws in texts]
+    hashes = [word_hashes(ws) for ws in texts]
+    sets = [np.unique(labelled(shingle_hashes(h, RUN))) for h in hashes]
+    bags, kinds = coded([np.unique(labelled(mix(h))) for h in hashes])
+    buckets, kept = coded([np.asarray(e, dtype=np.int64) for e in rows["earlier"]])
+    marked, passed = np.zeros(kinds, dtype=bool), np.zeros(kept, dtype=bool)
     sizes, lengths = np.array([len(s) for s in sets]), np.array([len(ws) for ws in texts])
     side, digests = rows["side"].to_numpy(), [bytes(d) for d in rows["digest"]]
     names: dict[bytes, int] = {}
@@ -296,7 +309,11 @@ def links_between(rows: pd.DataFrame, threshold: float) -> list[tuple[bytes, byt
         longest = np.maximum(lengths, lengths[i])
         edits = np.floor((1 - threshold) * longest + 1e-9)
         alike = (np.abs(lengths - lengths[i]) <= edits) & (shared >= longest - RUN + 1 - RUN * edits) & (own != own[i])
-        for j in np.flatnonzero(alike):
+        marked[bags[i]], passed[buckets[i]] = True, True
+        close = [j for j in np.flatnonzero(alike) if not passed[buckets[j]].any()
+                 and np.count_nonzero(marked[bags[j]]) >= longest[j] - edits[j]]
+        marked[bags[i]], passed[buckets[i]] = False, False
+        for j in close:
             if own[i] != own[j] and near_copies(texts[i], texts[j], threshold):
                 links.append((digests[i], digests[j]))
                 own[own == own[j]] = own[i]
@@ -308,9 +325,11 @@ def _compared(members: DataFrame, texts: DataFrame, threshold: float) -> DataFra
 
     Nodes in classes of length next to each other only can be linked: the ratio of their numbers of words is
     at least ``threshold`` else they are two classes apart. The nodes of a large class have cells of their own, which
-    do not meet each other: of a group of copies with a few strays, only the strays meet the rest.
+    do not meet each other: of a group of copies with a few strays, only the strays meet the rest. Two nodes are
+    compared in the least of the buckets that they share, so each row names the lesser buckets of its node.
     """
     reach = F.floor(F.log(F.col("n").cast("double")) / F.lit(-np.log(threshold * (1 - 1e-9)))).cast("int")
+    everywhere = members.groupBy("digest").agg(F.collect_set("key").alias("keys"))  # a bucket per sketch at most
     sized = members.withColumn("span", reach)
     kinds = sized.groupBy("key", "span", "own").agg(F.count("*").alias("nodes"), F.sum("n").alias("words")).withColumn(
         "kin", F.when(F.col("nodes") >= CELL_NODES // 8, F.col("own")).otherwise(F.lit(b"")))
@@ -321,7 +340,8 @@ def _compared(members: DataFrame, texts: DataFrame, threshold: float) -> DataFra
     held = sized.join(named, ["key", "span", "own"], "left").withColumn("kin", F.coalesce("kin", F.lit(b"")))
     placed = materialize(held.join(parts, ["key", "span", "kin"]).select(
         "key", "span", F.struct("kin", F.pmod(F.xxhash64("digest"), "parts").cast("int").alias("part")).alias("part"),
-        "digest", "own"), "cells")
+        "digest", "own").join(everywhere, "digest").withColumn("earlier", F.filter("keys", lambda k: k < F.col("key"))).drop("keys"),
+        "cells")
     cells = placed.groupBy("key", "span", "part").agg(F.min("own").alias("low"), F.max("own").alias("high"))
     left = cells.select("key", *(F.col(c).alias(f"{c}_a") for c in ("span", "part", "low", "high")))
     right = cells.select("key", *(F.col(c).alias(f"{c}_b") for c in ("span", "part", "low", "high")))
@@ -332,7 +352,7 @@ def _compared(members: DataFrame, texts: DataFrame, threshold: float) -> DataFra
     sides = [met.withColumns({"span": F.col(f"span_{c}"), "part": F.col(f"part_{c}"), "side": F.lit(i)}) for i, c in enumerate("ab")]
     sides[1] = sides[1].where("span_a != span_b OR part_a != part_b")
     sent = sides[0].unionByName(sides[1]).join(placed, ["key", "span", "part"]).join(texts, "digest").select(
-        *pair, "side", "digest", "own", "text")
+        *pair, "side", "digest", "own", "earlier", "text")
 
     def linked(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(links_between(rows, threshold), columns=["a", "b"])
