@@ -9,6 +9,7 @@ import corpus_pipeline
 
 from tests.conftest import FOLDER
 from tests.llm import brute
+from tillmark.llm import components as stars
 from tillmark.llm import order_minhash
 from tillmark.llm.components import components
 
@@ -165,6 +166,18 @@ def test_recall_on_the_test_table(spark):
         assert joined == set(members)
 
 
+@pytest.mark.parametrize("chunk", [7, 50])
+def test_components_of_chunks(spark, monkeypatch, chunk):
+    """Links beyond a chunk go through rounds of stars, up to a chunk through none; the roots are the same."""
+    rounds, star = [], stars._large_star
+    monkeypatch.setattr(stars, "CHUNK", chunk)
+    monkeypatch.setattr(stars, "_large_star", lambda edges: rounds.append(1) or star(edges))
+    links = [(bytes([i]), bytes([i + 1])) for i in range(20)] + [(b"z", bytes([200 + i])) for i in range(10)] + [(b"x", b"x")]
+    found = [(bytes(r.node), bytes(r.root)) for r in components(spark.createDataFrame(links, "a binary, b binary").repartition(3)).collect()]
+    assert sorted(found) == sorted([(bytes([i]), bytes([0])) for i in range(21)] + [(b"z", b"z")] + [(bytes([200 + i]), b"z") for i in range(10)])
+    assert bool(rounds) == (chunk < len(links))
+
+
 def test_components(spark):
     rng = random.Random(1)
     links = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 80)] + [(500 + i, 500 + rng.randrange(i + 1)) for i in range(50)]
@@ -246,3 +259,32 @@ def test_pairs_of_several_buckets_meet_in_the_first(monkeypatch):
               and real(brute.words(x), brute.words(y), 0.9)]
     assert wanted and max(aligned.values()) == 1
     assert {frozenset(g) for g in _groups(links)} == {frozenset(g) for g in _groups(wanted)}
+
+
+def test_alike_ends_need_no_alignment(monkeypatch):
+    """Words that two texts begin and end with alike are cut off before the alignment, and the edits stay the same."""
+    rng, widths = random.Random(16), []
+    real = order_minhash.banded_distance
+    monkeypatch.setattr(order_minhash, "banded_distance", lambda a, b, band: widths.append(max(len(a), len(b))) or real(a, b, band))
+    tail = [str(rng.randrange(500)) for _ in range(600)]
+    texts = [[str(rng.randrange(60)) for _ in range(rng.randrange(100, 190))] + tail for _ in range(8)]
+    for a in texts:
+        for b in texts:
+            assert order_minhash.near_copies(a, b, 0.8) == (brute.edit_distance(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9))
+    assert widths and max(widths) < 190
+    for _ in range(200):
+        a, b = ([rng.choice("ab") for _ in range(rng.randrange(9))] for _ in range(2))
+        assert brute.edit_distance(a, b) == brute.edit_distance(*order_minhash.trimmed(a, b))
+
+
+def test_texts_whose_pairs_are_settled_are_not_read(monkeypatch):
+    """Nodes of one class, or that all share an earlier bucket, are not split into words; a pair in one cell is aligned once."""
+    split, aligned = [], Counter()
+    monkeypatch.setattr(order_minhash._terms, "of", lambda text, of=order_minhash._terms.of: split.append(text) or of(text))
+    monkeypatch.setattr(order_minhash, "near_copies", lambda a, b, t: aligned.update([frozenset((a[-1], b[-1]))]))
+    base = " ".join(f"w{i}" for i in range(30))
+    rows = [(bytes([i]), own, f"{base} {i}", earlier, 0) for i, (own, earlier) in enumerate(
+        [(b"p", [1]), (b"q", [1]), (b"r", [1, 2]), (b"p", [2]), (b"p", [1, 2])])]
+    assert order_minhash.links_between(pd.DataFrame(rows, columns=["digest", "own", "text", "earlier", "side"]), 0.8) == []
+    assert aligned == {frozenset("13"): 1}
+    assert sorted(split) == [f"{base} 1", f"{base} 3"]

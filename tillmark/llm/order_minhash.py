@@ -12,7 +12,8 @@ of the links.
    every member is first compared with one leader: the member whose buckets hold the most nodes, so that copies made
    from one original meet the original. Pairs whose lengths, or whose shared runs of three words, rule out the
    similarity are not aligned: e edits leave all but 3 e of the runs of three words untouched, and all but e words.
-4. Links become classes by star contraction. A bucket whose members are all in one class is done: no further link in
+   Words that both texts begin or end with are left out of the alignment.
+4. Links become classes by contraction, of bounded chunks and then by stars. A bucket whose members are all in one class is done: no further link in
    it could change a class.
 5. The other large buckets are compared in full, matched members included: cut into cells of like length and bounded
    size, one task takes two cells, counts the shared runs of all pairs by postings and aligns the pairs that share
@@ -32,8 +33,9 @@ for c = 0.05, 0.91 for c = 0.1 and 0.22 for c = 0.2.
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
+import sys
+from collections import Counter, OrderedDict
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 import numpy as np
@@ -53,6 +55,7 @@ FEW_PAIRS = 20_000  # at most 40,000 digests of 16 bytes are broadcast
 CELL_NODES = 256  # nodes in a cell of a large bucket, on average
 CELL_WORDS = 250_000  # and words, on average
 RUN = 3  # words in the runs that are counted before an alignment
+KNOWN_WORDS = 1_000_000  # words of the texts whose hashes a worker keeps, at about 40 bytes
 FIRST_BAND = 8  # edits that the first, narrowest alignment allows
 
 
@@ -79,8 +82,9 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if text else []
 
 
-def word_hashes(words: list[str]) -> np.ndarray:
-    return pd.util.hash_array(np.array(words, dtype=object)) if words else np.zeros(0, dtype=np.uint64)
+def word_hashes(words: list[str], many: bool = True) -> np.ndarray:
+    """The words' hashes; ``many`` is for lists of thousands, in which most words come again."""
+    return pd.util.hash_array(np.array(words, dtype=object), categorize=many) if words else np.zeros(0, dtype=np.uint64)
 
 
 def shingle_hashes(hashes: np.ndarray, size: int = SHINGLE) -> np.ndarray:
@@ -199,12 +203,22 @@ def near_copies(a: list[str], b: list[str], threshold: float) -> bool:
     edits = int((1 - threshold) * longest + 1e-9)
     if not a or not b or abs(len(a) - len(b)) > edits:
         return False
-    if a == b:
+    a, b = trimmed(a, b)
+    longest = max(len(a), len(b))
+    if longest <= edits or not a or not b:
         return True
     least = max(-((shared_runs(a, b, size) - longest + size - 1) // size) for size in (1, RUN))
     return least <= edits and edits_within(a, b, edits, least)
 
 
+def trimmed(a: list[str], b: list[str]) -> tuple[list[str], list[str]]:
+    """What is left of two texts without the words they begin and end with alike; it needs the same edits."""
+    most = min(len(a), len(b))
+    start = next((k for k in range(most) if a[k] != b[k]), most)
+    end = next((k for k in range(most - start) if a[-1 - k] != b[-1 - k]), most - start)
+    return a[start:len(a) - end], b[start:len(b) - end]
+
+
 def shared_runs(a: list[str], b: list[str], size: int = RUN) -> int:
     """Runs of ``size`` words that both texts hold, repetitions included."""
     first, second = (Counter(zip(*(words[i:] for i in range(size)), strict=False)) for words in (a, b))
@@ -270,49 +284,82 @@ def _unsettled(members: DataFrame, roots: DataFrame) -> DataFrame:
     return classed.join(mixed.select("key"), "key", "left_semi")
 
 
-def coded(lists: list[np.ndarray]) -> tuple[list[np.ndarray], int]:
+def coded(lists: Sequence[np.ndarray]) -> tuple[list[np.ndarray], int]:
     """The values of the lists as numbers from 0, and how many there are."""
     values, codes = np.unique(np.concatenate(lists), return_inverse=True)
     return np.split(codes, np.cumsum([len(one) for one in lists])[:-1]), len(values)
 
 
+class Terms:
+    """Words, runs of words and bag of words of texts, as hashes. The last texts are kept, up to ``KNOWN_WORDS`` words,
+    since a node comes back in other cells."""
+
+    def __init__(self) -> None:
+        self.known: OrderedDict[str, tuple[list[str], np.ndarray, np.ndarray]] = OrderedDict()
+        self.words = 0
+
+    def of(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+        if text in self.known:
+            self.known.move_to_end(text)
+            return self.known[text]
+        words = [sys.intern(w) for w in words_of(text)]
+        hashes = word_hashes(words, many=False)
+        found = words, np.unique(labelled(shingle_hashes(hashes, RUN))), np.unique(labelled(mix(hashes)))
+        if len(words) <= KNOWN_WORDS // 8:
+            self.known[text] = found
+            self.words += len(words) + 1
+            while self.words > KNOWN_WORDS:
+                self.words -= len(self.known.popitem(last=False)[1][0]) + 1
+        return found
+
+
+_terms = Terms()  # of a Python worker
+NO_TERMS: tuple[list[str], np.ndarray, np.ndarray] = [], np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
+
+
 def links_between(rows: pd.DataFrame, threshold: float) -> list[tuple[bytes, bytes]]:
     """Links that join the classes of two cells; ``rows`` has digest, own, text, earlier, and side (0, 1; one cell by
     itself has 0).
 
     Pairs of one class are passed over, also of a class that a link found before has joined, and so are pairs that share
-    an ``earlier`` bucket: they are compared there. An edit takes at most one word and ``RUN`` runs of words from those
+    an ``earlier`` bucket: they are compared there. Only texts with pairs left are split into words. An edit takes at most one word and ``RUN`` runs of words from those
     that two texts share, so pairs that share too few of either are not aligned.
     """
-    texts = [words_of(t) for t in rows["text"]]
-    hashes = [word_hashes(ws) for ws in texts]
-    sets = [np.unique(labelled(shingle_hashes(h, RUN))) for h in hashes]
-    bags, kinds = coded([np.unique(labelled(mix(h))) for h in hashes])
     buckets, kept = coded([np.asarray(e, dtype=np.int64) for e in rows["earlier"]])
-    marked, passed = np.zeros(kinds, dtype=bool), np.zeros(kept, dtype=bool)
-    sizes, lengths = np.array([len(s) for s in sets]), np.array([len(ws) for ws in texts])
+    held = np.zeros((kept, len(rows)), dtype=bool)
+    held[np.concatenate(buckets), np.repeat(np.arange(len(rows)), [len(b) for b in buckets])] = True
     side, digests = rows["side"].to_numpy(), [bytes(d) for d in rows["digest"]]
     names: dict[bytes, int] = {}
     own = np.array([names.setdefault(bytes(c), len(names)) for c in rows["own"]])
-    second = np.flatnonzero(side == side.max())
     first = np.flatnonzero(side == 0)
-    posted = np.concatenate([sets[j] for j in second])
-    holder = np.repeat(second, sizes[second])
+    todo = np.zeros((len(rows), len(rows)), dtype=bool)  # each pair once, from the row of its first node
+    for i in first:
+        todo[i] = (side == 1 if side.max() else np.arange(len(rows)) > i) & (own != own[i]) & ~held[buckets[i]].any(axis=0)
+    second = todo.any(axis=0)
+    texts, sets, bags = zip(*(_terms.of(t) if wanted else NO_TERMS for t, wanted in zip(
+        rows["text"], second | todo.any(axis=1), strict=True)), strict=True)
+    bags, kinds = coded(bags)
+    marked = np.zeros(kinds, dtype=bool)
+    sizes, lengths = np.array([len(s) for s in sets]), np.array([len(ws) for ws in texts])
+    posted = np.concatenate([s if wanted else s[:0] for s, wanted in zip(sets, second, strict=True)])
+    holder = np.repeat(np.arange(len(rows)), np.where(second, sizes, 0))
     order = np.argsort(posted, kind="stable")
     posted, holder = posted[order], holder[order]
     links = []
     for i in first:
+        longest = np.maximum(lengths, lengths[i])
+        edits = np.floor((1 - threshold) * longest + 1e-9)
+        alike = todo[i] & (np.abs(lengths - lengths[i]) <= edits) & (own != own[i])
+        if not alike.any():
+            continue
         low, high = np.searchsorted(posted, sets[i], "left"), np.searchsorted(posted, sets[i], "right")
         counts = high - low
         at = np.repeat(low - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
         shared = np.bincount(holder[at], minlength=len(rows))
-        longest = np.maximum(lengths, lengths[i])
-        edits = np.floor((1 - threshold) * longest + 1e-9)
-        alike = (np.abs(lengths - lengths[i]) <= edits) & (shared >= longest - RUN + 1 - RUN * edits) & (own != own[i])
-        marked[bags[i]], passed[buckets[i]] = True, True
-        close = [j for j in np.flatnonzero(alike) if not passed[buckets[j]].any()
-                 and np.count_nonzero(marked[bags[j]]) >= longest[j] - edits[j]]
-        marked[bags[i]], passed[buckets[i]] = False, False
+        alike &= shared >= longest - RUN + 1 - RUN * edits
+        marked[bags[i]] = True
+        close = [j for j in np.flatnonzero(alike) if np.count_nonzero(marked[bags[j]]) >= longest[j] - edits[j]]
+        marked[bags[i]] = False
         for j in close:
             if own[i] != own[j] and near_copies(texts[i], texts[j], threshold):
                 links.append((digests[i], digests[j]))
