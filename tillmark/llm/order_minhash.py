@@ -17,9 +17,9 @@ of the links.
    it could change a class.
 5. The other large buckets are compared in full, matched members included: cut into cells of like length and bounded
    size, one task takes two cells, counts the shared runs of all pairs by postings and aligns the pairs that share
-   enough and are not in one class, each pair in the first of its common buckets only; cells of one and the same class do not meet. So there are two rounds, whatever the
-   size of a group, and no cap; the pairs counted in step 5 grow with the square of those members of a bucket that are
-   in no large class by step 3.
+   enough and are not in one class, each pair in the first of its common buckets only; cells of one and the same class
+   do not meet. So there are two rounds, whatever the size of a group, and no cap; the pairs counted in step 5 grow
+   with the square of those members of a bucket that are in no large class by step 3.
 
 Texts of one to four words have one shingle, all their words. Texts without any word are linked to identical texts
 only; null counts as empty. Rows with a null id are in a class like others but always stay. Rows that repeat an id
